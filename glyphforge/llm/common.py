@@ -139,7 +139,7 @@ class Words:
 
     def __init__(self, column: pa.Array, lower: bool = False):
         data, at = text_bytes(column)
-        self.data, self.at = LOWER[data] if lower else data, at
+        self.raw, self.data, self.at = data, LOWER[data] if lower else data, at
         solid = ~SPACE[data]
         cutat = np.zeros(len(data) + 1, bool)
         cutat[at] = True
