@@ -7,6 +7,7 @@ bytes without decoding. All functions here are vectorised over a whole Arrow bat
 from __future__ import annotations
 
 import atexit
+import gc
 import hashlib
 import os
 import tempfile
@@ -75,6 +76,11 @@ class Workspace:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def free(self) -> None:
+        """Let Spark remove the shuffle files of steps whose tables are written: nothing will read them again."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         jvm = self.spark._jvm
         for path in [f"{self.path}/{n}" for n in names] or [self.path]:

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphforge.llm import bpe, lines, minhash, mixing, quality
+from glyphforge.llm import bpe, lines, minhash, mixing, quality, substrings
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_dedup": minhash.op1_minhash_dedup,
         "op2_line_dedup": lines.op2_line_dedup,
+        "op3_substring_dedup": substrings.op3_substring_dedup,
         "op4_mixing": mixing.op4_mixing,
         "op5_quality": quality.op5_quality,
         "op10_bpe": bpe.op10_bpe,
