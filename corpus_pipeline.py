@@ -36,8 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and text, the ids decoded again."""
-    path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.decode(bpe.encode(docs, path), path)
+    return bpe.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [("quality_classifier", quality_classifier), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mix_sources", mix_sources), ("bpe_tokens", bpe_tokens)]

@@ -7,6 +7,7 @@ bytes without decoding. All functions here are vectorised over a whole Arrow bat
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import hashlib
 import os
@@ -22,9 +23,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that one numpy step takes at most (a single longer text makes a step of its own).
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 #: Bytes in one Arrow batch between the JVM and Python.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 #: Words longer than this are hashed one by one.
 LONG_WORD = 64
 
@@ -103,10 +104,20 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | pa
                 out = f(part)
                 if out is not None and out.num_rows:
                     yield from out.to_batches(max_chunksize=1 << 16) if isinstance(out, pa.Table) else [out]
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps its Python workers, and with them all that they hold."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def cut(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     ends = np.cumsum(np.diff(offsets(batch.column(batch.schema.get_field_index(text)))))
     start = 0
