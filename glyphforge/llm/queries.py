@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphforge.llm import bpe, lines, minhash, mixing, quality, substrings
+from glyphforge.llm import bpe, chat, embeddings, lines, minhash, mixing, quality, substrings, topk, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,9 +16,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_substring_dedup": substrings.op3_substring_dedup,
         "op4_mixing": mixing.op4_mixing,
         "op5_quality": quality.op5_quality,
+        "op6_embedding_dedup": embeddings.op6_embedding_dedup,
+        "op7_topk": topk.op7_topk,
+        "op8_url_filter": urls.op8_url_filter,
+        "op9_chat_format": chat.op9_chat_format,
         "op10_bpe": bpe.op10_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_topk": topk.OP7_SQL, "op8_url_filter": urls.OP8_SQL}
