@@ -149,3 +149,16 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, LEARNED, said)], "conv_id long, turn long, role string, text string")
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     return digests(format_chats(turns.unionByName(extra), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+OP9_SQL = r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')),
+a as (
+  select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as whole,
+    coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '') as learned,
+    cast(sum(32 + length(role) + length(text) + len(regexp_extract_all(role, '<\\*\|')) + len(regexp_extract_all(text, '<\\*\|'))) as bigint) as formatted_chars
+  from t group by conv_id)
+select conv_id, n_turns, sha256(whole) as turns_sha256, length(learned) as loss_chars, sha256(learned) as loss_sha256, formatted_chars from a
+"""

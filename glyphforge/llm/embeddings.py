@@ -232,3 +232,15 @@ def link_vectors(table: DataFrame, least: float = 0.95, sample: int = SAMPLE) ->
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings, linked at a cosine of 0.95."""
     return link_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.95)
+
+
+OP6_SQL = """
+with recursive v as (
+  select vec_id, embedding::double[] as e from embeddings
+  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id where list_cosine_similarity(a.e, b.e) >= 0.95),
+r as (select vec_id as d, vec_id as m from embeddings union select r.d, l.b from r join l on r.m = l.a),
+n as (select a, count(*) as n from l group by a),
+c as (select d, min(m) as m from r group by d)
+select t.vec_id, coalesce(n.n, 0) as n_links, c.m as component_id, t.vec_id = c.m as kept from embeddings t join c on c.d = t.vec_id left join n on n.a = t.vec_id
+"""

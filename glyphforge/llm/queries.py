@@ -25,4 +25,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_topk": topk.OP7_SQL, "op8_url_filter": urls.OP8_SQL}
+    return {
+        "op1_minhash_dedup": minhash.OP1_SQL,
+        "op3_substring_dedup": substrings.OP3_SQL,
+        "op6_embedding_dedup": embeddings.OP6_SQL,
+        "op7_topk": topk.OP7_SQL,
+        "op8_url_filter": urls.OP8_SQL,
+        "op9_chat_format": chat.OP9_SQL,
+    }

@@ -129,3 +129,14 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without repeated runs of 20 words."""
     out = drop_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP3_SQL = r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+k as (select doc_id, unnest(range(1, len(ws) - 18)) as i, unnest(list_transform(range(1, len(ws) - 18), lambda i: md5(array_to_string(ws[i:i + 19], ' ')))) as h from w),
+f as (select doc_id, i, row_number() over (partition by h order by doc_id, i) as r from k),
+c as (select distinct doc_id, unnest(range(i, i + 20)) as at from f where r > 1),
+e as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as at from w),
+a as (select e.doc_id, count(c.at) as gone, coalesce(string_agg(word, ' ' order by e.at) filter (c.at is null), '') as kept from e left join c on c.doc_id = e.doc_id and c.at = e.at group by e.doc_id)
+select w.doc_id, cast(len(ws) as bigint) as n_words, coalesce(gone, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from w left join a on a.doc_id = w.doc_id
+"""
