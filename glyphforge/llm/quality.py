@@ -18,6 +18,8 @@ PASSAGE = 1024
 PAIRS = 256
 FEATURES = 256 + PAIRS + 2
 HIDDEN, GATE = 32, 16
+#: Standardised features are cut off there: a few bytes make rare letters look extreme.
+CLIP = 4.0
 #: Labelled documents that a model is fitted on at most: those of the smallest hashes of their ids.
 SAMPLE = 4000
 #: Passages of one fitted document: longer ones take part with evenly spread passages (scoring always reads all).
@@ -90,7 +92,7 @@ class Model:
             order = rng.permutation(len(bags))
             for i in range(0, len(order), lot):
                 some = order[i : i + lot]
-                x = (np.concatenate([bags[k] for k in some]) - self.mean) / self.spread
+                x = np.clip((np.concatenate([bags[k] for k in some]) - self.mean) / self.spread, -CLIP, CLIP)
                 first = np.concatenate([[0], np.cumsum([len(bags[k]) for k in some])])
                 step += 1
                 for k, g in self.gradient(x, first, y[some]).items():
@@ -104,7 +106,7 @@ class Model:
         if not len(texts):
             return np.zeros(0)
         x, first = passages(texts)
-        return self.forward((x - self.mean) / self.spread, first)["y"]
+        return self.forward(np.clip((x - self.mean) / self.spread, -CLIP, CLIP), first)["y"]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
