@@ -93,12 +93,13 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """Per row: doc_id, n (set size), fp (128 bits of the set), keys (band keys), sig (16 bits of each slot); fp null if empty."""
+    """Per row: doc_id, n (set size), fp (128 bits of the set), keys (band keys), sig (16 bits of each slot, then the band
+    keys again, as bytes); fp null if empty."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(column(batch, "text"), size)
         sig = superminhash(sets)
-        keys = band_keys(sig).view(np.int64).reshape(-1)
+        keys = band_keys(sig).view(np.int64)
         low = (sig & np.uint32(0xFFFF)).astype(np.uint16)
         some = [len(s) > 0 for s in sets]
         return pa.record_batch(
@@ -106,8 +107,8 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 "doc_id": column(batch, "doc_id"),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
                 "fp": pa.array([digest(s) if ok else None for s, ok in zip(sets, some, strict=True)], pa.binary()),
-                "keys": pa.ListArray.from_arrays(np.arange(0, (len(sets) + 1) * BANDS, BANDS, dtype=np.int32), pa.array(keys)),
-                "sig": pa.array([x.tobytes() if ok else None for x, ok in zip(low, some, strict=True)], pa.binary()),
+                "keys": pa.ListArray.from_arrays(np.arange(0, (len(sets) + 1) * BANDS, BANDS, dtype=np.int32), pa.array(keys.reshape(-1))),
+                "sig": pa.array([x.tobytes() + k.tobytes() if ok else None for x, k, ok in zip(low, keys, some, strict=True)], pa.binary()),
             }
         )
 
@@ -163,33 +164,55 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return map_batches(docs.join(wanted, "doc_id", "left_semi"), run, "doc_id long, set binary", text="text")
 
 
+def _shared_counts(work: Workspace, sets: DataFrame) -> DataFrame:
+    """doc_id, n (set size) and common (shingles that another of these sets has too)."""
+
+    def run(batch: pa.RecordBatch) -> pa.Table:
+        ids, out = column(batch, "doc_id").to_numpy(), []
+        for i, s in zip(ids, column(batch, "set").to_pylist(), strict=True):
+            h = np.frombuffer(s, np.int64)
+            out.append(pa.record_batch({"h": pa.array(h), "doc_id": pa.array(np.full(len(h), i, np.int64))}))
+        return pa.Table.from_batches(out, pa.schema({"h": pa.int64(), "doc_id": pa.int64()}))
+
+    each = map_batches(sets.select("doc_id", "set"), run, "h long, doc_id long")
+    alone = each.groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).where("n = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
+    sizes = sets.select("doc_id", F.expr("octet_length(set) div 8").alias("n")).groupBy("doc_id").agg(F.max("n").alias("n"))
+    return sizes.join(alone, "doc_id", "left").select("doc_id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"))
+
+
 def _residual(members: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) of different components that share a band, as far as their signatures agree in enough slots.
 
-    members: key, doc_id, root, sig, lead (root of the bucket's pivot), many and strays (rows in all, and outside the pivot's
-    component). Every stray meets every member of another component: blocks of strays against blocks of members, each pair
-    of blocks in a task, where numpy compares them. Only pairs within six standard deviations of the bound are passed on.
+    members: key, band, doc_id, root, sig, n (set size), common (shingles that some other member of any residual bucket has too: no
+    more can be in common with a partner), lead (root of the bucket's pivot), many and strays (rows in all, and outside the
+    pivot's component). Every stray meets every member of another component: blocks of strays against blocks of members, each pair
+    of blocks in a task, where numpy compares them. Only pairs within six standard deviations of the bound are passed on,
+    each from one band.
     """
     bound = percent / 100
     least = int(np.floor(SLOTS * (bound - 6 * np.sqrt(bound * (1 - bound) / SLOTS))))
     lefts, rights = F.ceil(F.col("strays") / LEFT_BLOCK), F.ceil(F.col("many") / RIGHT_BLOCK)
-    left = members.where("root <> lead").select("key", F.pmod(F.xxhash64("doc_id"), lefts).alias("lb"), F.explode(F.sequence(F.lit(0).cast("long"), rights - 1)).alias("rb"), F.lit(True).alias("stray"), "doc_id", "root", "sig")
-    right = members.select("key", F.explode(F.sequence(F.lit(0).cast("long"), lefts - 1)).alias("lb"), F.pmod(F.xxhash64("doc_id", F.lit(1)), rights).alias("rb"), F.lit(False).alias("stray"), "doc_id", "root", "sig")
+    rest = ["doc_id", "root", "n", "common", "band", "sig"]
+    left = members.where("root <> lead").select("key", F.pmod(F.xxhash64("doc_id"), lefts).alias("lb"), F.explode(F.sequence(F.lit(0).cast("long"), rights - 1)).alias("rb"), F.lit(True).alias("stray"), *rest)
+    right = members.select("key", F.explode(F.sequence(F.lit(0).cast("long"), lefts - 1)).alias("lb"), F.pmod(F.xxhash64("doc_id", F.lit(1)), rights).alias("rb"), F.lit(False).alias("stray"), *rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def compare(rows: list[tuple]) -> pa.RecordBatch | None:
             ls, rs = [r for r in rows if r[0]], [r for r in rows if not r[0]]
             if not ls or not rs:
                 return None
-            li, ri = np.array([r[1] for r in ls]), np.array([r[1] for r in rs])
-            lr, rr = np.array([r[2] for r in ls]), np.array([r[2] for r in rs])
-            lsig = np.frombuffer(b"".join(r[3] for r in ls), np.uint16).reshape(len(ls), SLOTS)
-            rsig = np.frombuffer(b"".join(r[3] for r in rs), np.uint16).reshape(len(rs), SLOTS)
+            (li, lr, ln, lc), (ri, rr, rn, rc) = (np.array([r[1:5] for r in side], np.int64).T for side in (ls, rs))
+            band, cut = ls[0][5], 2 * SLOTS
+            lsig, rsig = (np.frombuffer(b"".join(r[6][:cut] for r in side), np.uint16).reshape(len(side), SLOTS) for side in (ls, rs))
+            lkey, rkey = (np.frombuffer(b"".join(r[6][cut:] for r in side), np.int64).reshape(len(side), BANDS) for side in (ls, rs))
             a, b = [], []
             for i in range(len(ls)):
-                ok = ((rsig == lsig[i]).sum(axis=1) >= least) & (rr != lr[i])
+                shared = np.minimum(rc, lc[i])
+                ok = np.flatnonzero((rr != lr[i]) & (100 * shared >= percent * (rn + ln[i] - shared)))
+                ok = ok[(rsig[ok] == lsig[i]).sum(axis=1) >= least]
+                ok = ok[(rkey[ok] == lkey[i]).argmax(axis=1) == band]  # in the first band that they share
                 b.append(ri[ok])
-                a.append(np.full(len(b[-1]), li[i]))
+                a.append(np.full(len(ok), li[i]))
             a, b = np.concatenate(a), np.concatenate(b)
             return pa.record_batch({"a": np.minimum(a, b), "b": np.maximum(a, b)}) if len(a) else None
 
@@ -222,8 +245,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, work: Wor
     2. Rows with equal sets collapse to the smallest doc_id (a partial aggregate, so a hot group is small before the shuffle).
     3. In each band's bucket the pivot is the document that meets most others over all bands; the others are verified
        against it on full sets and linked. Large groups of near copies fall into one component here.
-    4. Members of a bucket that are still in different components are compared by signature in blocks, verified on full
-       sets and linked: so no link is lost that a band shows, and no group is expanded into all its pairs.
+    4. Members of a bucket that are still in different components are looked at again. What such a document shares with no
+       other of them bounds its similarity to all of them at once, which settles most; the others are compared in blocks by
+       that bound and by signature, verified on full sets and linked: so no link is lost that a band shows, and no group is
+       expanded into all its pairs.
     A pair at the bound is missed by all 32 bands of 4 rows with a chance of 4e-8 at 80 and 5e-11 at 85.
     """
     spark = docs.sparkSession
@@ -234,7 +259,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, work: Wor
     classes = work.write(known.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "classes")
     # The representative's band keys: those of any row of the class, as equal sets have equal signatures.
     reps = work.write(known.select("fp", "doc_id", "keys", "sig").join(classes.where("rows = 1").select("fp"), "fp", "left_anti").dropDuplicates(["fp"]).join(classes, "fp").select("rep", "keys", "sig").union(known.join(classes.where("rows = 1").select("fp"), "fp", "left_semi").select("doc_id", "keys", "sig")), "reps")
-    bands = reps.select(F.explode("keys").alias("key"), F.col("rep").alias("doc_id"))
+    bands = reps.select(F.posexplode("keys").alias("band", "key"), F.col("rep").alias("doc_id"))
     shared = work.write(bands.groupBy("key").agg(F.count("*").alias("many")).where("many > 1"), "shared")
     members = work.write(bands.join(shared, "key"), "members")
     degree = members.groupBy("doc_id").agg(F.sum("many").alias("degree"))
@@ -247,8 +272,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, work: Wor
     rooted = members.join(first.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     led = pivots.join(first.toDF("pivot", "lead"), "pivot", "left").select("key", F.coalesce("lead", "pivot").alias("lead"))
     rooted = work.write(rooted.join(led, "key"), "rooted")
-    mixed = work.write(rooted.groupBy("key").agg(F.sum((F.col("root") != F.col("lead")).cast("long")).alias("strays")).where("strays > 0"), "mixed")
-    left_over = rooted.join(mixed, "key").join(reps.select(F.col("rep").alias("doc_id"), "sig"), "doc_id")
+    mixed = rooted.groupBy("key").agg(F.max((F.col("root") != F.col("lead")).cast("int")).alias("strays")).where("strays > 0")
+    unsettled = work.write(rooted.drop("many").join(mixed.select("key"), "key"), "unsettled")
+    own = sets.join(unsettled.select("doc_id").distinct(), "doc_id")
+    common = _shared_counts(work, own).where(100 * F.col("common") >= percent * F.col("n"))
+    able = work.write(unsettled.join(common, "doc_id").join(reps.select(F.col("rep").alias("doc_id"), "sig"), "doc_id"), "able")
+    size = able.groupBy("key").agg(F.count("*").alias("many"), F.sum((F.col("root") != F.col("lead")).cast("long")).alias("strays")).where("strays > 0")
+    left_over = able.join(work.write(size, "size"), "key")
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = work.write(_residual(left_over, percent).join(tried, ["a", "b"], "left_anti"), "more")
     if more.isEmpty():
@@ -259,10 +289,21 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, work: Wor
     by_fp = work.write(classes.where("rows > 1").select("fp", "rep"), "by_fp")
     grouped = meta.select("doc_id", "n", "fp").join(by_fp, "fp", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     out = grouped.join(second.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    work.drop("reps", "shared", "members", "ranked", "pivots", "stars", "sets", "rooted", "mixed", "more")
+    work.drop("reps", "shared", "members", "ranked", "pivots", "stars", "sets", "rooted", "unsettled", "able", "size", "more")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("root")).alias("component_id"), F.coalesce(F.col("doc_id") == F.col("root"), F.lit(True)).alias("kept"))
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, linked where 100 * common >= 85 * union."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), percent=85)
+
+
+OP1_SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select doc_id, case when len(ws) >= 5 then list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end as sh from w),
+u as (select doc_id, md5(unnest(sh)) as g from s),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as n from u a join u b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+l as (select a, b from c join s x on x.doc_id = a join s y on y.doc_id = b where 100 * n >= 85 * (len(x.sh) + len(y.sh) - n)),
+r as (select doc_id as d, doc_id as m from s union select r.d, l.b from r join l on r.m = l.a)
+select s.doc_id, cast(len(any_value(s.sh)) as bigint) as n_shingles, min(r.m) as component_id, s.doc_id = min(r.m) as kept from s join r on r.d = s.doc_id group by s.doc_id
+"""
