@@ -701,12 +701,12 @@ def split_ratio_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.split_by_ratio(table(spark, sf_dir, "documents").select("doc_id", "lang"), ["doc_id"], ["lang"])
 
 
-@query("""select * from (select c_name as name, cast(c_nationkey as varchar) as nation from customer order by md5('7|' || c_name), c_name limit 60)
-union all select * from (select s_name, cast(s_nationkey as varchar) from supplier order by md5('7|' || s_name), s_name limit 30)""")
+@query("""select * from (select c_name as name, cast(c_nationkey as varchar) as nation from customer order by md5('7|' || c_name), c_name limit 10)
+union all select * from (select s_name, cast(s_nationkey as varchar) from supplier order by md5('7|' || s_name), s_name limit 5)""")
 def sample_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), F.col("c_nationkey").cast("string").alias("nation"))
     b = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.col("s_nationkey").cast("string").alias("nation"))
-    return sampling.sample_merge([a, b], [2, 1], 90, ["name"], seed=7)
+    return sampling.sample_merge([a, b], [2, 1], 15, ["name"], seed=7)
 
 
 @query()
