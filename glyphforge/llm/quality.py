@@ -83,12 +83,12 @@ class Model:
         dh *= 1 - f["h"] ** 2
         return {"w": x.T @ dh, "b": dh.sum(axis=0), "v": f["h"].T @ dt, "u": f["h"].T @ dg, "a": (f["t"] * f["g"]).T @ de, "c": f["z"].T @ dy, "d": dy.sum(keepdims=True)}
 
-    def fit(self, bags: list[np.ndarray], y: np.ndarray, epochs: int = 20, lot: int = 64, rate: float = 3e-3, decay: float = 1e-4) -> Model:
-        """Adam over shuffled lots of documents; the same bags in the same order give the same model."""
+    def fit(self, bags: list[np.ndarray], y: np.ndarray, steps: int = 1200, lot: int = 64, rate: float = 3e-3, decay: float = 1e-4) -> Model:
+        """Adam over shuffled lots of documents, about `steps` of them; the same bags in the same order give the same model."""
         allx = np.concatenate(bags)
         self.mean, self.spread = allx.mean(axis=0, dtype=np.float64), np.maximum(allx.std(axis=0, dtype=np.float64), 1e-2)
         rng, m1, m2, step = np.random.default_rng(11), {}, {}, 0
-        for _ in range(epochs):
+        for _ in range(-(-steps * lot // len(bags))):
             order = rng.permutation(len(bags))
             for i in range(0, len(order), lot):
                 some = order[i : i + lot]
