@@ -116,7 +116,8 @@ class Mix:
 
     def _copies(self, spark: SparkSession, size: list[int], goal: list[float], seed: int) -> DataFrame:
         blocks = np.array([-(-s // self.block) for s in size], np.int64)
-        slots = np.minimum(np.array([round(t / self.block) for t in goal], np.int64), MOST_ROUNDS * blocks) if size else blocks
+        # A source's last block may be short, so slots are counted in its average block.
+        slots = np.array([min(round(t * n / s), MOST_ROUNDS * n) if s else 0 for t, n, s in zip(goal, blocks.tolist(), size, strict=True)], np.int64)
         shards = max(1, -(-int(slots.sum()) // SHARD))
 
         def run(batch: pa.RecordBatch) -> pa.Table:
