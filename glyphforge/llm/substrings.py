@@ -64,17 +64,23 @@ def covered(work: Workspace, docs: DataFrame, size: int) -> DataFrame:
             part = slice(ends[r], ends[r + 1])
             some[part] = np.isin(x.anchor[part], flat[at[r] : at[r + 1]])
         i = np.flatnonzero(some)
-        return pa.record_batch({"hash": pa.array(x.hash[i]), "doc_id": column(batch, "doc_id").take(pa.array(x.row[i])), "pos": pa.array(x.pos[i], pa.int64())})
+        order = np.lexsort((x.pos[i], x.hash[i], x.row[i]))
+        row, h = x.row[i][order], x.hash[i][order]
+        again = np.zeros(len(i), bool)
+        again[order[1:]] = (row[1:] == row[:-1]) & (h[1:] == h[:-1])
+        return pa.record_batch({"hash": pa.array(x.hash[i]), "doc_id": column(batch, "doc_id").take(pa.array(x.row[i])), "pos": pa.array(x.pos[i], pa.int32()), "again": pa.array(again)})
 
     texts = docs.join(alive, docs["doc_id"].eqNullSafe(alive["id"])).drop("id")
-    level2 = work.write(map_batches(texts, extended, "hash long, doc_id long, pos long", text="text"), "level2")
+    level2 = work.write(map_batches(texts, extended, "hash long, doc_id long, pos int, again boolean", text="text"), "level2")
     work.free()
-    # Ids are compared with null first, as the minimum of a struct does.
-    first = level2.groupBy("hash").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1").select("hash", "first")
-    first = work.write(first, "first")
+    # Repeats within a document are known already; between documents all but the smallest id's are later (null comes first).
+    rank = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    ends = level2.where("not again").groupBy("hash").agg(F.min(rank).alias("least"), F.max(rank).alias("most")).where("least <> most")
+    first = work.write(ends.select("hash", "least"), "first")
     work.free()
-    later = level2.join(first, "hash").where(F.struct("doc_id", "pos") > F.col("first"))
-    later = work.write(later.groupBy("doc_id").agg(F.collect_list(F.col("pos").cast("int")).alias("starts")), "later")
+    across = level2.where("not again").select("hash", "doc_id", "pos").join(first, "hash").where(rank > F.col("least")).select("doc_id", "pos")
+    within = level2.where("again").select("doc_id", "pos")
+    later = work.write(across.union(within).groupBy("doc_id").agg(F.collect_list("pos").alias("starts")), "later")
     work.drop("level1", "alive", "level2", "first")
     work.free()
     return later
@@ -85,8 +91,9 @@ def drop_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 
     docs: doc_id long, text string; other columns are not looked at. Earlier is a smaller doc_id (null first), or an earlier
     start in the same document; windows are judged on the input. Returns doc_id, n_words, n_removed and kept (the words that
-    stay, joined by one space), a row for each input row. A null or empty text has no words; rows that repeat a doc_id are
-    taken for one document, so a window at the same place of both is no repeat. An empty table gives an empty table.
+    stay, joined by one space), a row for each input row. A null or empty text has no words. Rows that repeat a doc_id are no
+    repeats of each other, only of smaller ids; what is removed from one of them by place is removed from all. An empty table
+    gives an empty table.
     """
     work = Workspace(docs.sparkSession, "substrings")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
