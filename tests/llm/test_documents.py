@@ -194,6 +194,24 @@ def test_lines_variable_word(spark):
     assert lines.drop_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def foot_rows(foot, n: int = 12, seed: int = 10) -> list[tuple]:
+    """n documents of their own text between which foot(i) stands."""
+    rng = random.Random(seed)
+    prose = lambda k: " ".join("".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(k))
+    return [(i, f"{prose(12)}\n{prose(11)}\n{foot(i)}\n{prose(13)}") for i in range(n)]
+
+
+def removed(spark, rows: list[tuple]) -> dict:
+    return {r.doc_id: r.n_removed for r in lines.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
+def test_lines_short(spark):
+    """Lines of 1 to 3 tokens are dropped as others are; three documents are too few."""
+    for foot in ("Share", "Read more", "All rights reserved."):
+        assert set(removed(spark, foot_rows(lambda i, f=foot: f)).values()) == {1}
+        assert set(removed(spark, foot_rows(lambda i, f=foot: f, n=3)).values()) == {0}
+
+
 def test_targets():
     assert mixing.targets([100, 100, 100], [1, 1, 1]) == [100, 100, 100]
     assert mixing.targets([10, 100, 100], [3, 1, 1]) == [30, 90, 90]
