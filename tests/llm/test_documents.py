@@ -212,6 +212,13 @@ def test_lines_short(spark):
         assert set(removed(spark, foot_rows(lambda i, f=foot: f, n=3)).values()) == {0}
 
 
+def test_lines_copies_protect_nothing(spark):
+    """However often one of the documents is copied, the line that it shares with others goes, and its own lines stay."""
+    rows = foot_rows(lambda i: "Please tell all your friends about us")
+    rows += [(100 + i, rows[0][1]) for i in range(40)]
+    assert set(removed(spark, rows).values()) == {1}
+
+
 def test_targets():
     assert mixing.targets([100, 100, 100], [1, 1, 1]) == [100, 100, 100]
     assert mixing.targets([10, 100, 100], [3, 1, 1]) == [30, 90, 90]
