@@ -219,6 +219,29 @@ def test_lines_copies_protect_nothing(spark):
     assert set(removed(spark, rows).values()) == {1}
 
 
+def test_lines_blocks(spark):
+    """All lines of a block of boilerplate go, at the end of the text too."""
+    block = "Read our terms first\nWrite to us at any time\nNo part may be reproduced\nThank you for reading"
+    rows = foot_rows(lambda i: block)
+    assert set(removed(spark, rows).values()) == {4}
+    assert set(removed(spark, [(i, t.rsplit("\n", 1)[0]) for i, t in rows]).values()) == {4}
+
+
+def test_lines_near_copies(spark):
+    """Near copies count as one document: a large group of them keeps its lines, and loses what other documents have too."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    base = [[word() for _ in range(15)] for _ in range(14)]
+    rows = []
+    for i in range(300):
+        own = [list(x) for x in base]
+        for _ in range(3):
+            own[rng.randrange(14)][rng.randrange(15)] = word()
+        rows.append((1000 + i, "\n".join([*(" ".join(x) for x in own), "Thank you for reading"])))
+    assert set(removed(spark, rows).values()) == {0}
+    assert set(removed(spark, rows + foot_rows(lambda i: "Thank you for reading")).values()) == {1}
+
+
 def test_targets():
     assert mixing.targets([100, 100, 100], [1, 1, 1]) == [100, 100, 100]
     assert mixing.targets([10, 100, 100], [3, 1, 1]) == [30, 90, 90]
