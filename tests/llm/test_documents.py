@@ -242,6 +242,16 @@ def test_lines_near_copies(spark):
     assert set(removed(spark, rows + foot_rows(lambda i: "Thank you for reading")).values()) == {1}
 
 
+def test_lines_free_words(spark):
+    """One free word in lines of 4 tokens and more, two in lines of 6 and more; a table's numbers do not make a template of its names."""
+    rng = random.Random(6)
+    name = lambda: "".join(rng.choice("klmnop") for _ in range(7))
+    for foot in ("Posted by user {}", "Posted here by {} again", "Posted on this site by {}", "Posted by {} on this site for {}", "This page was written by {} and then it was checked for errors by {} before it came here", "This page {} was kept"):
+        assert set(removed(spark, foot_rows(lambda i, f=foot: f.format(name(), name()))).values()) == {1}, foot
+    assert set(removed(spark, foot_rows(lambda i: f"{i} {i + 3} {name()} {i}")).values()) == {0}
+    assert set(removed(spark, [(i, f"This whole text is told again by {name()}") for i in range(12)]).values()) == {0}
+
+
 def test_targets():
     assert mixing.targets([100, 100, 100], [1, 1, 1]) == [100, 100, 100]
     assert mixing.targets([10, 100, 100], [3, 1, 1]) == [30, 90, 90]
