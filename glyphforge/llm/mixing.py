@@ -76,7 +76,7 @@ class Mix:
     source of its own, last in order; a null doc_id comes first in its source; rows that repeat a doc_id are separate
     documents. An empty table gives empty tables.
 
-    placed: doc_id, src, size, start (words of the source before the document)
+    placed: doc_id, print (of source and text), src, size, start (words of the source before the document)
     copies: src, block, copies (how often the mix takes a block)
     plan: src, source, source_size, target
     """
@@ -84,13 +84,13 @@ class Mix:
     def __init__(self, docs: DataFrame, block: int = BLOCK, seed: int = 20, cycle: tuple[int, ...] = (1, 2, 3)):
         spark = docs.sparkSession
         self.work, self.block = Workspace(spark, "mix"), block
-        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
+        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"), _print().alias("print"))
 
         def count(batch: pa.RecordBatch) -> pa.RecordBatch:
             n = np.diff(Words(column(batch, "text")).first)
-            return pa.record_batch({"doc_id": column(batch, "doc_id"), "source": column(batch, "source"), "size": pa.array(n, pa.int64())})
+            return pa.record_batch({"doc_id": column(batch, "doc_id"), "print": column(batch, "print"), "source": column(batch, "source"), "size": pa.array(n, pa.int64())})
 
-        sizes = self.work.write(map_batches(docs, count, "doc_id long, source string, size long", text="text"), "sizes")
+        sizes = self.work.write(map_batches(docs, count, "doc_id long, print long, source string, size long", text="text"), "sizes")
         totals = sizes.groupBy("source").agg(F.sum("size").alias("size")).limit(MOST_SOURCES + 1).collect()
         if len(totals) > MOST_SOURCES:
             raise ValueError(f"more than {MOST_SOURCES} sources")
@@ -105,14 +105,14 @@ class Mix:
     def _place(self, sizes: DataFrame) -> DataFrame:
         """Prefix sums in order of (source, doc_id): within ranges by a window, across ranges by the ranges' sums."""
         named = sizes.join(F.broadcast(self.plan.select("src", F.col("source").alias("name"))), F.col("source").eqNullSafe(F.col("name")))  # MOST_SOURCES rows at most
-        ranged = named.select("doc_id", "src", "size").repartitionByRange("src", "doc_id", "size").withColumn("part", F.spark_partition_id())
+        ranged = named.select("doc_id", "print", "src", "size").repartitionByRange("src", "doc_id", "size", "print").withColumn("part", F.spark_partition_id())
         ranged = self.work.write(ranged, "ranged")
         sums = ranged.groupBy("src", "part").agg(F.sum("size").alias("sum"))
         before = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.select("src", "part", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("base"))
-        own = Window.partitionBy("src", "part").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-        inner = ranged.select("doc_id", "src", "part", "size", F.coalesce(F.sum("size").over(own), F.lit(0)).alias("inner"))
-        return inner.join(sums, ["src", "part"]).select("doc_id", "src", "size", (F.col("base") + F.col("inner")).alias("start"))
+        own = Window.partitionBy("src", "part").orderBy("doc_id", "size", "print").rowsBetween(Window.unboundedPreceding, -1)
+        inner = ranged.select("doc_id", "print", "src", "part", "size", F.coalesce(F.sum("size").over(own), F.lit(0)).alias("inner"))
+        return inner.join(sums, ["src", "part"]).select("doc_id", "print", "src", "size", (F.col("base") + F.col("inner")).alias("start"))
 
     def _copies(self, spark: SparkSession, size: list[int], goal: list[float], seed: int) -> DataFrame:
         blocks = np.array([-(-s // self.block) for s in size], np.int64)
@@ -135,7 +135,7 @@ class Mix:
         return drawn.groupBy("src", "block").agg(F.sum("copies").alias("copies"))
 
     def pieces(self) -> DataFrame:
-        """src, start, doc_id, size, block, words (of the document in that block), copies: documents and blocks that meet."""
+        """src, start, doc_id, print, size, block, words (of the document in that block), copies: documents and blocks that meet."""
         ends = F.col("start") + F.col("size")
         spread = self.placed.where("size > 0").withColumn("block", F.explode(F.sequence(_whole(F.col("start"), self.block), _whole(ends - 1, self.block))))
         words = F.least(ends, (F.col("block") + 1) * self.block) - F.greatest("start", F.col("block") * self.block)
@@ -151,11 +151,17 @@ class Mix:
         """The documents that the mix takes, all their columns: text holds the words taken, each further round on new lines.
 
         A run of blocks is cut out of the text as it stands, so a document taken whole and once stays as it is. n_chars, if
-        there, follows the text. Rows that repeat a doc_id and size all get the words of the first of them.
+        there, follows the text. Each row gets its own blocks, be its doc_id null or repeated: rows meet their places by doc_id,
+        source and text, and rows that agree in all of these take their places in turn.
         """
         block = self.block
-        used = self.pieces().where("copies > 0").groupBy("src", "start", "doc_id").agg(F.sort_array(F.collect_list(F.struct("block", F.col("copies").cast("int").alias("copies")))).alias("b"))
-        used = used.groupBy("doc_id").agg(F.min_by(F.struct("start", "b"), F.struct("src", "start")).alias("u")).select(F.col("doc_id").alias("__id"), F.col("u.start").alias("__start"), F.col("u.b.block").alias("__blocks"), F.col("u.b.copies").alias("__copies"))
+        same = Window.partitionBy("__none", "__id", "__print")
+        placed = self.placed.where("size > 0").withColumn("__none", F.col("doc_id").isNull()).withColumn("__id", F.coalesce("doc_id", F.lit(0))).withColumnRenamed("print", "__print")
+        turns = placed.select("__none", "__id", "__print", "src", F.col("start").alias("__start"), F.row_number().over(same.orderBy("start")).alias("__turn"))
+        used = self.pieces().where("copies > 0").groupBy("src", F.col("start").alias("__start")).agg(F.sort_array(F.collect_list(F.struct("block", F.col("copies").cast("int").alias("copies")))).alias("b"))
+        used = used.join(turns, ["src", "__start"]).select("__none", "__id", "__print", "__turn", "__start", F.col("b.block").alias("__blocks"), F.col("b.copies").alias("__copies"))
+        own = docs.withColumn("__none", docs["doc_id"].isNull()).withColumn("__id", F.coalesce(docs["doc_id"].cast("long"), F.lit(0))).withColumn("__print", _print())
+        own = own.withColumn("__turn", F.row_number().over(same.orderBy(F.lit(0))))
         names = docs.columns
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -183,7 +189,12 @@ class Mix:
                 found["n_chars"] = pa.array([len(t) for t in new], found["n_chars"].type)
             return pa.record_batch({c: found[c] for c in names})
 
-        return map_batches(docs.join(used, docs["doc_id"].cast("long").eqNullSafe(used["__id"])).drop("__id"), run, docs.schema, text="text")
+        return map_batches(own.join(used, ["__none", "__id", "__print", "__turn"]), run, docs.schema, text="text")
+
+
+def _print() -> Column:
+    """A fingerprint of a row's source and text, by which rows of one doc_id are told apart."""
+    return F.xxhash64(F.col("source").isNull(), F.col("source").cast("string"), F.col("text").cast("string"))
 
 
 def _whole(c: Column, n: int) -> Column:

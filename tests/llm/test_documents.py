@@ -300,6 +300,28 @@ def test_mix_edges(spark):
     assert mixing.Mix(spark.createDataFrame([], clash)).taken().collect() == []
 
 
+def test_mix_rows_of_one_id(spark):
+    """Rows with no id, or with one that repeats, get the words of their own blocks, whatever their sizes and sources."""
+    text = lambda tag, n: " ".join(f"{tag}{k}" for k in range(n))
+    rows = [(None, text("a", 2000), "a"), (None, text("b", 100), "b"), (None, text("c", 70), "b"), (7, text("d", 900), "a"), (7, text("e", 30), "b"), (7, text("f", 30), "b")]
+    df = spark.createDataFrame([*rows, rows[2], rows[2]], "doc_id long, text string, source string").repartition(3)
+    m = mixing.Mix(df, block=16)
+    want = sorted(r.taken for r in m.taken().collect() if r.taken)
+    out = m.texts(df).collect()
+    assert sorted(len(words(r.text)) for r in out) == want
+    # Each text is of its own row's words, and what is taken of a row adds up with the plan's sizes.
+    size = {"abcdef"[i]: len(words(r[1])) for i, r in enumerate(rows)}
+    taken = {}
+    for r in m.taken().collect():
+        taken.setdefault((r.doc_id, r["size"]), []).append(r.taken)
+    got = {}
+    for r in out:
+        tags = {w[0] for w in words(r.text)}
+        assert len(tags) == 1
+        got.setdefault((r.doc_id, size[tags.pop()]), []).append(len(words(r.text)))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(x for x in v if x) for k, v in taken.items() if any(v)}
+
+
 def test_quality(spark):
     rng = random.Random(1)
     vocab = ["the", "old", "river", "runs", "past", "a", "small", "town", "and", "its", "mill"]
