@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import atexit
 import ctypes
-import gc
 import hashlib
 import os
 import tempfile
@@ -21,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text bytes that one numpy step takes at most (a single longer text makes a step of its own).
 STEP_BYTES = 1 << 20
@@ -29,6 +29,11 @@ BATCH_BYTES = 8 << 20
 #: Words longer than this are hashed one by one.
 LONG_WORD = 64
 
+#: Spark then removes a plan's shuffle files when it has run.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: A key of at least a HOT-th of all rows is looked up in a broadcast table, which so has at most HOT rows.
+HOT = 1000
+
 _OWN_DIRS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
@@ -64,7 +69,7 @@ def ship(spark: SparkSession) -> None:
 class Workspace:
     """Tables that cut lineage: written as Parquet to the shared folder and read back, so that a lost executor loses nothing.
 
-    They go when dropped, or else when the driver ends.
+    They go when dropped, or else when the driver ends. The shuffle files of a table's plan go as soon as it is written.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -74,14 +79,17 @@ class Workspace:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        conf, before = self.spark.conf, self.spark.conf.get(_CLEANUP, None)
+        conf.set(_CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            if before is None:
+                conf.unset(_CLEANUP)
+            else:
+                conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def free(self) -> None:
-        """Let Spark remove the shuffle files of steps whose tables are written: nothing will read them again."""
-        gc.collect()
-        self.spark._jvm.System.gc()
-
     def drop(self, *names: str) -> None:
         jvm = self.spark._jvm
         for path in [f"{self.path}/{n}" for n in names] or [self.path]:
@@ -95,6 +103,21 @@ class Workspace:
             pass
 
 
+def lookup(work: Workspace, rows: DataFrame, table: DataFrame, key: str, name: str, how: str = "inner") -> DataFrame:
+    """rows joined with table by `key`, which is unique in table and never null in rows.
+
+    Rows of hot keys (see HOT) meet a broadcast of these keys' entries and are not shuffled; all others are joined by a shuffle,
+    in which no key then has more than a HOT-th of the rows.
+    """
+    total = rows.count()
+    often = work.write(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") * HOT >= total).where("n > 1").select(key), f"{name}_often")
+    if often.isEmpty():
+        return rows.join(table, key, how)
+    hot = F.broadcast(work.write(table.join(F.broadcast(often), key, "left_semi"), f"{name}_hot"))  # HOT rows at most, as often
+    near = rows.join(F.broadcast(often), key, "left_semi").join(hot, key, how)
+    return near.unionByName(rows.join(F.broadcast(often), key, "left_anti").join(table, key, how))
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], schema: str, text: str | None = None) -> DataFrame:
     """mapInArrow of a function on batches; with `text`, batches are cut so that this column has at most STEP_BYTES in each."""
 

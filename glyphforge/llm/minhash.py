@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphforge.llm.common import Words, Workspace, column, digest, map_batches, mix, window_hashes
+from glyphforge.llm.common import Words, Workspace, column, digest, lookup, map_batches, mix, window_hashes
 from glyphforge.llm.components import components
 
 SLOTS, ROWS = 128, 4
@@ -84,35 +84,39 @@ def _rounds(elements: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
-    """One 64-bit key for each band of each signature."""
-    s = sig.reshape(len(sig), BANDS, ROWS).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)[None, :] * np.uint64(0xC2B2AE3D27D4EB4F)
-    for r in range(ROWS):
-        key = mix(key + s[:, :, r])
-    return key
+    """One 64-bit key for each band of each signature, given as SLOTS 16-bit values: a band is 64 bits, hashed with its number."""
+    bands = np.ascontiguousarray(sig).view("<u8")
+    return mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64)
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """Per row: doc_id, n (set size), fp (128 bits of the set), keys (band keys), sig (16 bits of each slot, then the band
-    keys again, as bytes); fp null if empty."""
+    """Per row: doc_id, n (set size), fp (128 bits of the set), sig (16 bits of each slot, as bytes); fp and sig null if empty."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(column(batch, "text"), size)
-        sig = superminhash(sets)
-        keys = band_keys(sig).view(np.int64)
-        low = (sig & np.uint32(0xFFFF)).astype(np.uint16)
+        low = (superminhash(sets) & np.uint32(0xFFFF)).astype("<u2")
         some = [len(s) > 0 for s in sets]
         return pa.record_batch(
             {
                 "doc_id": column(batch, "doc_id"),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
                 "fp": pa.array([digest(s) if ok else None for s, ok in zip(sets, some, strict=True)], pa.binary()),
-                "keys": pa.ListArray.from_arrays(np.arange(0, (len(sets) + 1) * BANDS, BANDS, dtype=np.int32), pa.array(keys.reshape(-1))),
-                "sig": pa.array([x.tobytes() + k.tobytes() if ok else None for x, k, ok in zip(low, keys, some, strict=True)], pa.binary()),
+                "sig": pa.array([x.tobytes() if ok else None for x, ok in zip(low, some, strict=True)], pa.binary()),
             }
         )
 
-    return map_batches(docs, run, "doc_id long, n long, fp binary, keys array<long>, sig binary", text="text")
+    return map_batches(docs, run, "doc_id long, n long, fp binary, sig binary", text="text")
+
+
+def _banded(classes: DataFrame) -> DataFrame:
+    """key, band, doc_id: a row for each band of each class."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sig = np.frombuffer(b"".join(column(batch, "sig").to_pylist()), "<u2").reshape(-1, SLOTS)
+        ids = np.repeat(column(batch, "rep").to_numpy(), BANDS)
+        return pa.record_batch({"key": pa.array(band_keys(sig).reshape(-1)), "band": pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(sig))), "doc_id": pa.array(ids)})
+
+    return map_batches(classes.select("rep", "sig"), run, "key long, band int, doc_id long")
 
 
 def verify(work: Workspace, name: str, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -161,7 +165,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         sets = shingle_sets(column(batch, "text"), size)
         return pa.record_batch({"doc_id": column(batch, "doc_id"), "set": pa.array([s.tobytes() for s in sets], pa.binary())})
 
-    return map_batches(docs.join(wanted, "doc_id", "left_semi"), run, "doc_id long, set binary", text="text")
+    return map_batches(docs.join(wanted.hint("merge"), "doc_id", "left_semi"), run, "doc_id long, set binary", text="text")
 
 
 def _shared_counts(work: Workspace, sets: DataFrame) -> DataFrame:
@@ -202,9 +206,9 @@ def _residual(members: DataFrame, percent: int) -> DataFrame:
             if not ls or not rs:
                 return None
             (li, lr, ln, lc), (ri, rr, rn, rc) = (np.array([r[1:5] for r in side], np.int64).T for side in (ls, rs))
-            band, cut = ls[0][5], 2 * SLOTS
-            lsig, rsig = (np.frombuffer(b"".join(r[6][:cut] for r in side), np.uint16).reshape(len(side), SLOTS) for side in (ls, rs))
-            lkey, rkey = (np.frombuffer(b"".join(r[6][cut:] for r in side), np.int64).reshape(len(side), BANDS) for side in (ls, rs))
+            band = ls[0][5]
+            lsig, rsig = (np.frombuffer(b"".join(r[6] for r in side), "<u2").reshape(len(side), SLOTS) for side in (ls, rs))
+            lkey, rkey = lsig.view("<u8"), rsig.view("<u8")
             a, b = [], []
             for i in range(len(ls)):
                 shared = np.minimum(rc, lc[i])
@@ -256,40 +260,49 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, work: Wor
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     meta = work.write(signatures(docs, size), "meta")
     known = meta.where("doc_id is not null and fp is not null")
-    classes = work.write(known.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "classes")
-    # The representative's band keys: those of any row of the class, as equal sets have equal signatures.
-    reps = work.write(known.select("fp", "doc_id", "keys", "sig").join(classes.where("rows = 1").select("fp"), "fp", "left_anti").dropDuplicates(["fp"]).join(classes, "fp").select("rep", "keys", "sig").union(known.join(classes.where("rows = 1").select("fp"), "fp", "left_semi").select("doc_id", "keys", "sig")), "reps")
-    bands = reps.select(F.posexplode("keys").alias("band", "key"), F.col("rep").alias("doc_id"))
+    # Joins as large as the bands are merge joins at every size, so that small tables take the plan of large ones.
+    # One shuffle of the signatures, after a partial aggregate: a class keeps its smallest doc_id and that row's signature.
+    best = known.groupBy("fp").agg(F.min(F.struct("doc_id", "sig")).alias("c"), F.count("*").alias("rows"))
+    classes = work.write(best.select("fp", F.col("c.doc_id").alias("rep"), F.col("c.sig").alias("sig"), "rows"), "classes")
+    bands = _banded(classes)
     shared = work.write(bands.groupBy("key").agg(F.count("*").alias("many")).where("many > 1"), "shared")
-    members = work.write(bands.join(shared, "key"), "members")
+    members = work.write(bands.join(shared.hint("merge"), "key"), "members")
+    work.drop("shared")
     degree = members.groupBy("doc_id").agg(F.sum("many").alias("degree"))
-    ranked = work.write(members.select("key", "doc_id").join(degree, "doc_id"), "ranked")
+    ranked = work.write(members.select("key", "doc_id").join(degree.hint("merge"), "doc_id"), "ranked")
     pivots = work.write(ranked.groupBy("key").agg(F.min(F.struct(-F.col("degree"), "doc_id")).alias("p")).select("key", F.col("p.doc_id").alias("pivot")), "pivots")
-    stars = work.write(members.select("key", "doc_id").join(pivots, "key").where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars")
-    sets = work.write(_sets_of(docs, members.select("doc_id").distinct(), size), "sets")
-    links = verify(work, "star", stars, sets, percent)
-    first = components(work, links, "cc1")
-    rooted = members.join(first.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    stars = work.write(ranked.select("key", "doc_id").join(pivots.hint("merge"), "key").where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars")
+    sets = work.write(_sets_of(docs, ranked.select("doc_id").distinct(), size), "sets")
+    work.drop("ranked")
+    first = components(work, verify(work, "star", stars, sets, percent), "cc1")
+    work.drop("star_lots", "star_true")
+    rooted = members.join(first.toDF("doc_id", "root").hint("merge"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     led = pivots.join(first.toDF("pivot", "lead"), "pivot", "left").select("key", F.coalesce("lead", "pivot").alias("lead"))
-    rooted = work.write(rooted.join(led, "key"), "rooted")
+    rooted = work.write(rooted.join(led.hint("merge"), "key"), "rooted")
+    work.drop("members", "pivots")
     mixed = rooted.groupBy("key").agg(F.max((F.col("root") != F.col("lead")).cast("int")).alias("strays")).where("strays > 0")
-    unsettled = work.write(rooted.drop("many").join(mixed.select("key"), "key"), "unsettled")
-    own = sets.join(unsettled.select("doc_id").distinct(), "doc_id")
+    unsettled = work.write(rooted.drop("many").join(mixed.select("key").hint("merge"), "key"), "unsettled")
+    work.drop("rooted")
+    own = sets.join(unsettled.select("doc_id").distinct().hint("merge"), "doc_id")
     common = _shared_counts(work, own).where(100 * F.col("common") >= percent * F.col("n"))
-    able = work.write(unsettled.join(common, "doc_id").join(reps.select(F.col("rep").alias("doc_id"), "sig"), "doc_id"), "able")
+    able = work.write(unsettled.join(common, "doc_id").join(classes.select(F.col("rep").alias("doc_id"), "sig"), "doc_id"), "able")
+    work.drop("unsettled")
     size = able.groupBy("key").agg(F.count("*").alias("many"), F.sum((F.col("root") != F.col("lead")).cast("long")).alias("strays")).where("strays > 0")
     left_over = able.join(work.write(size, "size"), "key")
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = work.write(_residual(left_over, percent).join(tried, ["a", "b"], "left_anti"), "more")
-    if more.isEmpty():
-        second = first
-    else:
+    work.drop("able", "size", "stars")
+    second = first
+    if not more.isEmpty():
         extra = verify(work, "rest", more, sets, percent)
         second = components(work, extra.union(first.select("node", "root")), "cc2")
-    by_fp = work.write(classes.where("rows > 1").select("fp", "rep"), "by_fp")
-    grouped = meta.select("doc_id", "n", "fp").join(by_fp, "fp", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
-    out = grouped.join(second.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    work.drop("reps", "shared", "members", "ranked", "pivots", "stars", "sets", "rooted", "unsettled", "able", "size", "more")
+        work.drop("rest_lots", "rest_true")
+    work.drop("sets", "more")
+    # Rows meet their class by fingerprint; those without one have a key of their own, and hot classes are not shuffled.
+    by_fp = work.write(classes.select(F.col("fp").alias("key"), "rep").join(second.toDF("rep", "root"), "rep", "left").select("key", F.coalesce("root", "rep").alias("root")), "by_fp")
+    work.drop("classes")
+    keyed = meta.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & F.col("fp").isNotNull(), F.col("fp")).otherwise(F.concat(F.lit("row "), F.monotonically_increasing_id()).cast("binary")).alias("key"))
+    out = lookup(work, keyed, by_fp, "key", "rows", "left").withColumn("root", F.coalesce("root", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("root")).alias("component_id"), F.coalesce(F.col("doc_id") == F.col("root"), F.lit(True)).alias("kept"))
 
 

@@ -49,10 +49,8 @@ def covered(work: Workspace, docs: DataFrame, size: int) -> DataFrame:
 
     level1 = map_batches(docs, anchors, "anchor long, doc_id long", text="text")
     again = work.write(level1.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "level1")
-    work.free()
     alive = level1.join(again, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
     alive = work.write(alive.withColumnRenamed("doc_id", "id"), "alive")
-    work.free()
 
     def extended(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = Windows(column(batch, "text"), size)
@@ -72,17 +70,14 @@ def covered(work: Workspace, docs: DataFrame, size: int) -> DataFrame:
 
     texts = docs.join(alive, docs["doc_id"].eqNullSafe(alive["id"])).drop("id")
     level2 = work.write(map_batches(texts, extended, "hash long, doc_id long, pos int, again boolean", text="text"), "level2")
-    work.free()
     # Repeats within a document are known already; between documents all but the smallest id's are later (null comes first).
     rank = F.coalesce("doc_id", F.lit(-(1 << 63)))
     ends = level2.where("not again").groupBy("hash").agg(F.min(rank).alias("least"), F.max(rank).alias("most")).where("least <> most")
     first = work.write(ends.select("hash", "least"), "first")
-    work.free()
     across = level2.where("not again").select("hash", "doc_id", "pos").join(first, "hash").where(rank > F.col("least")).select("doc_id", "pos")
     within = level2.where("again").select("doc_id", "pos")
     later = work.write(across.union(within).groupBy("doc_id").agg(F.collect_list("pos").alias("starts")), "later")
     work.drop("level1", "alive", "level2", "first")
-    work.free()
     return later
 
 
