@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import operator
 import random
 
 import numpy as np
@@ -58,23 +60,40 @@ def test_link_vectors(spark):
     assert embeddings.link_vectors(df.limit(0)).collect() == []
 
 
-def test_recall_at_the_bound():
-    """Pairs at a cosine of exactly the bound are found by some table."""
-    rng = np.random.default_rng(5)
-    base = rng.normal(size=(4000, 64))
-    base /= np.linalg.norm(base, axis=1, keepdims=True)
+@pytest.mark.parametrize("dim", [2, 4, 8, 16, 64, 256])
+def test_recall_at_the_bound(spark, dim):
+    """Through the whole operator: random vectors, and a partner of each at a cosine just above the bound."""
+    rng = np.random.default_rng(dim)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    base = unit(rng.normal(size=(300, dim)))
     side = rng.normal(size=base.shape)
-    side -= (side * base).sum(axis=1, keepdims=True) * base
-    side /= np.linalg.norm(side, axis=1, keepdims=True)
-    other = 0.95 * base + np.sqrt(1 - 0.95**2) * side
-    itq = embeddings.Itq(base, 64)
-    budget = int(embeddings.PROBE * 0.1 * embeddings._FINE)
-    (bx, sx), (by, sy) = itq.project(base), itq.project(other)
-    differ = bx != by
-    found = np.zeros(len(base), bool)
-    for p in itq.pieces:
-        found |= ((differ * sx)[:, p].sum(axis=1) <= budget) | ((differ * sy)[:, p].sum(axis=1) <= budget)
-    assert found.mean() > 0.99
+    side = unit(side - (side * base).sum(axis=1, keepdims=True) * base)
+    cosine = rng.uniform(0.95001, 0.955, size=(300, 1))
+    every = np.concatenate([base, cosine * base + np.sqrt(1 - cosine**2) * side]) * rng.uniform(0.1, 9, size=(600, 1))
+    near = unit(every) @ unit(every).T >= 0.95
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(every)], "vec_id long, embedding array<double>").repartition(3)
+    got = {r.vec_id: r.n_links for r in embeddings.link_vectors(df).collect()}
+    assert all(got[i] <= near[i].sum() for i in got)
+    assert sum(got.values()) >= 0.99 * near.sum()
+
+
+def test_link_vectors_of_any_size_and_length(spark):
+    """Norms whose squares overflow, lengths that are not the commonest, many vectors near each other, repeated ids."""
+    rng = np.random.default_rng(9)
+    short = rng.normal(size=3)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(20, 8)).tolist())] + [(30, [1e200] * 8), (31, [3e201] * 8), (40, short.tolist()), (41, (short * 5).tolist()), (42, (-short).tolist()), (50, [1e-200] * 8)]
+    rows += [(100 + i, (np.eye(8)[0] + rng.normal(size=8) * 1e-3).tolist()) for i in range(200)] + [(100, [0.0] * 7 + [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    held = embeddings.HELD, embeddings.BUCKET
+    embeddings.HELD, embeddings.BUCKET = 64, 50
+    try:
+        got = [(r.vec_id, r.n_links, r.component_id) for r in embeddings.link_vectors(df).collect()]
+    finally:
+        embeddings.HELD, embeddings.BUCKET = held
+    assert len(got) == len(rows)
+    assert {r[0]: r[1:] for r in got if 30 <= r[0] < 60} == {30: (2, 30), 31: (2, 30), 50: (2, 30), 40: (1, 40), 41: (1, 40), 42: (0, 42)}
+    assert all(r[1] >= 199 for r in got if r[0] > 100) and {r[2] for r in got if r[0] >= 100} == {min(r[2] for r in got if r[0] >= 100)}
 
 
 def test_top_k(spark):
@@ -100,6 +119,40 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), df.limit(0)).collect() == []
 
 
+def test_top_k_of_large_components(spark):
+    """Scores beyond 2**53, held against Python integers; ties; repeated queries of different vectors."""
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=9) * 1e6).tolist()) for i in range(120)] + [(200, [1e6] * 9), (201, [1e6] * 9), (202, [1e6] * 9), (50, [2.0] * 9), (300, [1e300] * 9)]
+    ints = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    queries = {}
+    for i, v in sorted(ints):
+        if i % 50 == 0:
+            queries.setdefault(i, v)
+    want = []
+    for q, v in queries.items():
+        best = sorted((-sum(map(operator.mul, v, w)), i) for i, w in ints if i != q)[:5]
+        want += [(q, k + 1, i, max(-(2**63), min(2**63 - 1, -s))) for k, (s, i) in enumerate(best)]
+    got = sorted(map(tuple, topk.top_k(df, df.where("vec_id % 50 = 0")).collect()))
+    assert [w for w in got if w[0] != 300] == [w for w in sorted(want) if w[0] != 300]
+    assert [w[:2] for w in got if w[0] == 300] == [(300, r) for r in range(1, 6)]
+
+
+def test_top_k_prunes():
+    """Where the best scores stand out, few local scores are read."""
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=(40, 64))
+    c = np.rint(256 * (centre[rng.integers(0, 40, 4000)] + 0.2 * rng.normal(size=(4000, 64))))
+    groups = np.array_split(np.arange(64), topk.LISTS)
+    q, all_c = topk.Turned(c[:50], None, groups), topk.Turned(c, None, groups)
+    score = c[:50] @ c.T
+    cutoff = np.sort(score, axis=1)[:, -60]
+    read = [0] * topk.LISTS
+    r, k = topk.sufficient(q, all_c, cutoff, read)
+    assert set(zip(*np.nonzero(score >= cutoff[:, None]), strict=True)) <= set(zip(r, k, strict=True))
+    assert sum(read) < 0.5 * topk.LISTS * score.size
+
+
 def judged(url: str | None, rules: list[tuple]) -> tuple:
     host = path = ""
     if url and "://" in url:
