@@ -195,13 +195,14 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word."""
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word, those of different seeds independent."""
+        start = np.uint64(seed * 0xA0761D6478BD642F & (2**64 - 1))
         lens = self.ends - self.starts
         padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
         lanes = np.ndarray((len(self.data) + 1,), "<u8", padded, strides=(1,))
         keep = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
-        h = mix(lanes[self.starts] & keep[np.minimum(lens, 8)] ^ lens.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        h = mix(lanes[self.starts] & keep[np.minimum(lens, 8)] ^ lens.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ start)
         todo = np.flatnonzero((lens > 8) & (lens <= LONG_WORD))
         at = 8
         while len(todo):
@@ -209,7 +210,7 @@ class Words:
             at += 8
             todo = todo[lens[todo] > at]
         for i in np.flatnonzero(lens > LONG_WORD):
-            h[i] = xxhash.xxh3_64_intdigest(self.data[self.starts[i] : self.ends[i]].tobytes())
+            h[i] = xxhash.xxh3_64_intdigest(self.data[self.starts[i] : self.ends[i]].tobytes(), seed)
         return h
 
 

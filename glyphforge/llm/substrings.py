@@ -1,9 +1,11 @@
 """Substring dedup by level-wise doubling.
 
-Level 1 looks at windows of half the wanted length. Not all of them need be counted: of the half-length windows inside a
-full window the one of the smallest hash is its anchor, and as the anchor depends on the words alone, a repeated full window
-has a repeated anchor. Anchors that occur once are dropped; full windows around the others survive to level 2, are hashed
-from their two halves and counted in turn. Level 2's first occurrences stay, all later ones are covered words.
+The lengths start at about BASE words and double up to the wanted size. At each length every candidate window of full size is
+looked at through its anchor, the window of that length inside it with the smallest hash: as the anchor depends on the words
+alone, a repeated full window has a repeated anchor at every length. Anchors found once are dropped, and only the windows
+around repeated ones are candidates at twice the length, until no candidates survive or the full size is reached. There
+windows are told apart by 128 bits, from two independent hashes of their words; first occurrences stay, all later ones are
+covered words.
 """
 
 from __future__ import annotations
@@ -13,86 +15,133 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphforge.llm.common import Words, Workspace, column, map_batches, mix, window_hashes
+from glyphforge.llm.common import Words, Workspace, column, lookup, map_batches, mix, window_hashes
 
-WINDOW = 20
+WINDOW, BASE = 20, 5
+
+
+def lengths(size: int, base: int = BASE) -> list[int]:
+    """The lengths of all levels: each at least half of the next, the last one `size`."""
+    out = [size]
+    while out[0] >= 2 * base:
+        out.insert(0, -(-out[0] // 2))
+    return out
+
+
+def least_within(v: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest of v[i:i + m] for every i from which m values remain, and the first place where it is."""
+    best, place, span = v, np.arange(len(v)), 1
+
+    def meet(shift: int) -> tuple[np.ndarray, np.ndarray]:
+        n = max(0, len(best) - shift)
+        later = best[shift:] < best[:n]
+        return np.where(later, best[shift:], best[:n]), np.where(later, place[shift:], place[:n])
+
+    while 2 * span <= m:
+        best, place = meet(span)
+        span *= 2
+    return meet(m - span) if span < m else (best, place)
 
 
 class Windows:
-    """Full windows of a batch of texts: row, pos (first word within the row), anchor and its place, hash (from its halves)."""
+    """Full windows of a batch of texts: row, pos (first word within the row)."""
 
     def __init__(self, texts: pa.Array, size: int):
-        self.words = w = Words(texts)
-        half = -(-size // 2)
-        level1 = window_hashes(w.hashes(), half)
+        self.words, self.size = Words(texts), size
+        self.hashes = self.words.hashes()
+        w = self.words
         n = max(0, len(w) - size + 1)
-        best, place = level1[:n].copy(), np.arange(n)
-        for j in range(1, size - half + 1):
-            better = level1[j : j + n] < best
-            best[better] = level1[j : j + n][better]
-            place[better] = np.flatnonzero(better) + j
         row = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))[:n]
-        inside = np.flatnonzero(np.arange(n) + size <= w.first[row + 1])
-        self.row, self.pos = row[inside], inside - w.first[row[inside]]
-        self.anchor, self.place = best[inside].view(np.int64), place[inside]
-        first, second = level1[inside], level1[inside + size - half]
-        self.hash = mix(mix(first + np.uint64(size)) * np.uint64(0xC2B2AE3D27D4EB4F) + second).view(np.int64)
+        self.at = np.flatnonzero(np.arange(n) + size <= w.first[row + 1])
+        self.row = row[self.at]
+        self.pos = self.at - w.first[self.row]
 
+    def anchors(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and place of each full window's anchor."""
+        best, place = least_within(window_hashes(self.hashes, length), self.size - length + 1)
+        return best[self.at].view(np.int64), place[self.at]
 
-def covered(work: Workspace, docs: DataFrame, size: int) -> DataFrame:
-    """doc_id and starts: where in the document windows begin whose words also begin a window earlier."""
+    def around(self, length: int, lists: pa.Array) -> np.ndarray:
+        """The full windows whose anchor is in their row's list."""
+        at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()[lists.offsets[0].as_py() : lists.offsets[-1].as_py()]
+        # Rows are told apart by a hash: a chance match is one more candidate.
+        tag = lambda row, a: mix(a.view(np.uint64) ^ (row.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+        listed = tag(np.repeat(np.arange(len(lists)), np.diff(at)), np.ascontiguousarray(flat))
+        return np.flatnonzero(np.isin(tag(self.row, self.anchors(length)[0]), listed))
 
-    def anchors(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = Windows(column(batch, "text"), size)
-        _, one = np.unique(x.place, return_index=True)
-        return pa.record_batch({"anchor": pa.array(x.anchor[one]), "doc_id": column(batch, "doc_id").take(pa.array(x.row[one]))})
+    def prints(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits of each of the full windows i, in two halves."""
+        other = window_hashes(self.words.hashes(seed=1), self.size)
+        return window_hashes(self.hashes, self.size)[self.at[i]], other[self.at[i]]
 
-    level1 = map_batches(docs, anchors, "anchor long, doc_id long", text="text")
-    again = work.write(level1.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "level1")
-    alive = level1.join(again, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
-    alive = work.write(alive.withColumnRenamed("doc_id", "id"), "alive")
 
-    def extended(batch: pa.RecordBatch) -> pa.RecordBatch:
+def covered(work: Workspace, docs: DataFrame, size: int, base: int = BASE) -> DataFrame:
+    """id, row and starts: where in the document windows begin whose words also begin a window earlier.
+
+    docs: id, row (a hash of id and text), text.
+    """
+    levels = lengths(size, base)
+    texts = docs.select("id", "row", "text")
+    for k, length in enumerate(levels[:-1]):
+
+        def anchors(batch: pa.RecordBatch, k: int = k, length: int = length) -> pa.RecordBatch:
+            x = Windows(column(batch, "text"), size)
+            best, place = x.anchors(length)
+            row = x.row
+            if k:
+                i = x.around(levels[k - 1], column(batch, "anchors"))
+                best, place, row = best[i], place[i], row[i]
+            _, one = np.unique(place, return_index=True)
+            return pa.record_batch({"anchor": pa.array(best[one]), "row": column(batch, "row").take(pa.array(row[one]))})
+
+        found = work.write(map_batches(texts, anchors, "anchor long, row long", text="text"), f"level{k}")
+        again = work.write(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), f"again{k}")
+        alive = lookup(work, found, again, "anchor", f"alive{k}").groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
+        alive = work.write(alive, f"rows{k}")
+        work.drop(f"level{k}", f"again{k}")
+        texts = docs.select("id", "row", "text").join(alive, "row")
+        if alive.isEmpty():
+            break
+
+    def full(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = Windows(column(batch, "text"), size)
-        some = np.zeros(len(x.row), bool)
-        lists = column(batch, "anchors")
-        at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        ends = np.searchsorted(x.row, np.arange(batch.num_rows + 1))
-        for r in range(batch.num_rows):
-            part = slice(ends[r], ends[r + 1])
-            some[part] = np.isin(x.anchor[part], flat[at[r] : at[r + 1]])
-        i = np.flatnonzero(some)
-        order = np.lexsort((x.pos[i], x.hash[i], x.row[i]))
-        row, h = x.row[i][order], x.hash[i][order]
+        i = x.around(levels[-2], column(batch, "anchors")) if len(levels) > 1 else np.arange(len(x.row))
+        one, two = x.prints(i)
+        order = np.lexsort((x.pos[i], two, one, x.row[i]))
+        row, a, b = x.row[i][order], one[order], two[order]
         again = np.zeros(len(i), bool)
-        again[order[1:]] = (row[1:] == row[:-1]) & (h[1:] == h[:-1])
-        return pa.record_batch({"hash": pa.array(x.hash[i]), "doc_id": column(batch, "doc_id").take(pa.array(x.row[i])), "pos": pa.array(x.pos[i], pa.int32()), "again": pa.array(again)})
-
-    texts = docs.join(alive, docs["doc_id"].eqNullSafe(alive["id"])).drop("id")
-    level2 = work.write(map_batches(texts, extended, "hash long, doc_id long, pos int, again boolean", text="text"), "level2")
-    # Repeats within a document are known already; between documents all but the smallest id's are later (null comes first).
-    rank = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    ends = level2.where("not again").groupBy("hash").agg(F.min(rank).alias("least"), F.max(rank).alias("most")).where("least <> most")
+        again[order[1:]] = (row[1:] == row[:-1]) & (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+        both = np.stack([one, two], axis=1)
+        where = pa.array(x.row[i])
+        return pa.record_batch({"hash": pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(i), [None, pa.py_buffer(both)]).cast(pa.binary()), "id": column(batch, "id").take(where), "row": column(batch, "row").take(where), "pos": pa.array(x.pos[i], pa.int32()), "again": pa.array(again)})
+
+    last = work.write(map_batches(texts, full, "hash binary, id long, row long, pos int, again boolean", text="text"), "full")
+    for k in range(len(levels) - 1):
+        work.drop(f"rows{k}")
+    # Repeats within a document are known already; between documents all but the smallest id's are later.
+    ends = last.where("not again").groupBy("hash").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
     first = work.write(ends.select("hash", "least"), "first")
-    across = level2.where("not again").select("hash", "doc_id", "pos").join(first, "hash").where(rank > F.col("least")).select("doc_id", "pos")
-    within = level2.where("again").select("doc_id", "pos")
-    later = work.write(across.union(within).groupBy("doc_id").agg(F.collect_list("pos").alias("starts")), "later")
-    work.drop("level1", "alive", "level2", "first")
+    across = lookup(work, last.where("not again").select("hash", "id", "row", "pos"), first, "hash", "across").where("id > least").select("id", "row", "pos")
+    within = last.where("again").select("id", "row", "pos")
+    later = work.write(across.union(within).groupBy("id", "row").agg(F.collect_list("pos").alias("starts")), "later")
+    work.drop("full", "first", "across_often", "across_hot")
     return later
 
 
-def drop_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
+def drop_repeats(docs: DataFrame, size: int = WINDOW, base: int = BASE) -> DataFrame:
     """Removes each word that a window of `size` words covers whose words also begin a window earlier in the corpus.
 
-    docs: doc_id long, text string; other columns are not looked at. Earlier is a smaller doc_id (null first), or an earlier
-    start in the same document; windows are judged on the input. Returns doc_id, n_words, n_removed and kept (the words that
-    stay, joined by one space), a row for each input row. A null or empty text has no words. Rows that repeat a doc_id are no
-    repeats of each other, only of smaller ids; what is removed from one of them by place is removed from all. An empty table
-    gives an empty table.
+    docs: doc_id long, text string; other columns are not looked at. Earlier is a smaller doc_id (null first, like the smallest
+    long), or an earlier start in the same document; windows are judged on the input. Returns doc_id, n_words, n_removed and kept
+    (the words that stay, joined by one space), a row for each input row. A null or empty text has no words. Rows that repeat
+    a doc_id are no repeats of each other, only of smaller ids. An empty table gives an empty table. `base` is about the length
+    that the doubling starts from.
     """
     work = Workspace(docs.sparkSession, "substrings")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    later = covered(work, docs, size).withColumnRenamed("doc_id", "id")
+    id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    text = F.col("text").cast("string")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_.alias("id"), F.xxhash64(id_, text).alias("row"), text.alias("text"))
+    later = covered(work, docs, size, base)
 
     def cut_out(batch: pa.RecordBatch) -> pa.RecordBatch:
         w = Words(column(batch, "text"))
@@ -123,7 +172,7 @@ def drop_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
         gone = n - np.diff(np.concatenate([[0], np.cumsum(stays)])[w.first])
         return pa.record_batch({"doc_id": column(batch, "doc_id"), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept": pa.array(kept, pa.string())})
 
-    joined = docs.join(later, docs["doc_id"].eqNullSafe(later["id"]), "left").drop("id")
+    joined = docs.join(later, ["id", "row"], "left").select("doc_id", "text", "starts")
     return map_batches(joined, cut_out, "doc_id long, n_words long, n_removed long, kept string", text="text")
 
 

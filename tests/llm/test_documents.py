@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from glyphforge.llm import bpe, components, lines, minhash, mixing, quality, substrings
@@ -145,13 +146,29 @@ def cut_repeats(rows: list[tuple], size: int = 20) -> dict:
     return out
 
 
-@pytest.mark.parametrize("size", [20, 7, 2])
+@pytest.mark.parametrize("size", [3, 5, 20, 33])
 def test_substrings(docs, rows, size):
     rows = [r if r[1] is not None else (r[0], "", *r[2:]) for r in rows]
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.drop_repeats(docs, size).collect()}
     assert got == cut_repeats(rows, size)
 
 
+def test_windows_are_told_apart_by_128_bits():
+    """Of windows that agree in one 64-bit hash and not in the other, none is taken for a repeat."""
+    text = " ".join(f"w{i}" for i in range(40))
+    x = substrings.Windows(pa.array([text, text, text.replace("w7", "v7")]), 20)
+    one, two = x.prints(np.arange(len(x.row)))
+    assert (one[:21] == one[21:42]).all() and (two[:21] == two[21:42]).all()
+    differ = np.arange(21) <= 7
+    assert ((one[42:] != one[:21]) == differ).all() and ((two[42:] != two[:21]) == differ).all()
+    assert not (one == two).any()
+    assert substrings.lengths(33) == [9, 17, 33] and substrings.lengths(20) == [5, 10, 20] and substrings.lengths(5) == [5]
+    v = np.random.default_rng(0).integers(0, 50, 200)
+    for m in (1, 2, 7, 16):
+        best, place = substrings.least_within(v, m)
+        assert place.tolist() == [i + int(v[i : i + m].argmin()) for i in range(len(v) - m + 1)] and (best == v[place]).all()
+
+
 def test_substrings_edges(spark):
     t = " ".join(f"w{i}" for i in range(30))
     clash = "doc_id long, text string, id long, starts string, anchors long"
