@@ -29,7 +29,7 @@ from glyphforge.llm.common import Workspace, column, give_back, lookup, map_batc
 from glyphforge.llm.components import components, forest
 
 BITS = 64
-#: Bits of a piece: about the logarithm of the number of vectors, within these limits.
+#: Bits of a piece: five more than the logarithm of the number of vectors, so that few lookups find a bucket, within these limits.
 LEAST_PIECE, MOST_PIECE = 12, 22
 #: Vectors that ITQ is fitted on at most, those of the smallest hashes of their ids; every vector is indexed.
 SAMPLE = 8192
@@ -51,7 +51,7 @@ class Itq:
 
     def __init__(self, sample: np.ndarray, dim: int, count: int = 0, least: float = 0.95, rounds: int = 30, seed: int = 3):
         bits = min(BITS, dim)
-        wide = min(MOST_PIECE, max(LEAST_PIECE, math.ceil(math.log2(max(2, count)))))
+        wide = min(MOST_PIECE, max(LEAST_PIECE, math.ceil(math.log2(max(2, count))) + 5))
         self.pieces = np.array_split(np.arange(bits), max(1, -(-bits // MOST_PIECE), bits // wide))
         rng = np.random.default_rng(seed)
         self.mean = sample.mean(axis=0) if len(sample) else np.zeros(dim)

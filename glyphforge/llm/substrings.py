@@ -2,10 +2,12 @@
 
 The lengths start at about BASE words and double up to the wanted size. At each length every candidate window of full size is
 looked at through its anchor, the window of that length inside it with the smallest hash: as the anchor depends on the words
-alone, a repeated full window has a repeated anchor at every length. Anchors found once are dropped, and only the windows
-around repeated ones are candidates at twice the length, until no candidates survive or the full size is reached. There
-windows are told apart by 128 bits, from two independent hashes of their words; first occurrences stay, all later ones are
-covered words.
+alone, a repeated full window has a repeated anchor at every length. Windows whose anchor is found once are dropped, and only
+the others are candidates at twice the length, until no candidates survive or the full size is reached. There windows are told
+apart by 128 bits, from two independent hashes of their words; first occurrences stay, all others are covered words.
+
+An anchor that is found once, and a window's first occurrence, are known with the document that holds them from an aggregate
+alone. So no window is joined with any other, and a passage that very many documents share is reduced before the shuffle.
 """
 
 from __future__ import annotations
@@ -15,9 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphforge.llm.common import Words, Workspace, column, lookup, map_batches, mix, window_hashes
+from glyphforge.llm.common import Words, Workspace, column, map_batches, mix, window_hashes
 
-WINDOW, BASE = 20, 5
+WINDOW, BASE = 20, 10
 
 
 def lengths(size: int, base: int = BASE) -> list[int]:
@@ -61,13 +63,15 @@ class Windows:
         best, place = least_within(window_hashes(self.hashes, length), self.size - length + 1)
         return best[self.at].view(np.int64), place[self.at]
 
-    def around(self, length: int, lists: pa.Array) -> np.ndarray:
-        """The full windows whose anchor is in their row's list."""
-        at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()[lists.offsets[0].as_py() : lists.offsets[-1].as_py()]
-        # Rows are told apart by a hash: a chance match is one more candidate.
+    def alive(self, levels: list[int], lists: list[pa.Array]) -> np.ndarray:
+        """The full windows whose anchor is at no level in their row's list of those found once."""
+        ok = np.ones(len(self.row), bool)
+        # Rows are told apart by a hash of 64 bits in a batch.
         tag = lambda row, a: mix(a.view(np.uint64) ^ (row.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-        listed = tag(np.repeat(np.arange(len(lists)), np.diff(at)), np.ascontiguousarray(flat))
-        return np.flatnonzero(np.isin(tag(self.row, self.anchors(length)[0]), listed))
+        for length, found in zip(levels, lists, strict=True):
+            rows, once = flat(found)
+            ok &= ~np.isin(tag(self.row, self.anchors(length)[0]), tag(rows, once))
+        return np.flatnonzero(ok)
 
     def prints(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """128 bits of each of the full windows i, in two halves."""
@@ -75,57 +79,62 @@ class Windows:
         return window_hashes(self.hashes, self.size)[self.at[i]], other[self.at[i]]
 
 
-def covered(work: Workspace, docs: DataFrame, size: int, base: int = BASE) -> DataFrame:
-    """id, row and starts: where in the document windows begin whose words also begin a window earlier.
+def flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, value) of all values of a list array, null lists being empty."""
+    lists = lists.fill_null([]) if lists.null_count else lists
+    at = lists.offsets.to_numpy()
+    return np.repeat(np.arange(len(lists)), np.diff(at)), np.ascontiguousarray(lists.values.to_numpy()[at[0] : at[-1]])
 
-    docs: id, row (a hash of id and text), text.
-    """
-    levels = lengths(size, base)
-    texts = docs.select("id", "row", "text")
-    for k, length in enumerate(levels[:-1]):
 
-        def anchors(batch: pa.RecordBatch, k: int = k, length: int = length) -> pa.RecordBatch:
+def candidates(work: Workspace, docs: DataFrame, size: int, base: int = BASE) -> tuple[DataFrame, list[int]]:
+    """docs with once0, once1, ...: a document's anchors, at each length listed, that are found nowhere else."""
+    levels: list[int] = []
+    for k, length in enumerate(lengths(size, base)[:-1]):
+        before = list(levels)
+
+        def anchors(batch: pa.RecordBatch, before: list[int] = before, length: int = length) -> pa.RecordBatch:
             x = Windows(column(batch, "text"), size)
+            i = x.alive(before, [column(batch, f"once{j}") for j in range(len(before))])
             best, place = x.anchors(length)
-            row = x.row
-            if k:
-                i = x.around(levels[k - 1], column(batch, "anchors"))
-                best, place, row = best[i], place[i], row[i]
-            _, one = np.unique(place, return_index=True)
-            return pa.record_batch({"anchor": pa.array(best[one]), "row": column(batch, "row").take(pa.array(row[one]))})
-
-        found = work.write(map_batches(texts, anchors, "anchor long, row long", text="text"), f"level{k}")
-        again = work.write(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), f"again{k}")
-        alive = lookup(work, found, again, "anchor", f"alive{k}").groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
-        alive = work.write(alive, f"rows{k}")
-        work.drop(f"level{k}", f"again{k}")
-        texts = docs.select("id", "row", "text").join(alive, "row")
-        if alive.isEmpty():
+            _, one = np.unique(place[i], return_index=True)
+            row = pa.array(x.row[i][one])
+            return pa.record_batch({"anchor": pa.array(best[i][one]), "id": column(batch, "id").take(row), "tag": column(batch, "tag").take(row)})
+
+        found = map_batches(docs.drop("doc_id"), anchors, "anchor long, id long, tag int", text="text")
+        counts = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.min("tag").alias("tag"))
+        once = F.collect_list(F.when(F.col("n") == 1, F.col("anchor"))).alias(f"once{k}")
+        lists = work.write(counts.groupBy("id", "tag").agg(once, F.count_if(F.col("n") > 1).alias("repeated")), f"once{k}")
+        docs = docs.join(lists.drop("repeated"), ["id", "tag"], "left")
+        levels.append(length)
+        if lists.where("repeated > 0").isEmpty():
             break
+    return docs, levels
+
+
+def first_windows(work: Workspace, docs: DataFrame, levels: list[int], size: int) -> DataFrame:
+    """id, tag and firsts: where in the document candidate windows begin whose words begin a window nowhere earlier."""
 
     def full(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = Windows(column(batch, "text"), size)
-        i = x.around(levels[-2], column(batch, "anchors")) if len(levels) > 1 else np.arange(len(x.row))
+        i = x.alive(levels, [column(batch, f"once{j}") for j in range(len(levels))])
         one, two = x.prints(i)
         order = np.lexsort((x.pos[i], two, one, x.row[i]))
         row, a, b = x.row[i][order], one[order], two[order]
-        again = np.zeros(len(i), bool)
-        again[order[1:]] = (row[1:] == row[:-1]) & (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-        both = np.stack([one, two], axis=1)
-        where = pa.array(x.row[i])
-        return pa.record_batch({"hash": pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(i), [None, pa.py_buffer(both)]).cast(pa.binary()), "id": column(batch, "id").take(where), "row": column(batch, "row").take(where), "pos": pa.array(x.pos[i], pa.int32()), "again": pa.array(again)})
-
-    last = work.write(map_batches(texts, full, "hash binary, id long, row long, pos int, again boolean", text="text"), "full")
-    for k in range(len(levels) - 1):
-        work.drop(f"rows{k}")
-    # Repeats within a document are known already; between documents all but the smallest id's are later.
-    ends = last.where("not again").groupBy("hash").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
-    first = work.write(ends.select("hash", "least"), "first")
-    across = lookup(work, last.where("not again").select("hash", "id", "row", "pos"), first, "hash", "across").where("id > least").select("id", "row", "pos")
-    within = last.where("again").select("id", "row", "pos")
-    later = work.write(across.union(within).groupBy("id", "row").agg(F.collect_list("pos").alias("starts")), "later")
-    work.drop("full", "first", "across_often", "across_hot")
-    return later
+        fresh = np.ones(len(i), bool)  # the first of its kind in the document
+        fresh[1:] = (row[1:] != row[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        order, row = order[fresh], row[fresh]
+        place = (column(batch, "tag").to_numpy().astype(np.int64)[row] << 32) | x.pos[i][order]
+        return pa.record_batch({"one": pa.array(a[fresh].view(np.int64)), "two": pa.array(b[fresh].view(np.int64)), "id": column(batch, "id").take(pa.array(row)), "place": pa.array(place)})
+
+    windows = map_batches(docs.drop("doc_id"), full, "one long, two long, id long, place long", text="text")
+    # The smallest (id, tag, position): where no two texts share an id, the smallest id decides, in a cheaper aggregate.
+    shared = docs.select("id", "tag").groupBy("id").agg((F.min("tag") != F.max("tag")).alias("shared")).where("shared")
+    if shared.isEmpty():
+        first = windows.groupBy("one", "two").agg(F.min("id").alias("id"), F.min_by("place", "id").alias("place"))
+    else:
+        first = windows.groupBy("one", "two").agg(F.min(F.struct("id", "place")).alias("f")).select("f.id", "f.place")
+    first = first.select("id", F.shiftright("place", 32).cast("int").alias("tag"), F.col("place").bitwiseAND((1 << 31) - 1).cast("int").alias("pos"))
+    return work.write(first.groupBy("id", "tag").agg(F.collect_list("pos").alias("firsts")), "firsts")
 
 
 def drop_repeats(docs: DataFrame, size: int = WINDOW, base: int = BASE) -> DataFrame:
@@ -134,26 +143,29 @@ def drop_repeats(docs: DataFrame, size: int = WINDOW, base: int = BASE) -> DataF
     docs: doc_id long, text string; other columns are not looked at. Earlier is a smaller doc_id (null first, like the smallest
     long), or an earlier start in the same document; windows are judged on the input. Returns doc_id, n_words, n_removed and kept
     (the words that stay, joined by one space), a row for each input row. A null or empty text has no words. Rows that repeat
-    a doc_id are no repeats of each other, only of smaller ids. An empty table gives an empty table. `base` is about the length
-    that the doubling starts from.
+    a doc_id and a text are no repeats of each other; other texts of one doc_id (or of null) are in order of a hash. An empty
+    table gives an empty table. `base` is about the length that the doubling starts from.
     """
     work = Workspace(docs.sparkSession, "substrings")
     id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    text = F.col("text").cast("string")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_.alias("id"), F.xxhash64(id_, text).alias("row"), text.alias("text"))
-    later = covered(work, docs, size, base)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    tag = F.xxhash64(text).bitwiseAND((1 << 30) - 1).cast("int")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_.alias("id"), tag.alias("tag"), text.alias("text"))
+    docs, levels = candidates(work, docs, size, base)
+    firsts = first_windows(work, docs, levels, size)
 
     def cut_out(batch: pa.RecordBatch) -> pa.RecordBatch:
-        w = Words(column(batch, "text"))
-        starts = column(batch, "starts")
+        x = Windows(column(batch, "text"), size)
+        w = x.words
+        i = x.alive(levels, [column(batch, f"once{j}") for j in range(len(levels))])
+        rows, pos = flat(column(batch, "firsts"))
+        begins = w.first[rows] + pos
+        first = np.zeros(len(w) + 1, bool)
+        first[begins[begins < w.first[rows + 1]]] = True
+        begin = x.at[i][~first[x.at[i]]]
         at = np.zeros(len(w) + 1, np.int64)
-        filled = starts.fill_null([])
-        offs, flat = filled.offsets.to_numpy(), filled.values.to_numpy()
-        rows = np.repeat(np.arange(batch.num_rows), np.diff(offs))
-        begin = w.first[rows] + flat[offs[0] : offs[-1]]
-        fits = begin + size <= w.first[rows + 1]
-        np.add.at(at, begin[fits], 1)
-        np.add.at(at, begin[fits] + size, -1)
+        np.add.at(at, begin, 1)
+        np.add.at(at, begin + size, -1)
         stays = np.cumsum(at)[: len(w)] == 0
         # The bytes of the words that stay, each with the blank after it, which becomes a space.
         row_end = w.at[1:][np.repeat(np.arange(batch.num_rows), np.diff(w.first))]
@@ -172,7 +184,7 @@ def drop_repeats(docs: DataFrame, size: int = WINDOW, base: int = BASE) -> DataF
         gone = n - np.diff(np.concatenate([[0], np.cumsum(stays)])[w.first])
         return pa.record_batch({"doc_id": column(batch, "doc_id"), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept": pa.array(kept, pa.string())})
 
-    joined = docs.join(later, ["id", "row"], "left").select("doc_id", "text", "starts")
+    joined = docs.join(firsts, ["id", "tag"], "left").drop("id", "tag")
     return map_batches(joined, cut_out, "doc_id long, n_words long, n_removed long, kept string", text="text")
 
 

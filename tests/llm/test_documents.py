@@ -149,7 +149,7 @@ def cut_repeats(rows: list[tuple], size: int = 20) -> dict:
 @pytest.mark.parametrize("size", [3, 5, 20, 33])
 def test_substrings(docs, rows, size):
     rows = [r if r[1] is not None else (r[0], "", *r[2:]) for r in rows]
-    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.drop_repeats(docs, size).collect()}
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.drop_repeats(docs, size, base=5).collect()}
     assert got == cut_repeats(rows, size)
 
 
@@ -162,7 +162,7 @@ def test_windows_are_told_apart_by_128_bits():
     differ = np.arange(21) <= 7
     assert ((one[42:] != one[:21]) == differ).all() and ((two[42:] != two[:21]) == differ).all()
     assert not (one == two).any()
-    assert substrings.lengths(33) == [9, 17, 33] and substrings.lengths(20) == [5, 10, 20] and substrings.lengths(5) == [5]
+    assert substrings.lengths(33, 5) == [9, 17, 33] and substrings.lengths(20, 5) == [5, 10, 20] and substrings.lengths(20) == [10, 20]
     v = np.random.default_rng(0).integers(0, 50, 200)
     for m in (1, 2, 7, 16):
         best, place = substrings.least_within(v, m)
@@ -175,6 +175,9 @@ def test_substrings_edges(spark):
     rows = [(None, t, 1, "s", 1), (2, t, 1, "s", 1), (2, t, 1, "s", 1), (3, None, 1, "s", 1)]
     got = sorted((str(r.doc_id), r.n_words, r.n_removed) for r in substrings.drop_repeats(spark.createDataFrame(rows, clash)).collect())
     assert got == [("2", 30, 30), ("2", 30, 30), ("3", 0, 0), ("None", 30, 0)]
+    other = [(4, f"x {t}", 1, "s", 1), (4, t, 1, "s", 1), (4, t, 1, "s", 1)]  # two texts of one id: one of them comes first
+    got = sorted((r.n_words, r.n_removed) for r in substrings.drop_repeats(spark.createDataFrame(other, clash)).collect())
+    assert got in ([(30, 0), (30, 0), (31, 30)], [(30, 30), (30, 30), (31, 0)])
     assert substrings.drop_repeats(spark.createDataFrame([], clash)).collect() == []
 
 
