@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from glyphforge.functions.text import cell, py_float, strip
 
 _POINTS, _FLAT = "array<array<string>>", "array<string>"
+_NUMBER = r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?"
+#: The common spellings, four JSON numbers and four pairs of them, which are read without a JSON parser.
+_FOUR = rf"^\[\s*{_NUMBER}(?:\s*,\s*{_NUMBER}){{3}}\s*\]$"
+_PAIRS = rf"^\[(?:\s*\[\s*{_NUMBER}\s*,\s*{_NUMBER}\s*\]\s*,){{3}}\s*\[\s*{_NUMBER}\s*,\s*{_NUMBER}\s*\]\s*\]$"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -22,6 +26,11 @@ def _numbers(c: Column) -> Column:
     return let(F.transform(c, py_float), lambda n: F.when(~F.exists(n, lambda v: v.isNull()), n))
 
 
+def _listed(s: Column) -> Column:
+    """The numbers of a text that _FOUR or _PAIRS fits, as strings."""
+    return F.split(F.translate(s, "[] \t\n\x0b\f\r", ""), ",")
+
+
 def parse_bbox(c: Column) -> Column:
     """G1: struct(x, y, w, h) of `[x, y, w, h]` or of the box around the first four points; null where neither is there."""
 
@@ -37,21 +46,36 @@ def parse_bbox(c: Column) -> Column:
     def plain(s: Column) -> Column:
         return let(_numbers(F.slice(F.from_json(s, _FLAT), 1, 4)), lambda n: F.when(F.size(n) == 4, F.struct(*(n[i].alias(k) for i, k in enumerate("xywh")))))
 
-    return let(strip(cell(c)), lambda s: F.when(s.startswith("["), F.coalesce(let(F.slice(F.from_json(s, _POINTS), 1, 4), around), plain(s))))
+    def four(n: Column) -> Column:
+        return F.struct(*(n[i].cast("double").alias(k) for i, k in enumerate("xywh")))
 
+    def pairs(n: Column) -> Column:
+        ends = F.array(*(f(*(n[i].cast("double") for i in range(start, 8, 2))) for start in (0, 1) for f in (F.least, F.greatest)))
+        return let(ends, lambda e: F.struct(e[0].alias("x"), e[2].alias("y"), (e[1] - e[0]).alias("w"), (e[3] - e[2]).alias("h")))
 
-def bbox_format_ok(c: Column) -> Column:
-    return parse_bbox(c).isNotNull()
+    def other(s: Column) -> Column:
+        return F.coalesce(let(F.slice(F.from_json(s, _POINTS), 1, 4), around), plain(s))
 
+    return let(strip(cell(c)), lambda s: F.when(s.rlike(_FOUR), let(_listed(s), four)).when(s.rlike(_PAIRS), let(_listed(s), pairs)).when(s.startswith("["), other(s)))
 
-def bbox_value_ok(c: Column) -> Column:
-    """False only for a box that can be read and has a number that is not finite, a negative corner or no area."""
 
-    def sound(b: Column) -> Column:
-        odd = lambda v: F.isnan(v) | (F.abs(v) == float("inf"))
-        return odd(b.x) | odd(b.y) | odd(b.w) | odd(b.h) | (b.x < 0) | (b.y < 0) | (b.w <= 0) | (b.h <= 0)
+def bbox_flags(c: Column) -> Column:
+    """struct(format, value): whether a box can be read; false only for one that can and has a number that is not finite, a
+    negative corner or no area."""
 
-    return ~F.coalesce(let(parse_bbox(c), sound), F.lit(False))
+    def odd(b: Column) -> Column:
+        loose = lambda v: F.isnan(v) | (F.abs(v) == float("inf"))
+        return loose(b.x) | loose(b.y) | loose(b.w) | loose(b.h) | (b.x < 0) | (b.y < 0) | (b.w <= 0) | (b.h <= 0)
+
+    return let(parse_bbox(c), lambda b: F.struct(b.isNotNull().alias("format"), (~F.coalesce(odd(b), F.lit(False))).alias("value")))
+
+
+def bbox_format_ok(c: Column) -> Column:
+    return bbox_flags(c)["format"]
+
+
+def bbox_value_ok(c: Column) -> Column:
+    return bbox_flags(c)["value"]
 
 
 def bbox_to_points(c: Column) -> Column:
@@ -64,9 +88,16 @@ def bbox_to_points(c: Column) -> Column:
     def corners(n: Column) -> Column:
         return F.when(F.size(n) == 4, xywh_to_polygon(n[0], n[1], n[2], n[3]))
 
+    def four(n: Column) -> Column:
+        return xywh_to_polygon(*(n[i].cast("double") for i in range(4)))
+
+    def pairs(n: Column) -> Column:
+        return F.array(*(F.array(n[i].cast("double"), n[i + 1].cast("double")) for i in range(0, 8, 2)))
+
     def either(s: Column) -> Column:
         nested = let(F.transform(F.from_json(s, _POINTS), lambda p: F.transform(p, py_float)), given)
-        return F.coalesce(nested, let(_numbers(F.from_json(s, _FLAT)), corners))
+        other = F.coalesce(nested, let(_numbers(F.from_json(s, _FLAT)), corners))
+        return F.when(s.rlike(_FOUR), let(_listed(s), four)).when(s.rlike(_PAIRS), let(_listed(s), pairs)).otherwise(other)
 
     return let(strip(cell(c)), either)
 

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glyphforge.functions.formula import compile_formula
-from glyphforge.functions.geometry import aspect_bin, bbox_format_ok, bbox_to_points, bbox_value_ok, crop_box, let, parse_bbox
+from glyphforge.functions.geometry import aspect_bin, bbox_flags, bbox_to_points, crop_box, let, parse_bbox
 from glyphforge.functions.text import bucket_path, cell, extension, language_category, path_prefix, prefixed_id, py_float, replace_prefix, slashes, strip, text_id, text_length
 from glyphforge.operators.predicates import TIER_A, TIER_B, conjunction, require_columns
+from glyphforge.sources.scratch import written
 
 _SYMBOLS = {"+": "add", "sum": "add", "-": "sub", "subtract": "sub", "*": "mul", "times": "mul", "/": "div", "divide": "div"}
 
@@ -106,7 +107,8 @@ def language_category_column(df: DataFrame, column: str = "text", out: str = "la
 def validate_bbox(df: DataFrame, bbox: str = "bbox", format_col: str = "is_valid_bbox_format", value_col: str = "is_valid_bbox_value", drop_format: bool = False, drop_value: bool = False) -> DataFrame:
     """Two flags; a box that cannot be read has a valid value."""
     require_columns(df, [bbox])
-    out = df.withColumns({format_col: bbox_format_ok(F.col(bbox)), value_col: bbox_value_ok(F.col(bbox))})
+    read = df.withColumn("__box", bbox_flags(F.col(f"`{bbox}`")))  # parsed once for both
+    out = read.withColumns({format_col: F.col("__box.format"), value_col: F.col("__box.value")}).drop("__box")
     out = out.where(F.col(format_col)) if drop_format else out
     return out.where(F.col(value_col)) if drop_value else out
 
@@ -171,16 +173,25 @@ def text_table(annotations: DataFrame, origin: str = "aihub", prefix: str = "aih
     return annotations.select(text_id(scene, F.col("inner_ann_id")).alias("text_id"), scene.alias("scene_id"), cell(F.col("inner_ann_id")).alias("text_index"), F.lit(origin).alias("origin_dataset"), cell(F.col("text")).alias("label"), points.alias("points"), *extras)
 
 
-def ordinals(df: DataFrame, order: list[str], out: str) -> DataFrame:
-    """0, 1, ... in the order of `order` (which must be unique), without pulling all rows into one task.
+def ordinals(df: DataFrame, order: list[str], out: str, by: list[str] = (), total: str | None = None) -> DataFrame:
+    """0, 1, ... in the order of `order` (which must be unique), in each group of `by` if given, and the group's size as `total`.
 
-    Ranges of the order are numbered by themselves; each range then starts where those before it end.
+    No task takes all rows, nor all of a group: rows are dealt to ranges of (by, order), which are written once, as each of two
+    range exchanges would find bounds of its own; ranges are numbered by themselves, and start where those before them end.
     """
-    ranged = df.repartitionByRange(*(F.col(f"`{c}`") for c in order)).withColumn("__part", F.spark_partition_id())
-    inner = ranged.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*(F.col(f"`{c}`") for c in order))))
-    sizes = inner.groupBy("__part").agg(F.count("*").alias("__size"))  # a row for each partition
-    before = sizes.select("__part", F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    return inner.join(F.broadcast(before), "__part").withColumn(out, F.col("__before") + F.col("__n") - 1).drop("__part", "__n", "__before")
+    named = lambda names: [F.col(f"`{c}`") for c in names]
+    ranged = written(df.repartitionByRange(*named([*by, *order])).withColumn("__part", F.spark_partition_id()), "ranges")
+    keys = {f"__by{i}": F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for i, c in enumerate(by)}
+    keys |= {f"__none{i}": F.col(f"`{c}`").isNull() for i, c in enumerate(by)}
+    ranged = ranged.withColumns(keys) if keys else ranged
+    held = [*keys, "__part"]
+    inner = ranged.withColumn("__n", F.row_number().over(Window.partitionBy(*held).orderBy(*named(order))))
+    sizes = ranged.groupBy(*held).agg(F.count("*").alias("__size"))  # a row for each range, and for each group in it
+    within = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = F.coalesce(F.sum("__size").over(within.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(*held, before.alias("__before"), F.sum("__size").over(within).alias("__total"))
+    found = inner.join(sizes, held).withColumn(out, F.col("__before") + F.col("__n") - 1)
+    return (found.withColumn(total, F.col("__total")) if total else found).drop(*held, "__n", "__before", "__total")
 
 
 def rename_map(pairs: DataFrame, order: list[str], image: str = "image_file", label: str = "label_file", start: int = 1, padding: int = 0, prefix: str = "") -> DataFrame:

@@ -24,8 +24,9 @@ def pick(df: DataFrame, keys: list[Column | str], order: list[str], keep: str =
 def drop_duplicate_ids(df: DataFrame, column: str, order: list[str]) -> DataFrame:
     """O1: the first row of each trimmed id; rows with a blank id all stay."""
     require_columns(df, [column, *order])
-    key = strip(cell(F.col(f"`{column}`")))
-    return pick(df.where(key != ""), [key], order).unionByName(df.where(key == ""))
+    keyed = df.withColumn("__key", strip(cell(F.col(f"`{column}`"))))
+    keyed = keyed.withColumn("__row", F.when(F.col("__key") == "", F.monotonically_increasing_id()))  # a blank id is a key of its own
+    return pick(keyed, ["__key", "__row"], order).drop("__key", "__row")
 
 
 def drop_duplicates(df: DataFrame, subset: list[str], order: list[str], keep: str = "first") -> DataFrame:

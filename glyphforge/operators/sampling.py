@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import heapq
+import json
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphforge.functions.text import cell, strip
+from glyphforge.operators.columns import ordinals
 from glyphforge.operators.predicates import TIER_B, conjunction, require_columns
+from glyphforge.sources.scratch import written
 
 SPLITS = ("train", "val", "test")
 MISSING = "__missing_group__"
-#: Groups and their tag counts that the greedy split may hold on the driver.
-MOST_GROUP_TAGS = 20_000_000
+#: Pairs of group and tag that the greedy split holds on the driver at most; beyond, it works on classes of groups.
+MOST_GROUP_TAGS = 2_000_000
 
 
 def allocate(total: int, weights: list[float]) -> list[int]:
@@ -43,8 +47,6 @@ def take(df: DataFrame, n: int, key: list[str], seed: int, shuffle: bool = True)
 
 def take_repeated(df: DataFrame, n: int, key: list[str], seed: int) -> DataFrame:
     """n draws with replacement: draw i takes the row whose number is a hash of i."""
-    from glyphforge.operators.columns import ordinals
-
     size = df.count()
     if not size:
         return df.limit(0)
@@ -74,11 +76,12 @@ def split_by_ratio(df: DataFrame, key: list[str], groups: list[str] = (), ratio:
     require_columns(df, [*key, *groups])
     whole = sum(ratio)
     r = [x / whole for x in ratio]
-    g = [cell(F.col(f"`{c}`")) for c in groups] or [F.lit(0)]
-    order = [shuffled(key, seed), *key] if shuffle else list(key)
-    at, n = F.row_number().over(Window.partitionBy(*g).orderBy(*order)), F.count("*").over(Window.partitionBy(*g))
-    train, val = F.floor(n * F.lit(r[0])), F.floor(n * F.lit(r[1]))
-    return df.withColumn(out, F.when(at <= train, "train").when(at <= train + val, "val").otherwise("test"))
+    rows = df.withColumns({f"__group{i}": cell(F.col(f"`{c}`")) for i, c in enumerate(groups)} | ({"__order": shuffled(key, seed)} if shuffle else {}))
+    held = [f"__group{i}" for i in range(len(groups))]
+    rows = ordinals(rows, [*(["__order"] if shuffle else []), *key], "__at", held, "__size").drop(*held, "__order")
+    train, val = F.floor(F.col("__size") * F.lit(r[0])), F.floor(F.col("__size") * F.lit(r[1]))
+    at = F.col("__at")
+    return rows.withColumn(out, F.when(at < train, "train").when(at < train + val, "val").otherwise("test")).drop("__at", "__size")
 
 
 def greedy_split(counts: Mapping[str, Mapping[str, int]], ratio: tuple[float, ...]) -> dict[str, int]:
@@ -94,7 +97,7 @@ def greedy_split(counts: Mapping[str, Mapping[str, int]], ratio: tuple[float, ..
         for t, n in counts[g].items():
             left[t] = left.get(t, 0) + n
             members.setdefault(t, []).append(g)
-    total, have = dict(left), {t: [0] * len(goal) for t in left}
+    total, have, at = dict(left), {t: [0] * len(goal) for t in left}, dict.fromkeys(left, 0)
     out: dict[str, int] = {}
 
     def rank(t: str) -> tuple[int, float, str]:
@@ -112,9 +115,9 @@ def greedy_split(counts: Mapping[str, Mapping[str, int]], ratio: tuple[float, ..
         if top != rank(t):
             heapq.heappush(heap, rank(t))
             continue
-        while members[t] and members[t][0] in out:
-            members[t].pop(0)
-        g = members[t].pop(0)
+        while members[t][at[t]] in out:
+            at[t] += 1
+        g = members[t][at[t]]
         lack = [q * total[t] - h for q, h in zip(goal, have[t], strict=True)]
         s = max(range(len(goal)), key=lambda i: (lack[i], goal[i], -i)) if max(lack) > 0 else max(range(len(goal)), key=lambda i: (goal[i], -i))
         out[g] = s
@@ -130,23 +133,65 @@ def greedy_split(counts: Mapping[str, Mapping[str, int]], ratio: tuple[float, ..
     return out
 
 
-def split_tag_balanced(df: DataFrame, group: str, balance: list[str], ratio: tuple[float, float, float] = (0.8, 0.1, 0.1), filters: list[Mapping[str, Any]] | None = None, out: str = "split") -> DataFrame:
+def split_classes(classes: list[tuple[int, Mapping[str, int]]], ratio: tuple[float, ...]) -> list[list[int]]:
+    """The tag-balanced split of classes of groups that have the same tag counts (number of groups, tag -> count of each): how many
+    groups of each class go to each split.
+
+    A class is shared out by the ratio; what is left of it, less than a group a split, goes where its tags lack most.
+    """
+    goal = [r / sum(ratio) for r in ratio]
+    have: dict[str, list[float]] = {}
+    out = []
+    for groups, counts in classes:
+        shares = [int(groups * q) for q in goal]
+        lacks = {t: have.setdefault(t, [0.0] * len(goal)) for t in counts}
+        for _ in range(groups - sum(shares)):
+            short = [sum(n * (groups * q - k + lacks[t][i]) for t, n in counts.items()) for i, (q, k) in enumerate(zip(goal, shares, strict=True))]
+            shares[max(range(len(goal)), key=lambda i: (short[i], goal[i], -i))] += 1
+        for t, n in counts.items():
+            have[t] = [h + n * (groups * q - k) for h, q, k in zip(have[t], goal, shares, strict=True)]
+        out.append(shares)
+    return out
+
+
+def split_tag_balanced(df: DataFrame, group: str, balance: list[str], ratio: tuple[float, float, float] = (0.8, 0.1, 0.1), filters: list[Mapping[str, Any]] | None = None, out: str = "split", most: int = MOST_GROUP_TAGS) -> DataFrame:
     """Whole groups go to train, val or test so that every tag (column and value) comes near the ratio.
 
-    Rows that the filters do not take are dropped; blank groups make one. Only (group, tag, count) reaches the driver, whose
-    number is checked; the assignment is joined back.
+    Rows that the filters do not take are dropped; blank groups make one. Up to `most` pairs of group and tag, these go to the
+    driver and are assigned greedily, group by group. Beyond, groups of equal tag counts are one class, classes are shared out
+    in parts of the ratio (see `split_classes`), and a class's groups are numbered in the order of a hash. There the driver
+    holds a row a class and tag; where even the classes are more than `most`, each class is shared out by rounding alone.
     """
     require_columns(df, [group, *balance])
     rows = df.where(conjunction(filters, TIER_B))
     gid = F.when(strip(cell(F.col(f"`{group}`"))) == "", MISSING).otherwise(strip(cell(F.col(f"`{group}`"))))
     tags = F.array(*(F.concat(F.lit(f"{c}_"), F.when(cell(F.col(f"`{c}`")) == "", "None").otherwise(cell(F.col(f"`{c}`")))) for c in balance))
     counts = rows.select(gid.alias("g"), F.explode(tags).alias("t")).groupBy("g", "t").agg(F.count("*").alias("n"))
-    held = counts.limit(MOST_GROUP_TAGS + 1).toPandas()
-    if len(held) > MOST_GROUP_TAGS:
-        raise ValueError(f"more than {MOST_GROUP_TAGS} group tags: balance on fewer columns or coarser groups")
-    table: dict[str, dict[str, int]] = {}
-    for g, t, n in held.itertuples(index=False):
-        table.setdefault(g, {})[t] = int(n)
-    chosen = greedy_split(table, ratio)
-    assigned = df.sparkSession.createDataFrame([(g, SPLITS[s]) for g, s in chosen.items()], f"__g string, {out} string")
+    held = counts.limit(most + 1).toArrow()
+    if held.num_rows <= most:
+        table: dict[str, dict[str, int]] = {}
+        for g, t, n in zip(*(c.to_pylist() for c in held.columns), strict=True):
+            table.setdefault(g, {})[t] = n
+        chosen = greedy_split(table, ratio)
+        assigned = df.sparkSession.createDataFrame(pa.table({"__g": pa.array(chosen.keys(), pa.string()), out: pa.array([SPLITS[s] for s in chosen.values()], pa.string())}))
+    else:
+        assigned = _by_class(counts, ratio, out, most)
     return rows.drop(out).withColumn("__g", gid).join(assigned, "__g").drop("__g")
+
+
+def _by_class(counts: DataFrame, ratio: tuple[float, ...], out: str, most: int) -> DataFrame:
+    vector = F.to_json(F.sort_array(F.collect_list(F.struct("t", "n"))))
+    groups = counts.groupBy("g").agg(vector.alias("class")).withColumn("__order", F.md5("g"))
+    numbered = written(ordinals(groups, ["__order", "g"], "at", ["class"], "size"), "classes")
+    classes = numbered.where("at = 0").select("class", "size")
+    listed = classes.limit(most + 1).orderBy(F.desc("size"), "class").toArrow()
+    if listed.num_rows <= most:
+        parsed = [(n, {x["t"]: x["n"] for x in json.loads(c)}) for c, n in zip(*(x.to_pylist() for x in listed.columns), strict=True)]
+        shares = split_classes(parsed, ratio)
+        cuts = numbered.sparkSession.createDataFrame(pa.table({"class": listed["class"], "a": pa.array([s[0] for s in shares], pa.int64()), "b": pa.array([s[0] + s[1] for s in shares], pa.int64())}))
+    else:
+        a = F.round(F.col("size") * (ratio[0] / sum(ratio))).cast("long")
+        cuts = classes.select("class", a.alias("a"), F.round(F.col("size") * ((ratio[0] + ratio[1]) / sum(ratio))).cast("long").alias("b"))
+    at = F.col("at")
+    split = F.when(at < F.col("a"), SPLITS[0]).when(at < F.col("b"), SPLITS[1]).otherwise(SPLITS[2])
+    return numbered.join(cuts, "class").select(F.col("g").alias("__g"), split.alias(out))
