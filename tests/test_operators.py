@@ -6,6 +6,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from glyphforge.operators import columns, dedup, joins, paths, predicates, sampling, setops, stats
@@ -283,3 +284,39 @@ def test_stream(spark, tmp_path):
     assert q.awaitTermination(120)
     assert {r.text_id: r.is_match for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {"a": 1, "b": 0}
     assert scoring.windowed_means(scored).columns == ["window", "samples", "accuracy", "gned_sim"]
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+def test_ordinals_of_a_million_keys(spark, tmp_path, aqe):
+    """Every number once, whatever becomes of the range exchange's partitions."""
+    n, before = 1_000_000, spark.conf.get("spark.sql.adaptive.enabled")
+    path = str(tmp_path / "keys")
+    spark.range(n).select(F.md5(F.col("id").cast("string")).alias("k")).write.parquet(path)
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    try:
+        got = columns.ordinals(spark.read.parquet(path), ["k"], "o")
+        least, most, kinds, rows = got.agg(F.min("o"), F.max("o"), F.count_distinct("o"), F.count("*")).first()
+        wrong = got.select("o", F.lead("k").over(Window.orderBy("o")).alias("next"), "k").where("next <= k").limit(1).count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert (least, most, kinds, rows, wrong) == (0, n - 1, n, n, 0)
+
+
+def test_ordinals_within_groups(spark):
+    rows = [(g, i) for g, n in ((None, 5), ("", 3), ("hot", 3000), ("b", 1)) for i in range(n)]
+    got = columns.ordinals(spark.createDataFrame(rows, "g string, i int").repartition(5), ["i"], "o", ["g"], "n").collect()
+    size = {None: 5, "": 3, "hot": 3000, "b": 1}
+    assert all(r.o == r.i and r.n == size[r.g] for r in got)
+    assert len(got) == len(rows)
+    assert columns.ordinals(spark.createDataFrame([], "g string, i int"), ["i"], "o", ["g"], "n").collect() == []
+
+
+@pytest.mark.parametrize("most", [10**6, 400, 3])
+def test_split_tag_balanced_beyond_the_greedy_bound(spark, most):
+    """Greedy, by classes, and by rounding alone: whole groups, tags near the ratio."""
+    rows = [(f"g{i // 3}", "ab"[i % 3 > 0], "xyz"[i // 3 % 3]) for i in range(900)]
+    out = sampling.split_tag_balanced(spark.createDataFrame(rows, "g string, a string, b string"), "g", ["a", "b"], most=most).collect()
+    assert len(out) == 900 and len({(r.g, r.split) for r in out}) == 300
+    for tag in ("x", "y", "z"):
+        own = [r.split for r in out if r.b == tag]
+        assert abs(own.count("train") / len(own) - 0.8) < 0.03 and abs(own.count("val") / len(own) - 0.1) < 0.03

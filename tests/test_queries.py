@@ -6,6 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
+from glyphforge.plans import file_queries  # noqa: F401  registers its queries
 from glyphforge.plans.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
