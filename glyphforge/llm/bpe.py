@@ -1,17 +1,21 @@
 """BPE encoding and decoding with a bounded-lookahead streaming transducer.
 
-Encoding reads a text in pieces that end at white space. A pre-token that ends inside the window is stable at its end and is
-merged at once. A longer run of symbols goes through the transducer: for every prefix it keeps the last token of the
-prefix's encoding (the one token that may follow the encoding before it), so the encodings of all prefixes form a tree.
-Whatever follows, the final encoding passes through one of the last `lookahead` prefixes, where lookahead is the longest
-token that the merge list can build; tokens on which all of these agree are stable and are emitted, and forgotten.
-Decoding feeds each token's bytes to an incremental UTF-8 decoder, which holds back an unfinished character only.
+For every prefix of a pre-token there is exactly one last token of its encoding, the one that may follow the encoding of what
+is before it; so the encodings of all prefixes form a tree. Two tokens may stand side by side if no merge across their border
+would have come first: the merges that build the right edge of one and the left edge of the other say so (`follows`).
+Whatever comes next, the final encoding passes through one of the last `lookahead` prefixes, where lookahead is the longest
+token that the merge list can build. Tokens on which all of these agree are stable: they are emitted and forgotten. Every
+word goes through this machine, and one of any length takes the same memory.
+
+Texts are read in pieces; normalization and the classes of characters are those of the tokenizer's own file. Decoding feeds
+each token's bytes to an incremental UTF-8 machine, which holds back an unfinished character only.
 """
 
 from __future__ import annotations
 
 import codecs
 import json
+import os
 import struct
 import unicodedata
 from collections.abc import Iterator
@@ -20,21 +24,17 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphforge.llm.common import column, map_batches, ship
 
-#: Characters of a text that are read at a time, and symbols of a pre-token that are merged at once.
-PIECE, WINDOW = 1 << 16, 256
-#: Words whose tokens are remembered; when full, the memory is emptied.
-REMEMBERED = 200_000
-#: Unicode white space (fixed values).
-WHITE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-#: What str.split() takes for white space beyond that (fixed values).
-_NOT_WHITE = regex.compile("[\x1c-\x1f]")
-_SPLIT_WHITE = regex.compile(f"[{WHITE}]+")
+#: Characters of a text, and ids of a token list, that are read at a time.
+PIECE = 1 << 16
+#: Words whose tokens are remembered, and pairs of tokens that are known to fit or not; when full, the memory is emptied.
+REMEMBERED = 400_000
+#: Longer words are not remembered.
+LONG_WORD = 64
 
 
 def byte_letters() -> list[str]:
@@ -45,14 +45,19 @@ def byte_letters() -> list[str]:
 
 
 class Transducer:
-    """Symbols in, tokens out, for the merges of one vocabulary. Symbols and tokens are strings."""
+    """Symbols in, tokens out, for the merges of one vocabulary. A symbol is a character, the last one of a word with `suffix`."""
 
-    def __init__(self, merges: list[tuple[str, str]]):
+    def __init__(self, merges: list[tuple[str, str]], suffix: str = ""):
         self.rank = {pair: i for i, pair in enumerate(merges)}
-        self.built = {a + b for a, b in merges}
+        self.suffix = suffix
+        self.tokens = {a + b for a, b in merges}
         self.lookahead = self._lookahead(merges)
-        self._fits: dict[tuple[str, str], bool] = {}
-        self._whole: dict[str, bool] = {}
+        bodies = [t[: -len(suffix)] if suffix and t.endswith(suffix) else t for t in self.tokens]
+        #: What a token that is not at an end begins with, itself left out.
+        self.begins = {t[:i] for t in bodies for i in range(1, len(t))}
+        self._edges: dict[str, tuple[list, list] | None] = {}
+        self._fits: dict[str, dict[str, bool]] = {}
+        self._known = 0
 
     @staticmethod
     def _lookahead(merges: list[tuple[str, str]]) -> int:
@@ -62,104 +67,193 @@ class Transducer:
             size[a + b] = max(size.get(a + b, 0), size.get(a, 1) + size.get(b, 1))
         return max(size.values(), default=1)
 
-    def merge(self, parts: list[str]) -> list[str]:
-        """Merge a whole sequence: the pair of the smallest rank first, all its places from the left."""
-        rank, far = self.rank, 1 << 60
-        while len(parts) > 1:
-            best, pair = far, None
-            for p in zip(parts, parts[1:]):  # noqa: B905
-                r = rank.get(p, far)
-                if r < best:
-                    best, pair = r, p
-            if pair is None:
+    def symbols(self, token: str) -> list[str]:
+        if self.suffix and token.endswith(self.suffix) and len(token) > len(self.suffix):
+            body = token[: -len(self.suffix)]
+            return [*body[:-1], body[-1] + self.suffix]
+        return list(token)
+
+    def merged(self, parts: list[str]) -> tuple[list[str], dict[tuple[int, int], int]]:
+        """All merges of a short sequence, smallest rank first and from the left: what is left, and the rank at which each span
+        of symbols was built."""
+        spans = [(p, i, i + 1) for i, p in enumerate(parts)]
+        built: dict[tuple[int, int], int] = {}
+        while len(spans) > 1:
+            r, i = min((self.rank.get((a[0], b[0]), len(self.rank)), i) for i, (a, b) in enumerate(zip(spans, spans[1:], strict=False)))
+            if r == len(self.rank):
                 break
-            a, b = pair
-            out, i, n = [], 0, len(parts)
-            while i < n:
-                if parts[i] == a and i + 1 < n and parts[i + 1] == b:
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return parts
-
-    def stream(self, symbols: Iterator[str]) -> Iterator[str]:
-        """Tokens of a sequence of any length, each emitted once stable."""
-        held: list[str] = []  # symbols from the last stable place on
-        last: list[tuple[list[str], int]] = [([], 0)]  # for each prefix of held: its last token's symbols, where that starts
-        before: list[str] = []  # the last token emitted
-        for s in symbols:
-            held.append(s)
-            n = len(held)
-            for k in range(min(n, self.lookahead), 0, -1):
-                piece = held[n - k :]
-                if k > 1 and "".join(piece) not in self.built:
-                    continue
-                prior = last[n - k][0] if n > k else before
-                if self._is_whole(piece) and (not prior or self._pair_fits(prior, piece)):
-                    last.append((piece, n - k))
-                    break
-            if n >= 4 * self.lookahead:
-                stable = self._agreed(last)
-                if stable:
-                    tokens = self._back(last, stable)
-                    before = tokens[-1]
-                    yield from ("".join(t) for t in tokens)
-                    held = held[stable:]
-                    last = [([], 0)] + [(t, at - stable) for t, at in last[stable + 1 :]]
-        yield from ("".join(t) for t in self._back(last, len(held)))
-
-    def _agreed(self, last: list[tuple[list[str], int]]) -> int:
-        """The furthest place that the encodings of all prefixes that may still be passed through have in common."""
-        n = len(last) - 1
-        common: set[int] | None = None
-        for p in range(n, max(n - self.lookahead, 0), -1):
-            places, q = set(), p
-            while q:
-                places.add(q)
-                q = last[q][1]
-            common = places if common is None else common & places
-        return max((q for q in common or () if q <= n - self.lookahead), default=0)
+            spans[i : i + 2] = [(spans[i][0] + spans[i + 1][0], spans[i][1], spans[i + 1][2])]
+            built[spans[i][1:]] = r
+        return [p for p, _, _ in spans], built
+
+    def edges(self, token: str) -> tuple[list, list] | None:
+        """The parts of a token that stood at its right and at its left edge while it was built, each as (part, built at, merged
+        away at); None if the merges do not build the token from its symbols."""
+        if token in self._edges:
+            return self._edges[token]
+        parts = self.symbols(token)
+        left, built = self.merged(parts)
+        n, never = len(parts), len(self.rank)
+        found = None
+        if len(left) == 1:
+            spans = [(i, i + 1, -1) for i in range(n)] + [(i, j, r) for (i, j), r in built.items()]
+            found = tuple(self._edge(sorted((s for s in spans if s[side] == at), key=lambda s: s[1] - s[0]), parts, never) for side, at in ((1, n), (0, 0)))
+        self._edges[token] = found
+        return found
 
-    def _back(self, last: list[tuple[list[str], int]], p: int) -> list[list[str]]:
-        out = []
+    @staticmethod
+    def _edge(spans: list[tuple[int, int, int]], parts: list[str], never: int) -> list[tuple[str, int, int]]:
+        gone = [s[2] for s in spans[1:]] + [never]
+        return [("".join(parts[i:j]), r, g) for (i, j, r), g in zip(spans, gone, strict=True)]
+
+    def follows(self, a: str, b: str) -> bool:
+        """Whether b, a token that the merges build, may follow a: no pair of edge parts merges while both are there. Of equal merges
+        the left one goes first. Anything may follow the beginning of a word, ""."""
+        fit = self._fits.setdefault(a, {})
+        known = fit.get(b)
+        if known is None:
+            known = self.edges(b) is not None
+            for x, made, gone in self.edges(a)[0] if a and known else ():
+                for y, made2, gone2 in self.edges(b)[1]:
+                    r = self.rank.get((x, y))
+                    if r is not None and made < r < gone and made2 < r <= gone2:
+                        known = False
+            self._known += 1
+            if self._known > REMEMBERED:
+                self._fits, self._known = {}, 0
+            fit[b] = known
+        return known
+
+    def open(self) -> Run:
+        return Run(self)
+
+    def encode(self, word: str) -> list[str]:
+        """The tokens of a word: as a run would give them, in one step if it is too short for any to be emitted before its end."""
+        n = len(word)
+        if n > 4 * self.lookahead:
+            run = self.open()
+            return [*run.push(word), *run.close()]
+        tokens, begins, suffix = self.tokens, self.begins, self.suffix
+        last: list[str | None] = [""] + [None] * n
+        from_: list[int] = [0] * (n + 1)
+        for i in range(n):
+            prior = last[i]
+            fit = self._fits.get(prior)
+            if fit is None:
+                fit = self._fits.setdefault(prior, {})
+            for j in range(i + 1, n):
+                t = word[i:j]
+                if last[j] is None and (j == i + 1 or t in tokens):
+                    ok = fit.get(t)
+                    if ok if ok is not None else self.follows(prior, t):
+                        last[j], from_[j] = t, i
+                if t not in begins:
+                    break
+            else:
+                t = word[i:] + suffix
+                if last[n] is None and (i + 1 == n or t in tokens):
+                    ok = fit.get(t)
+                    if ok if ok is not None else self.follows(prior, t):
+                        last[n], from_[n] = t, i
+        out, p = [], n
         while p:
-            out.append(last[p][0])
-            p = last[p][1]
+            out.append(last[p])
+            p = from_[p]
         return out[::-1]
 
-    def _is_whole(self, t: list[str]) -> bool:
-        key = "".join(t)
-        if key not in self._whole:
-            self._whole[key] = len(self.merge(t)) == 1
-        return self._whole[key]
 
-    def _pair_fits(self, a: list[str], b: list[str]) -> bool:
-        key = ("".join(a), "".join(b))
-        if key not in self._fits:
-            if len(self._fits) > REMEMBERED:
-                self._fits.clear()
-            self._fits[key] = self.merge([*a, *b]) == [*key]
-        return self._fits[key]
+class Run:
+    """A pre-token on its way through the transducer."""
+
+    def __init__(self, machine: Transducer):
+        self.machine, self.held = machine, ""  # held: symbols from the last stable place on, and one that waits for its end
+        self.last: list[str] = [""]  # for each prefix of held: its last token
+        self.before = ""  # the last token emitted
+
+    def push(self, symbols: str) -> Iterator[str]:
+        """Tokens that are stable once these symbols are read; the last symbol waits, as a word's end changes it."""
+        m = self.machine
+        far = 4 * m.lookahead
+        for at in range(0, len(symbols), far):
+            self.held += symbols[at : at + far]
+            self._extend(len(self.held) - 1, "")
+            while len(self.last) > far:
+                stable = self._agreed()
+                if not stable:
+                    break
+                yield from self._emit(stable)
+
+    def close(self) -> list[str]:
+        if not self.held:
+            return []
+        self._extend(len(self.held), self.machine.suffix)
+        return self._emit(len(self.held))
+
+    def _size(self, token: str) -> int:
+        suffix = self.machine.suffix
+        return len(token) - len(suffix) if suffix and len(token) > len(suffix) and token.endswith(suffix) else len(token)
+
+    def _extend(self, to: int, suffix: str) -> None:
+        """Find the last tokens of the prefixes up to `to` symbols; the last of these ends the word if there is a suffix."""
+        m, held, last = self.machine, self.held, self.last
+        for n in range(len(last), to + 1):
+            end = suffix if n == to else ""
+            for k in range(min(n, m.lookahead), 0, -1):
+                t = held[n - k : n] + end
+                if (k == 1 or t in m.tokens) and m.follows(last[n - k] if n > k else self.before, t):
+                    last.append(t)
+                    break
+
+    def _chain(self, p: int) -> Iterator[int]:
+        """The places where the encoding of the prefix of p symbols has its borders, from its end back."""
+        while p:
+            yield p
+            p -= self._size(self.last[p])
+
+    def _agreed(self) -> int:
+        """The furthest place that the encodings of all prefixes that may still be passed through have in common."""
+        n, far = len(self.last) - 1, self.machine.lookahead
+        common: set[int] | None = None
+        for p in range(n, n - far, -1):
+            places = set(self._chain(p))
+            common = places if common is None else common & places
+        return max((q for q in common or () if q <= n - far), default=0)
+
+    def _emit(self, to: int) -> list[str]:
+        out = [self.last[p] for p in self._chain(to)][::-1]
+        self.before, self.held = out[-1], self.held[to:]
+        self.last = [""] + self.last[to + 1 :]
+        return out
 
 
 class Bpe:
-    """A byte-level vocabulary with word ends, lower-casing, as word_bpe_49k.json describes it."""
+    """A byte-level vocabulary, with or without word ends, as its file describes it."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Regex, Tokenizer
+        from tokenizers.pre_tokenizers import Split
+
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
-        self.suffix = model["end_of_word_suffix"] or ""
+        self.suffix = model.get("end_of_word_suffix") or ""
         self.ids: dict[str, int] = model["vocab"]
-        self.transducer = Transducer([tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]])
+        self.transducer = Transducer([tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]], self.suffix)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.pre = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        # Normalization and pre-tokens by the file's own rules; the merges are ours.
+        rules = Tokenizer.from_file(path)
+        self.normal = rules.normalizer.normalize_str if rules.normalizer else str
+        self.pre = rules.pre_tokenizer.pre_tokenize_str
+        self.classes = {k: Split(Regex(p), "removed", invert=True).pre_tokenize_str for k, p in (("letters", r"\p{L}+"), ("others", r"[^\s\p{L}\p{N}]+"))}
         self.letters = byte_letters()
-        self.text_of = {i: t for t, i in (self.ids | self.special).items()}
+        self.byte_of = byte_of = {c: bytes([b]) for b, c in enumerate(self.letters)}
+        decoder = (spec.get("decoder") or {}).get("type")
+        #: Bytes that each id decodes to. A file that names no decoder has its tokens' own strings, with a space between.
+        plain = lambda t: b" " + t.encode()
+        raw = (lambda t: b"".join(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode()) if decoder == "ByteLevel" else plain
+        self.bytes_of = {i: raw(t) for t, i in self.ids.items()} | {i: t.encode() if decoder == "ByteLevel" else plain(t) for t, i in self.special.items()}
+        self.lead = 0 if decoder == "ByteLevel" else 1
         self.remembered: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
@@ -167,73 +261,149 @@ class Bpe:
         return b"".join(self._encode(text))
 
     def _encode(self, text: str) -> Iterator[bytes]:
-        parts = self.cut_special.split(text) if "<|" in text else [text]
-        for part in parts:
+        for part in cut_special(text, self.special):
             if part in self.special:
                 yield struct.pack("<I", self.special[part])
                 continue
-            for piece in pieces(part):
-                yield self._piece(piece)
+            run = None
+            for piece, goes_on in pieces(part):
+                if run is None and not goes_on:
+                    yield self._piece(piece)
+                    continue
+                run = run or LongRun(self)
+                yield from run.feed(piece, goes_on)
+                run = run if goes_on else None
 
     def _piece(self, piece: str) -> bytes:
-        s = unicodedata.normalize("NFC", piece)
-        s = s.replace("Σ", "σ").lower()  # letter by letter: no final sigma
-        words = _SPLIT_WHITE.split(s) if _NOT_WHITE.search(s) else s.split()
+        """A piece that ends where a word ends. Normalization has made all white space single spaces."""
+        words = self.normal(piece).split(" ")
         known = self.remembered
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
         out = []
         for w in words:
             got = known.get(w)
             if got is None:
-                got = self._word(w)
-                if len(w) <= WINDOW:
+                got = self.word(w)
+                if len(w) <= LONG_WORD:
                     if len(known) >= REMEMBERED:
                         known.clear()
                     known[w] = got
             out.append(got)
         return b"".join(out)
 
-    def _word(self, word: str) -> bytes:
-        out: list[int] = []
-        ids, letters = self.ids, self.letters
-        for found in self.pre.finditer(word):
-            raw = found.group().encode()
-            if len(raw) <= WINDOW:
-                parts = [letters[b] for b in raw]
-                parts[-1] += self.suffix
-                out += [ids[t] for t in self.transducer.merge(parts)]
-            else:
-                n = len(raw)
-                symbols = (letters[b] + (self.suffix if i == n - 1 else "") for i, b in enumerate(raw))
-                out += [ids[t] for t in self.transducer.stream(symbols)]
-        return np.array(out, "<u4").tobytes()
+    def word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():  # one pre-token, whose letters stand for themselves
+            return self.numbers(self.transducer.encode(word))
+        return self.numbers([t for symbols, _ in self.pre(word) for t in self.transducer.encode(symbols)]) if word else b""
+
+    def numbers(self, tokens: list[str]) -> bytes:
+        ids = self.ids
+        return struct.pack(f"<{len(tokens)}I", *[ids[t] for t in tokens])
 
     def decode(self, ids: bytes) -> str:
-        """The vocabulary names no decoder: its tokens' own strings, joined by one space."""
+        return "".join(self.decoded(ids))
+
+    def decoded(self, ids: bytes) -> Iterator[str]:
+        """The text of ids in parts: bytes that do not finish a character wait for those that follow."""
+        machine, of = codecs.getincrementaldecoder("utf-8")("replace"), self.bytes_of
         numbers = np.frombuffer(ids, "<u4")
-        machine, out = codecs.getincrementaldecoder("utf-8")("replace"), []
         for at in range(0, len(numbers), PIECE):
-            tokens = " ".join([self.text_of[i] for i in numbers[at : at + PIECE].tolist()])
-            out.append(machine.decode((" " if at else "").encode() + tokens.encode()))
-        out.append(machine.decode(b"", True))
-        return "".join(out)
+            raw = b"".join([of[i] for i in numbers[at : at + PIECE].tolist()])
+            yield machine.decode(raw[self.lead :] if at == 0 else raw)
+        yield machine.decode(b"", True)
+
+
+class LongRun:
+    """Text without a blank that comes in several pieces. The last pre-token of a piece may go on in the next: short ones are held
+    back, of a long one the transducer stays open."""
+
+    #: Pre-tokens up to this length are held back: no contraction is longer.
+    SHORT = 8
+
+    def __init__(self, bpe: Bpe):
+        self.bpe, self.held, self.run, self.kind = bpe, "", None, ""
+
+    def feed(self, piece: str, goes_on: bool) -> Iterator[bytes]:
+        b = self.bpe
+        words = b.normal(piece).split(" ")
+        for i, w in enumerate(words):
+            yield from self._word(w, goes_on and i == len(words) - 1)
+
+    def _word(self, text: str, goes_on: bool) -> Iterator[bytes]:
+        b = self.bpe
+        if self.run is not None:
+            first = b.classes[self.kind](text)
+            same = first[0][0] if first and text.startswith(first[0][0]) else ""
+            yield b.numbers([*self.run.push(self._symbols(same))])
+            text = text[len(same) :]
+            if text or not goes_on:
+                yield b.numbers(self.run.close())
+                self.run = None
+            else:
+                return
+        text, self.held = self.held + text, ""
+        if not goes_on or not text:
+            yield b.word(text)
+            return
+        tokens = self._tokens(text)
+        tail = tokens[-1]
+        if len(tail) > self.SHORT:
+            yield b.word(text[: len(text) - len(tail)])
+            found = b.classes["letters"](tail)
+            self.run, self.kind = b.transducer.open(), "letters" if found and found[0][0] == tail else "others"
+            yield b.numbers([*self.run.push(self._symbols(tail))])
+            return
+        # What ends a few characters before is settled: no pre-token looks further ahead.
+        ends = np.cumsum([len(t) for t in tokens])
+        settled = ends[ends <= len(text) - self.SHORT]
+        cut = int(settled[-1]) if len(settled) else 0
+        yield b.word(text[:cut])
+        self.held = text[cut:]
+
+    def _symbols(self, text: str) -> str:
+        return "".join([self.bpe.letters[x] for x in text.encode()])
+
+    def _tokens(self, text: str) -> list[str]:
+        back = self.bpe.byte_of
+        return [b"".join([back[c] for c in symbols]).decode() for symbols, _ in self.bpe.pre(text)]
+
+
+def cut_special(text: str, special: dict[str, int]) -> Iterator[str]:
+    """The text between special tokens, and these, in order; of those that begin at one place the longest."""
+    at = 0
+    while special:
+        found = [(p, -len(s), s) for s in special if (p := text.find(s, at)) >= 0]
+        if not found:
+            break
+        place, _, name = min(found)
+        if place > at:
+            yield text[at:place]
+        yield name
+        at = place + len(name)
+    if at < len(text):
+        yield text[at:]
 
 
-def pieces(text: str) -> Iterator[str]:
-    """The text in pieces of about PIECE characters that end at a blank or a line's end; a longer run of others stays whole."""
+def pieces(text: str) -> Iterator[tuple[str, bool]]:
+    """The text in pieces of about PIECE characters, and whether a piece's last word goes on in the next. Pieces end at a blank or a line's
+    end; in a longer run of others, before a character that normalization does not join with those before it."""
     at, n = 0, len(text)
     while n - at > PIECE:
-        end = max(text.rfind(" ", at, at + PIECE), text.rfind("\n", at, at + PIECE)) + 1
+        end, goes_on = max(text.rfind(" ", at, at + PIECE), text.rfind("\n", at, at + PIECE)) + 1, False
         if end <= at:
-            ends = [e for e in (text.find(" ", at + PIECE), text.find("\n", at + PIECE)) if e >= 0]
-            end = min(ends) + 1 if ends else n
-        yield text[at:end]
+            end, goes_on = at + PIECE, True
+            while end < n and not _starts(text[end]):
+                end += 1
+        if end >= n:
+            break
+        yield text[at:end], goes_on
         at = end
     if at < n:
-        yield text[at:]
+        yield text[at:], False
+
+
+def _starts(c: str) -> bool:
+    """Whether normalization leaves the border before c alone: no mark, no vowel or final letter of Hangul, nothing unassigned."""
+    return c < "\x80" or (unicodedata.category(c)[0] in "LNPS" and not unicodedata.combining(c) and not "\u1160" <= c <= "\u11ff")
 
 
 @lru_cache(maxsize=4)

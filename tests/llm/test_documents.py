@@ -402,22 +402,77 @@ def test_bpe_against_library(spark, rows):
     assert bpe.round_trip(df.limit(0), path).collect() == []
 
 
-def test_transducer_memory():
-    """What the transducer holds back does not grow with the run of symbols."""
+def library(name: str):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    lib = Tokenizer.from_file(path)
+    lib.no_truncation()
+    lib.no_padding()
+    return bpe.Bpe(path), lib
+
+
+def test_bpe_of_every_code_point():
+    """Every code point in a word, alone, after an apostrophe and in upper case's place."""
+    own, lib = library("word_bpe_49k.json")
+    texts = ["".join(f"aA{chr(c)}b {chr(c)} '{chr(c)}s" for c in range(at, min(at + 512, 0x110000)) if not 0xD800 <= c < 0xE000) for at in range(0, 0x110000, 512)]
+    for text, e in zip(texts, lib.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == e.ids, hex(ord(text[2]) if len(text) > 2 else 0)
+
+
+def test_bpe_of_long_runs(monkeypatch):
+    """Runs without a blank, read in small pieces: borders inside pre-tokens, contractions, marks and Hangul."""
+    own, lib = library("word_bpe_49k.json")
+    rng = random.Random(8)
+    parts = ["a", "'", "'s", "'re", "'ll", "é", "e\u0301", "\u0301", "각", "\u1100\u1161\u11a8", "7", "!", "!!", "中", "\u16d67\U00016d67", "Σ", "the", "İ", "<|endoftext|>", " ", "\n"]
+    for piece in (1, 5, 64):
+        monkeypatch.setattr(bpe, "PIECE", piece)
+        for kinds in (parts, parts[:-3], parts[:5], ["a", "b", "th"], ["!", "'", "%"]):
+            for n in (1, 7, 60, 700):
+                text = "".join(rng.choice(kinds) for _ in range(n))
+                want = lib.encode(text, add_special_tokens=False).ids
+                got = own.encode(text)
+                assert np.frombuffer(got, "<u4").tolist() == want, (piece, text)
+                assert own.decode(got) == lib.decode(want, skip_special_tokens=False)
+
+
+def test_decoding_machine(monkeypatch):
+    """Where tokens are bytes, a character that is cut between them waits for its rest."""
+    own, lib = library("byte_bpe_50k.json")
+    text = "한글 👍🏽 naïve 中文 \x00 x" * 5
+    ids = lib.encode(text, add_special_tokens=False).ids
+    for piece in (1, 2, 1 << 16):
+        monkeypatch.setattr(bpe, "PIECE", piece)
+        assert own.decode(np.array(ids, "<u4").tobytes()) == text
+        cut = np.array(ids[:-3] + ids[2:9], "<u4")
+        assert own.decode(cut.tobytes()) == lib.decode(cut.tolist(), skip_special_tokens=False)
+
+
+def test_transducer():
+    """Against plain merging, for made-up merges; what is held back does not grow with the run of symbols."""
+    rng = random.Random(3)
+    for suffix in ("", "$"):
+        for _ in range(30):
+            have, merges = list("abc") + [c + suffix for c in "abc" if suffix], []
+            for _ in range(rng.randint(1, 25)):
+                a, b = rng.choice([x for x in have if not suffix or not x.endswith(suffix)]), rng.choice(have)
+                if (a, b) not in merges:
+                    merges.append((a, b))
+                    have.append(a + b)
+            t = bpe.Transducer(merges, suffix)
+            for n in (1, 2, 5, 12, 200):
+                word = "".join(rng.choice("abc") for _ in range(n))
+                want = t.merged([*word[:-1], word[-1] + suffix])[0]
+                run = t.open()
+                assert t.encode(word) == want == [*run.push(word), *run.close()]
     t = bpe.Transducer([("a", "b"), ("ab", "ab"), ("b", "a"), ("abab", "abab"), ("c", "abab")])
     assert t.lookahead == 8
-    text = [random.Random(i).choice("abc") for i in range(4000)]
-    assert list(t.stream(iter(text))) == t.merge(list(text))
-    seen: list[int] = []
-
-    def fed():
-        for i, s in enumerate("ab" * 5000):
-            seen.append(i)
-            yield s
-
-    tokens = t.stream(fed())
-    next(tokens)
-    assert len(seen) < 200
+    run, most = t.open(), 0
+    for _ in range(1000):
+        list(run.push("abcab"))
+        most = max(most, len(run.held), len(run.last))
+    assert most < 200
 
 
 def test_digest_columns(spark, rows, docs):
