@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphforge.llm.common import Words, column, map_batches, ship
+from glyphforge.llm.common import Words, Workspace, column, map_batches, ship
 
 PASSAGE = 1024
 PAIRS = 256
@@ -20,10 +20,9 @@ FEATURES = 256 + PAIRS + 2
 HIDDEN, GATE = 32, 16
 #: Standardised features are cut off there: a few bytes make rare letters look extreme.
 CLIP = 4.0
-#: Labelled documents that a model is fitted on at most: those of the smallest hashes of their ids.
-SAMPLE = 4000
-#: Passages of one fitted document: longer ones take part with evenly spread passages (scoring always reads all).
-FIT_PASSAGES = 64
+#: Labelled documents that a model is fitted on at most: those of the smallest hashes of their ids. They take part whole, with at
+#: most so many passages in all (62 MB of features): a document that would exceed what is left of these is passed over.
+SAMPLE, SAMPLE_PASSAGES = 4000, 30_000
 
 
 def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -109,24 +108,35 @@ class Model:
         return self.forward(np.clip((x - self.mean) / self.spread, -CLIP, CLIP), first)["y"]
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model of labels.quality, from at most `sample` labelled documents outside the held-out third.
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = SAMPLE_PASSAGES) -> Model:
+    """A model of labels.quality, from at most `sample` labelled documents, of at most `most` passages in all, outside the
+    held-out third.
 
     Held out are rows whose crc32 of doc_id as text leaves 1 when divided by 3. Labels that are null count for nothing; of
-    several labels of a document the mean decides. Without any label all scores are near 0.5.
+    several labels of a document the mean decides, of several texts the one of the smallest hash. Without any label all
+    scores are near 0.5.
     """
-    ship(docs.sparkSession)
+    work = Workspace(docs.sparkSession, "quality")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality")).where("doc_id is not null and quality is not null and pmod(crc32(cast(doc_id as string)), 3) <> 1")
     known = known.groupBy("doc_id").agg(F.avg("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")  # `sample` rows at most
+    texts = work.write(texts.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min_by("text", F.xxhash64("text")).alias("text")), "texts")
+    sized = texts.select("doc_id", F.greatest(F.lit(1), F.ceil(F.octet_length("text") / PASSAGE)).alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # `sample` rows at most
+    taken, left = [], most
+    for r in sized:
+        if r.n <= left:
+            taken.append(r.doc_id)
+            left -= r.n
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         x, first = passages(column(batch, "text"))
-        bags = [x[a:b][np.unique(np.linspace(0, b - a - 1, FIT_PASSAGES).round().astype(int))] if b - a > FIT_PASSAGES else x[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
-        return pa.record_batch({"doc_id": column(batch, "doc_id"), "quality": column(batch, "quality"), "bag": pa.array([b.tobytes() for b in bags], pa.binary())})
+        bags = [x[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+        return pa.record_batch({"doc_id": column(batch, "doc_id"), "quality": column(batch, "quality"), "bag": pa.array(bags, pa.binary())})
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(known), "doc_id")  # `sample` rows at most
-    got = map_batches(texts, run, "doc_id long, quality double, bag binary", text="text").toArrow()
-    rows = sorted(zip(*(got.column(c).to_pylist() for c in got.column_names), strict=True))[: 2 * sample]
+    chosen = texts.where(F.col("doc_id").isin(taken)) if len(taken) < len(sized) else texts
+    got = map_batches(chosen, run, "doc_id long, quality double, bag binary", text="text").toArrow()
+    rows = sorted(zip(*(got.column(c).to_pylist() for c in got.column_names), strict=True))
+    work.drop()
     model = Model()
     if not rows:
         model.p["c"] *= 0
