@@ -272,6 +272,78 @@ def test_lines_free_words(spark):
     assert set(removed(spark, [(i, f"This whole text is told again by {name()}") for i in range(12)]).values()) == {0}
 
 
+def recurring_lines(rows: list[tuple], least: int = 4) -> set[tuple]:
+    """The tree restated on tuples of tokens, for documents that are no near copies of each other: the lines to be dropped.
+
+    Lines meet their template in the order of their hashes, the one thing that is taken from the operator.
+    """
+    shown = lambda line: tuple("*" if re.search("[0-9]", w) else w for w in words(line))
+    docs = {t: [x for x in map(shown, t.split("\n")) if x] for _, t in rows}
+    parts = lambda x: [(len(x), q, p) for q in range(4) if (p := tuple((i, w) for i, w in enumerate(x) if i * 4 // len(x) == q))]
+    held: dict[tuple, set] = {}
+    for t, own in docs.items():
+        for x in own:
+            for p in parts(x):
+                held.setdefault(p, set()).add(t if len(own) > 1 else None)
+    leaves: dict[tuple, list[tuple]] = {}
+    for x in sorted({x for own in docs.values() for x in own}, key=lambda x: int(lines.Lines(pa.array([" ".join(w if w != "*" else "0" for w in x)])).whole[0])):
+        leaf = next((p for p in parts(x) if len(held[p]) >= least), None)
+        if leaf:
+            leaves.setdefault(leaf, []).append(x)
+    gone = set()
+    for own in leaves.values():
+        known: list[tuple[list, list]] = []
+        for x in own:
+            enough = max(-(-60 * len(x) // 100), min(len(x), 3))
+            score = [sum(a == b != "*" for a, b in zip(x, t, strict=True)) for t, _ in known]
+            if score and max(score) >= enough:
+                t, members = known[score.index(max(score))]
+                t[:] = [a if a == b else "*" for a, b in zip(t, x, strict=True)]
+                members.append(x)
+            else:
+                known.append((list(x), [x]))
+        for _, members in known:
+            if len({t if len(docs[t]) > 1 else None for t in docs if set(docs[t]) & set(members)}) >= least:
+                gone |= set(members)
+    return gone
+
+
+@pytest.mark.parametrize("most", [lines.BROADCAST, 0])
+def test_lines_against_the_tree_restated(spark, most):
+    """Templates with free words at any place, the first ones too, in several places, in many lines of one leaf."""
+    rng = random.Random(21)
+    name = lambda: "".join(rng.choice("klmnop") for _ in range(4))
+    vocab = [name() for _ in range(40)]
+    feet = ["{} wrote this page for all of you", "By {} and {} on {} in our own city paper", "Page {n} of {n}", "Thank you", "{} told {} all about the old town hall today", "{} {} {}", "see {} now", "the {} and the {} of the {} in the {} at the {}"]
+    rows = []
+    for i in range(120):
+        own = [" ".join(rng.choice(vocab) for _ in range(rng.randint(1, 9))) for _ in range(6)] + [" ".join(name() for _ in range(30)) for _ in range(3)]
+        own += [rng.choice(feet).format(*(name() for _ in range(5)), n=rng.randrange(99)) for _ in range(2)]
+        rng.shuffle(own)
+        rows.append((i, "\n".join(own)))
+    rows += [(900 + i, t) for i, t in enumerate(["", "\n", "Thank you", "one line alone", "only numbers 1"])]
+    gone = recurring_lines(rows)
+    shown = lambda line: tuple("*" if re.search("[0-9]", w) else w for w in words(line))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for r in lines.drop_lines(df, most=most).collect():
+        text = dict(rows)[r.doc_id]
+        assert r.text == "\n".join(x for x in text.split("\n") if shown(x) not in gone)
+    assert {x for x in gone if "wrote" in x} and {x for x in gone if "told" in x} and ("Thank", "you") in gone
+
+
+def test_lines_of_a_large_leaf(spark, monkeypatch):
+    """A leaf of more lines than a task compares is parsed deeper; what agrees there still makes templates."""
+    monkeypatch.setattr(lines, "LEAF", 8)
+    rng = random.Random(2)
+    name = lambda: "".join(rng.choice("klmnop") for _ in range(7))
+    rows = foot_rows(lambda i: f"Posted here for you again by {name()}", n=9)
+    assert set(removed(spark, rows).values()) == {1}
+    others = [(50 + i, t) for i, t in foot_rows(lambda i: f"Posted here {'abcdefgh'[i % 8]} {name()} {name()} {name()} {name()}", n=40, seed=3)]
+    got = removed(spark, rows + others)
+    assert {got[i] for i, _ in rows} == {1} and {got[i] for i, _ in others} == {0}
+    assert set(removed(spark, foot_rows(lambda i: "Posted here for you", n=30)).values()) == {1}
+
+
 def test_targets():
     assert mixing.targets([100, 100, 100], [1, 1, 1]) == [100, 100, 100]
     assert mixing.targets([10, 100, 100], [3, 1, 1]) == [30, 90, 90]
