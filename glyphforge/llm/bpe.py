@@ -16,6 +16,7 @@ from __future__ import annotations
 import codecs
 import json
 import os
+import re
 import struct
 import unicodedata
 from collections.abc import Iterator
@@ -32,9 +33,13 @@ from glyphforge.llm.common import column, map_batches, ship
 #: Characters of a text, and ids of a token list, that are read at a time.
 PIECE = 1 << 16
 #: Words whose tokens are remembered, and pairs of tokens that are known to fit or not; when full, the memory is emptied.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 #: Longer words are not remembered.
 LONG_WORD = 64
+#: The normalizer for which old Latin letters may take Python's own way: composed, white space to blanks, lower case (fixed values).
+_COMMON_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+#: Anything but Latin letters and signs that no version of Unicode treats otherwise; 1C to 1F are white space to Python alone.
+_UNCOMMON = re.compile("[^\x00-\x1b\x20-\u024f]")
 
 
 def byte_letters() -> list[str]:
@@ -246,6 +251,10 @@ class Bpe:
         self.normal = rules.normalizer.normalize_str if rules.normalizer else str
         self.pre = rules.pre_tokenizer.pre_tokenize_str
         self.classes = {k: Split(Regex(p), "removed", invert=True).pre_tokenize_str for k, p in (("letters", r"\p{L}+"), ("others", r"[^\s\p{L}\p{N}]+"))}
+        self.common = spec.get("normalizer") == _COMMON_NORMALIZER
+        split = next((x["pattern"]["Regex"] for x in spec["pre_tokenizer"].get("pretokenizers", []) if x["type"] == "Split" and x.get("invert")), None)
+        # The same pattern for words of ASCII alone.
+        self.ascii = re.compile(split.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9"), re.ASCII).findall if split else None
         self.letters = byte_letters()
         self.byte_of = byte_of = {c: bytes([b]) for b, c in enumerate(self.letters)}
         decoder = (spec.get("decoder") or {}).get("type")
@@ -254,7 +263,8 @@ class Bpe:
         raw = (lambda t: b"".join(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode()) if decoder == "ByteLevel" else plain
         self.bytes_of = {i: raw(t) for t, i in self.ids.items()} | {i: t.encode() if decoder == "ByteLevel" else plain(t) for t, i in self.special.items()}
         self.lead = 0 if decoder == "ByteLevel" else 1
-        self.remembered: dict[str, bytes] = {}
+        self.remembered: dict[str, bytes] = {}  # of words, and of their ASCII pre-tokens
+        self.parts: dict[str, bytes] = {}  # of other pre-tokens, by their symbols
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
@@ -276,7 +286,10 @@ class Bpe:
 
     def _piece(self, piece: str) -> bytes:
         """A piece that ends where a word ends. Normalization has made all white space single spaces."""
-        words = self.normal(piece).split(" ")
+        if self.common and not _UNCOMMON.search(piece):
+            words = unicodedata.normalize("NFC", piece).lower().split()
+        else:
+            words = self.normal(piece).split(" ")
         known = self.remembered
         out = []
         for w in words:
@@ -291,9 +304,22 @@ class Bpe:
         return b"".join(out)
 
     def word(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():  # one pre-token, whose letters stand for themselves
-            return self.numbers(self.transducer.encode(word))
-        return self.numbers([t for symbols, _ in self.pre(word) for t in self.transducer.encode(symbols)]) if word else b""
+        if word.isascii() and word.isprintable():  # its bytes stand for themselves
+            if word.isalpha():
+                return self.numbers(self.transducer.encode(word))
+            if self.ascii is not None:
+                return b"".join([self._part(t, self.remembered) for t in self.ascii(word)])
+        return b"".join([self._part(symbols, self.parts) for symbols, _ in self.pre(word)]) if word else b""
+
+    def _part(self, symbols: str, known: dict[str, bytes]) -> bytes:
+        got = known.get(symbols)
+        if got is None:
+            got = self.numbers(self.transducer.encode(symbols))
+            if len(symbols) <= LONG_WORD:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                known[symbols] = got
+        return got
 
     def numbers(self, tokens: list[str]) -> bytes:
         ids = self.ids
