@@ -21,15 +21,15 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphforge.llm.common import column, give_back, map_batches, ship
+from glyphforge.llm.common import give_back, ship
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 LEARNED = "assistant"
 _ESCAPE = regex.compile(r"<(\\*)\|")
 _UNESCAPE = regex.compile(r"<\\(\\*)\|")
 _TURN = regex.compile(regex.escape(START) + "(.*?)" + regex.escape(SEP) + "(.*?)" + regex.escape(END), regex.DOTALL)
-#: Conversations encoded at a time.
-LOT = 64
+#: Conversations encoded at a time, fewer if their texts are long.
+LOT, LOT_CHARS = 64, 1 << 21
 _TOKENS = "conv_id long, n_turns long, formatted string, ids array<int>, token_start array<int>, token_end array<int>, loss array<boolean>"
 
 
@@ -87,60 +87,68 @@ def format_chats(turns: DataFrame, path: str) -> DataFrame:
     first); repeated rows are turns of their own. A null role or text counts as empty; rows with a null conv_id make one
     conversation. `path` names a tokenizer file that every executor has. Empty tables give empty tables.
     """
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.bool_()))
+    names = ["conv_id", "n_turns", "formatted", "ids", "token_start", "token_end", "loss"]
+
+    def tokens(conv: int | None, n: int, text: str, ids: list[int], at: np.ndarray, loss: np.ndarray) -> tuple:
+        return conv, n, text, ids, at[:, 0], at[:, 1], loss
+
+    return _each(turns, path, tokens, _TOKENS, names, kinds)
+
+
+def _each(turns: DataFrame, path: str, make, schema: str, names: list[str], kinds: tuple) -> DataFrame:
+    """A row of make(conv_id, turns, formatted, ids, offsets, loss) for each conversation."""
     ship(turns.sparkSession)
     turns = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
 
     def encoded(lot: list[tuple]) -> pa.RecordBatch:
-        tok = tokenizer(path)
         made = [render(t) for _, t in lot]
         rows = []
-        for (conv, own), (text, spans), e in zip(lot, made, tok.encode_batch([m[0] for m in made], add_special_tokens=False), strict=True):
+        for (conv, own), (text, spans), e in zip(lot, made, tokenizer(path).encode_batch([m[0] for m in made], add_special_tokens=False), strict=True):
             at = np.array(e.offsets, np.int64).reshape(-1, 2)
-            rows.append((conv, len(own), text, e.ids, at[:, 0], at[:, 1], loss_mask(at[:, 0], at[:, 1], spans)))
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.bool_()))
-        names = ["conv_id", "n_turns", "formatted", "ids", "token_start", "token_end", "loss"]
+            rows.append(make(conv, len(own), text, e.ids, at, loss_mask(at[:, 0], at[:, 1], spans)))
         return pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lot: list[tuple] = []
+        size = 0
         for b in batches:
             for conv, role, text in zip(b.column("conv_id").to_pylist(), b.column("role").to_pylist(), b.column("text").to_pylist(), strict=True):
                 if not lot or lot[-1][0] != conv:
-                    if len(lot) >= LOT:
+                    if len(lot) >= LOT or size >= LOT_CHARS:
                         yield encoded(lot)
-                        lot = []
+                        lot, size = [], 0
                     lot.append((conv, []))
                 lot[-1][1].append((role or "", text or ""))
+                size += len(text or "")
         if lot:
             yield encoded(lot)
         give_back()
 
-    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(run, _TOKENS)
+    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(run, schema)
 
 
-def digests(chats: DataFrame) -> DataFrame:
-    """What can be read back from the formatted text, its token spans and its mask."""
+def covered(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+    """The stretches that sorted token spans cover: several tokens may share a character."""
+    if not len(starts):
+        return []
+    reach = np.maximum.accumulate(ends)
+    new = np.flatnonzero(np.concatenate([[True], starts[1:] > reach[:-1]]))
+    return list(zip(starts[new].tolist(), reach[np.append(new[1:], len(ends)) - 1].tolist(), strict=True))
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for conv, text, starts, ends, loss in zip(*(column(batch, c).to_pylist() for c in ("conv_id", "formatted", "token_start", "token_end", "loss")), strict=True):
-            turns = read_back(text)
-            whole = hashlib.sha256()
-            for role, said in turns:
-                whole.update(f"{role}\n{said}\n".encode())
-            covered: list[list[int]] = []  # several tokens may share a character
-            for s, e, on in zip(starts, ends, loss, strict=True):
-                if on and covered and s <= covered[-1][1]:
-                    covered[-1][1] = max(covered[-1][1], e)
-                elif on:
-                    covered.append([s, e])
-            learned = "".join(unescape(text[s:e]) for s, e in covered)
-            rows.append((conv, len(turns), whole.hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest(), len(text)))
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
-        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-        return pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
-    return map_batches(chats.select("conv_id", "formatted", "token_start", "token_end", "loss"), run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long", text="formatted")
+def digests(turns: DataFrame, path: str) -> DataFrame:
+    """What can be read back from each formatted conversation, its token spans and its mask, in the pass that makes them."""
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+
+    def digest(conv: int | None, _: int, text: str, ids: list[int], at: np.ndarray, loss: np.ndarray) -> tuple:
+        said = read_back(text)
+        whole = "".join([f"{r}\n{t}\n" for r, t in said])
+        learned = "".join([unescape(text[s:e]) for s, e in covered(at[loss, 0], at[loss, 1])])
+        return conv, len(said), hashlib.sha256(whole.encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest(), len(text)
+
+    return _each(turns, path, digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long", names, kinds)
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +156,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, LEARNED, said)], "conv_id long, turn long, role string, text string")
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    return digests(format_chats(turns.unionByName(extra), public_tokenizers.path("byte_bpe_50k.json")))
+    return digests(turns.unionByName(extra), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 OP9_SQL = r"""
