@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from glyphforge.llm.common import Workspace
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Pages of a range, about, and keys sampled for each bound.
-RANGE, SAMPLED = 200_000, 20
+#: Pages of a range, about, ranges at most (beyond, ranges grow), and keys sampled for each bound: so the driver's sample is bounded.
+RANGE, MOST_RANGES, SAMPLED = 200_000, 4096, 20
 #: Verdict of pages that no rule fits.
 OTHERWISE = "allow"
 #: (host, path, verdict) of the registered query.
@@ -60,7 +60,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, otherwise: str = OTHERWISE)
     rules = rules.groupBy("host", "path").agg(F.min("verdict").alias("verdict")).withColumn("key", key_of(F.col("host")))
     # Bounds only balance the work, so a sample of keys does for them; ties within a host are broken by a hash of the page.
     count = pages.count()
-    wanted = max(1, count // RANGE)
+    wanted = min(MOST_RANGES, max(1, count // RANGE))
     share = min(1.0, 2.0 * SAMPLED * wanted / max(1, count))
     sample = sorted((r.key, r.tie) for r in pages.select("key", "tie").sample(share, 1).limit(4 * SAMPLED * wanted).collect())
     wanted = max(wanted, spark.sparkContext.defaultParallelism) if count else 1
@@ -87,7 +87,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, otherwise: str = OTHERWISE)
     placed = pages.mapInArrow(place_pages, schema).unionByName(rules.mapInArrow(place_rules, schema))
 
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, stack = None, []  # stack: (key, [(path, verdict, host)]), each key a prefix of the next
+        part, stack = None, []  # stack: (key, {path: (verdict, host)}, lengths of the paths), each key a prefix of the next
         for b in batches:
             out: list[tuple] = []
             for p, key, kind, page_id, host, path, verdict in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -97,14 +97,21 @@ def filter_urls(pages: DataFrame, rules: DataFrame, otherwise: str = OTHERWISE)
                     stack.pop()
                 if kind == 0:
                     if not stack or stack[-1][0] != key:
-                        stack.append((key, []))
-                    stack[-1][1].append((path, verdict, host))
+                        stack.append((key, {}, []))
+                    stack[-1][1][path] = (verdict, host)
+                    if len(path) not in stack[-1][2]:
+                        bisect.insort(stack[-1][2], len(path))
                     continue
                 best = None
-                for _, rules_here in stack:
-                    for rule_path, said, rule_host in rules_here:
-                        if path.startswith(rule_path) and (best is None or len(rule_host) + len(rule_path) >= best[0]):
-                            best = (len(rule_host) + len(rule_path), rule_host + rule_path, said)
+                for _, rules_here, lengths in stack:
+                    # Of one host the longest path that begins the page's: a lookup for each length, however many rules.
+                    for n in reversed(lengths[: bisect.bisect_right(lengths, len(path))]):
+                        found = rules_here.get(path[:n])
+                        if found is not None:
+                            said, rule_host = found
+                            if best is None or len(rule_host) + n >= best[0]:
+                                best = (len(rule_host) + n, rule_host + path[:n], said)
+                            break
                 out.append((page_id, host, path, best[1] if best else None, best[2] if best else otherwise))
             if out:
                 kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.string())
