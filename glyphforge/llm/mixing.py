@@ -17,11 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glyphforge.llm.common import Words, Workspace, column, map_batches, mix
+from glyphforge.operators.columns import ordinals
 
 BLOCK = 64
 #: Blocks of an output shard, on average.
 SHARD = 1 << 14
-#: Sources are names of origins; the plan, a few numbers for each, is held by the driver.
+#: Sources whose plan, a few numbers for each, the driver holds and every task gets; more are planned in tables, in lots of this many.
 MOST_SOURCES = 100_000
 MOST_ROUNDS = 3
 
@@ -69,6 +70,28 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def slots_of(size: list[int], goal: list[float], block: int) -> tuple[np.ndarray, np.ndarray]:
+    """Blocks of each source, and how many slots of the output it fills."""
+    blocks = np.array([-(-s // block) for s in size], np.int64)
+    # A source's last block may be short, so slots are counted in its average block.
+    return blocks, np.array([min(round(t * n / s), MOST_ROUNDS * n) if s else 0 for t, n, s in zip(goal, blocks.tolist(), size, strict=True)], np.int64)
+
+
+_COPIES = pa.schema({"src": pa.int32(), "block": pa.int64(), "copies": pa.int64()})
+
+
+def _drawn(blocks: np.ndarray, slots: np.ndarray, shards: int, shard: int, seed: int, first: int) -> pa.RecordBatch:
+    """src, block and copies that a shard takes of the sources from number `first` on."""
+    many, before = shard_counts(slots, shards, shard, seed)
+    out = [[], [], []]
+    for s in np.flatnonzero(many):
+        k = int(before[s]) + np.arange(int(many[s]))
+        index, n = np.unique(permuted(k % blocks[s], int(blocks[s]), seed + int(s)), return_counts=True)
+        for o, v in zip(out, (np.full(len(index), first + s), index, n), strict=True):
+            o.append(v)
+    return pa.record_batch([pa.array(np.concatenate(o) if o else np.zeros(0, np.int64), f.type) for o, f in zip(out, _COPIES, strict=True)], schema=_COPIES)
+
+
 class Mix:
     """The plan of a mix and its tables.
 
@@ -91,20 +114,64 @@ class Mix:
             return pa.record_batch({"doc_id": column(batch, "doc_id"), "print": column(batch, "print"), "source": column(batch, "source"), "size": pa.array(n, pa.int64())})
 
         sizes = self.work.write(map_batches(docs, count, "doc_id long, print long, source string, size long", text="text"), "sizes")
-        totals = sizes.groupBy("source").agg(F.sum("size").alias("size")).limit(MOST_SOURCES + 1).collect()
-        if len(totals) > MOST_SOURCES:
-            raise ValueError(f"more than {MOST_SOURCES} sources")
-        totals = sorted(totals, key=lambda r: (r.source is None, r.source or ""))
-        size = [r["size"] for r in totals]
-        goal = targets(size, [cycle[i % len(cycle)] for i in range(len(size))])
-        rows = [(i, r.source, s, t) for i, (r, s, t) in enumerate(zip(totals, size, goal, strict=True))]
-        self.plan = spark.createDataFrame(rows, "src int, source string, source_size long, target double")
+        totals = self.work.write(sizes.groupBy("source").agg(F.sum("size").alias("size")), "totals")
+        few = totals.limit(MOST_SOURCES + 1).collect()
+        if len(few) <= MOST_SOURCES:
+            few = sorted(few, key=lambda r: (r.source is None, r.source or ""))
+            size = [r["size"] for r in few]
+            goal = targets(size, [cycle[i % len(cycle)] for i in range(len(size))])
+            rows = [(i, r.source, s, t) for i, (r, s, t) in enumerate(zip(few, size, goal, strict=True))]
+            self.plan = spark.createDataFrame(rows, "src int, source string, source_size long, target double")
+            self._hinted = F.broadcast  # MOST_SOURCES rows at most
+            copies = self._copies(spark, slots_of(size, goal, block), seed)
+        else:
+            self._hinted = lambda df: df
+            self.plan = self.work.write(self._plan_many(totals, cycle), "plan")
+            copies = self._copies_many(seed)
         self.placed = self.work.write(self._place(sizes), "placed")
-        self.copies = self.work.write(self._copies(spark, size, goal, seed), "copies")
+        self.copies = self.work.write(copies, "copies")
+
+    def _plan_many(self, totals: DataFrame, cycle: tuple[int, ...]) -> DataFrame:
+        """The plan as a table. The sources at their most are those with left * weight / scale above it, for the left and the scale of
+        the others; each round finds more of them, as `targets` does."""
+        numbered = ordinals(totals.withColumn("none", F.col("source").isNull()), ["none", "source"], "src").withColumn("src", F.col("src").cast("int"))
+        weight = F.element_at(F.array(*map(F.lit, cycle)), F.col("src") % len(cycle) + 1)
+        rows = self.work.write(numbered.select("src", "source", F.col("size").alias("source_size"), weight.alias("weight")), "numbered")
+        most = MOST_ROUNDS * F.col("source_size")
+        total, scale, many = rows.agg(F.sum("source_size"), F.sum("weight"), F.lit(-1)).first()
+        left = float(total)
+        while True:
+            share = left * F.col("weight") / scale if scale else F.lit(0.0)
+            over = share > most
+            full, rest, n = rows.agg(F.coalesce(F.sum(F.when(over, most)), F.lit(0)), F.coalesce(F.sum(F.when(~over, F.col("weight"))), F.lit(0)), F.count_if(over)).first()
+            if n == many or not rest:
+                break
+            left, scale, many = float(total) - full, rest, n
+        return rows.select("src", "source", "source_size", F.when(over, most.cast("double")).otherwise(share).alias("target"))
+
+    def _copies_many(self, seed: int) -> DataFrame:
+        """Copies where the sources are too many for one plan: each lot of them fills shards of its own."""
+
+        block = self.block
+
+        def shards(batch: pa.RecordBatch) -> pa.Table:
+            out = []
+            for size, goal, first in zip(*(column(batch, c).to_pylist() for c in ("sizes", "goals", "first")), strict=True):
+                blocks, slots = slots_of(size, goal, block)
+                count = max(1, -(-int(slots.sum()) // SHARD))
+                for shard in range(count):
+                    out.append(_drawn(blocks, slots, count, shard, seed + first, first))
+            return pa.Table.from_batches(out, _COPIES)
+
+        lot = F.floor(F.col("src") / MOST_SOURCES).alias("lot")
+        lots = self.plan.groupBy(lot).agg(F.sort_array(F.collect_list(F.struct("src", "source_size", "target"))).alias("s"))  # MOST_SOURCES at most
+        lots = lots.select(F.col("s.source_size").alias("sizes"), F.col("s.target").alias("goals"), (F.col("lot") * MOST_SOURCES).alias("first"))
+        drawn = map_batches(lots, shards, "src int, block long, copies long")
+        return drawn.groupBy("src", "block").agg(F.sum("copies").alias("copies"))
 
     def _place(self, sizes: DataFrame) -> DataFrame:
         """Prefix sums in order of (source, doc_id): within ranges by a window, across ranges by the ranges' sums."""
-        named = sizes.join(F.broadcast(self.plan.select("src", F.col("source").alias("name"))), F.col("source").eqNullSafe(F.col("name")))  # MOST_SOURCES rows at most
+        named = sizes.join(self._hinted(self.plan.select("src", F.col("source").alias("name"))), F.col("source").eqNullSafe(F.col("name")))
         ranged = named.select("doc_id", "print", "src", "size").repartitionByRange("src", "doc_id", "size", "print").withColumn("part", F.spark_partition_id())
         ranged = self.work.write(ranged, "ranged")
         sums = ranged.groupBy("src", "part").agg(F.sum("size").alias("sum"))
@@ -114,22 +181,12 @@ class Mix:
         inner = ranged.select("doc_id", "print", "src", "part", "size", F.coalesce(F.sum("size").over(own), F.lit(0)).alias("inner"))
         return inner.join(sums, ["src", "part"]).select("doc_id", "print", "src", "size", (F.col("base") + F.col("inner")).alias("start"))
 
-    def _copies(self, spark: SparkSession, size: list[int], goal: list[float], seed: int) -> DataFrame:
-        blocks = np.array([-(-s // self.block) for s in size], np.int64)
-        # A source's last block may be short, so slots are counted in its average block.
-        slots = np.array([min(round(t * n / s), MOST_ROUNDS * n) if s else 0 for t, n, s in zip(goal, blocks.tolist(), size, strict=True)], np.int64)
+    def _copies(self, spark: SparkSession, plan: tuple[np.ndarray, np.ndarray], seed: int) -> DataFrame:
+        blocks, slots = plan
         shards = max(1, -(-int(slots.sum()) // SHARD))
 
         def run(batch: pa.RecordBatch) -> pa.Table:
-            out = []
-            for shard in batch.column(0).to_pylist():
-                many, before = shard_counts(slots, shards, shard, seed)
-                for s in np.flatnonzero(many):
-                    for at in range(0, int(many[s]), 1 << 20):
-                        k = int(before[s]) + np.arange(at, min(at + (1 << 20), int(many[s])))
-                        index, n = np.unique(permuted(k % blocks[s], int(blocks[s]), seed + int(s)), return_counts=True)
-                        out.append(pa.record_batch({"src": pa.array(np.full(len(index), s), pa.int32()), "block": pa.array(index), "copies": pa.array(n, pa.int64())}))
-            return pa.Table.from_batches(out, pa.schema({"src": pa.int32(), "block": pa.int64(), "copies": pa.int64()}))
+            return pa.Table.from_batches([_drawn(blocks, slots, shards, shard, seed, 0) for shard in batch.column(0).to_pylist()], _COPIES)
 
         drawn = map_batches(spark.range(0, shards, 1, min(shards, 10_000)), run, "src int, block long, copies long")
         return drawn.groupBy("src", "block").agg(F.sum("copies").alias("copies"))
@@ -145,7 +202,7 @@ class Mix:
         """doc_id, size, source_size, target (of the document's source), taken (words, repeats counted), a row for each input row."""
         sums = self.pieces().groupBy("src", "start", "doc_id", "size").agg(F.sum(F.col("words") * F.col("copies")).alias("taken")).select("doc_id", "src", "size", "taken")
         both = sums.union(self.placed.where("size = 0").select("doc_id", "src", "size", F.lit(0).cast("long")))
-        return both.join(F.broadcast(self.plan), "src").select("doc_id", "size", "source_size", "target", "taken")
+        return both.join(self._hinted(self.plan), "src").select("doc_id", "size", "source_size", "target", "taken")
 
     def texts(self, docs: DataFrame) -> DataFrame:
         """The documents that the mix takes, all their columns: text holds the words taken, each further round on new lines.

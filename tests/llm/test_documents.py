@@ -360,6 +360,35 @@ def test_permutation_and_shards():
     assert all((b[1] == a[1] + a[0]).all() for a, b in zip(parts, parts[1:], strict=False))
 
 
+@pytest.mark.parametrize("sources", [mixing.MOST_SOURCES, 2])
+def test_mix_recomputed(spark, docs, rows, monkeypatch, sources):
+    """Every document's words, from its place in its source and from the blocks that the draws name, recomputed row by row."""
+    monkeypatch.setattr(mixing, "MOST_SOURCES", sources)
+    block, seed = 8, 20
+    m = mixing.Mix(docs, block=block, seed=seed)
+    got = {r.doc_id: (r["size"], r.source_size, pytest.approx(r.target), r.taken) for r in m.taken().collect()}
+    names = ["a", "b", None]
+    own = {s: sorted((r[0], len(words(r[1]))) for r in rows if r[3] == s) for s in names}
+    size = [sum(n for _, n in own[s]) for s in names]
+    goal = mixing.targets(size, [1, 2, 3])
+    assert {r.source: r.target for r in m.plan.collect()} == pytest.approx(dict(zip(names, goal, strict=True)))
+    blocks = [-(-n // block) for n in size]
+    slots = [min(round(t * b / n), 3 * b) for t, b, n in zip(goal, blocks, size, strict=True)]
+    want = {}
+    for i, s in enumerate(names):
+        lot, at = divmod(i, sources) if sources < 3 else (0, i)
+        mine = slots[lot * sources : (lot + 1) * sources] if sources < 3 else slots
+        assert sum(mine) <= mixing.SHARD  # one shard: it takes all
+        taken = [0] * blocks[i]
+        for k in range(slots[i]):
+            taken[mixing.permuted(np.array([k % blocks[i]]), blocks[i], seed + lot * sources * (sources < 3) + at)[0]] += 1
+        start = 0
+        for d, n in own[s]:
+            want[d] = (n, size[i], goal[i], sum(taken[w // block] for w in range(start, start + n)))
+            start += n
+    assert got == want
+
+
 def test_mix(spark, docs, rows):
     m = mixing.Mix(docs, block=8)
     got = sorted(m.taken().collect(), key=lambda r: r.doc_id)

@@ -94,3 +94,30 @@ def test_run_and_registration(spark, stages):
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert set(__spark_entry__.oracle_sql()) <= set(names)
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, score double, print long, block int, once0 string, root string"
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_odd_tables(spark, name):
+    """Nulls in every column, empty and long texts, repeated rows and ids, extra columns of the operators' own names; an empty table."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    prose = " ".join(f"{a}{b}" for a in ("so", "much", "text", "here") for b in ("er", "ly", "ness", "", "ing"))
+    extra = (0.5, 1, 1, "x", "y")
+    rows = [(None, None, None, None, None, None, None, None, None, None), (None, prose, "en", None, 9, *extra), (1, "", "en", "a", 0, *extra), (2, ("long and long again\n" * 5 + "word ") * 3000, "en", "a", 9, *extra)]
+    rows += [(3, prose, "en", "b", 9, *extra)] * 2 + [(3, f"other {prose[::-1]}", "en", "b", 9, *extra), (4, prose, None, "b", None, *extra), (5, " \n\t ", "en", "", 4, *extra)]
+    df = spark.createDataFrame(rows, ODD)
+    out = stage(spark, df, SF)
+    got = out.collect()
+    if name == "bpe_tokens":
+        assert len(got) == len(rows) and {r.n_tokens for r in got if not (r.text or "").strip()} == {0}
+    else:
+        assert out.columns == df.columns
+        key = lambda r: tuple(map(str, (r[0], *r[2:4], *r[5:])))
+        assert {key(r) for r in got} <= {key(r) for r in rows}
+    if name == "near_dedup":  # of equal sets the smallest id stays, rows of one id together; without an id, or words, all do
+        assert sorted(str(r.doc_id) for r in got) == sorted(map(str, [None, None, 1, 2, 3, 3, 3, 5]))
+    if name == "line_dedup":
+        assert len(got) == len(rows) and all((a.text is None) == (a.source is None and a.lang is None) for a in got)
+    assert stage(spark, df.limit(0), SF).collect() == []

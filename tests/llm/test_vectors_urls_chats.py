@@ -172,7 +172,9 @@ def test_urls(spark, monkeypatch):
     rows = [(i, rng.choice(["http", "https", ""]) + "://" + rng.choice(hosts) + rng.choice(tails), "<p>", "v") for i in range(400)]
     rows += [(900, None, "", ""), (901, "", "", ""), (902, "no scheme/en/", "", ""), (None, "http://example.com/en/", "", ""), (5, rows[5][1], "", "")]
     rules = [*urls.RULES, ("a.b.net", "/es/a", "allow"), ("www.example.com", "/en/", "allow")]
+    rules += [("b.net", f"/{'x' * (i % 50)}{i}", "block") for i in range(2000)]  # very many rules of one host
     monkeypatch.setattr(urls, "RANGE", 60)
+    monkeypatch.setattr(urls, "MOST_RANGES", 4)
     df = spark.createDataFrame(rows, "page_id long, url string, html string, verdict string").repartition(3)
     got = urls.filter_urls(df, spark.createDataFrame(rules, "host string, path string, verdict string"))
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(str((r[0], *judged(r[1], rules))) for r in rows)
@@ -188,7 +190,7 @@ def test_chats(spark):
     rows = [(c, t, rng.choice(["user", "assistant", "system", "a<|b"]), text(), "x") for c in range(40) for t in range(rng.randint(1, 7))]
     rows += [(50, 0, None, None, "x"), (51, 0, "assistant", "", "x"), (52, 1, "assistant", "tie b", "x"), (52, 1, "assistant", "tie a", "x"), (52, None, "user", "first", "x"), (53, 0, "user", "same", "x"), (53, 0, "user", "same", "x"), (None, 0, "assistant", "none", "x"), (54, 0, "assistant", "long " * 40000, "x")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, ids string").repartition(3)
-    got = {r.conv_id: r for r in chat.digests(chat.format_chats(df, PATH)).collect()}
+    got = {r.conv_id: r for r in chat.digests(df, PATH).collect()}
     convs: dict = {}
     for c, t, r, x, _ in rows:
         convs.setdefault(c, []).append((t is not None, t or 0, r is not None, r or "", x is not None, x or ""))
@@ -199,7 +201,11 @@ def test_chats(spark):
         learned = "".join(x for r, x in turns if r == "assistant")
         r = got[c]
         assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == (len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest())
-    assert chat.digests(chat.format_chats(df.limit(0), PATH)).collect() == []
+    assert chat.digests(df.limit(0), PATH).collect() == [] and chat.format_chats(df.limit(0), PATH).collect() == []
+    for r in chat.format_chats(df, PATH).collect():
+        assert len(r.ids) == len(r.token_start) == len(r.token_end) == len(r.loss) and got[r.conv_id].formatted_chars == len(r.formatted)
+        spans = chat.covered(*(np.array([x for x, on in zip(side, r.loss, strict=True) if on], int) for side in (r.token_start, r.token_end)))
+        assert sum(len(chat.unescape(r.formatted[a:b])) for a, b in spans) == got[r.conv_id].loss_chars
 
 
 def test_escape_is_reversible():
