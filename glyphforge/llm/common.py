@@ -31,8 +31,8 @@ LONG_WORD = 64
 
 #: Spark then removes a plan's shuffle files when it has run.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-#: A key of at least a HOT-th of all rows is looked up in a broadcast table, which so has at most HOT rows.
-HOT = 1000
+#: A key of at least a HOT-th of all rows, and of MANY at least, is looked up in a broadcast table, which so has at most HOT rows.
+HOT, MANY = 1000, 1000
 
 _OWN_DIRS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
@@ -103,19 +103,21 @@ class Workspace:
             pass
 
 
-def lookup(work: Workspace, rows: DataFrame, table: DataFrame, key: str, name: str, how: str = "inner") -> DataFrame:
+def lookup(work: Workspace, rows: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """rows joined with table by `key`, which is unique in table and never null in rows.
 
     Rows of hot keys (see HOT) meet a broadcast of these keys' entries and are not shuffled; all others are joined by a shuffle,
     in which no key then has more than a HOT-th of the rows.
     """
     total = rows.count()
-    often = work.write(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") * HOT >= total).where("n > 1").select(key), f"{name}_often")
-    if often.isEmpty():
+    top = rows.groupBy(key).agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(HOT).collect() if total >= MANY else []  # HOT rows
+    found = [(r[key],) for r in top if r.n >= MANY and r.n * HOT >= total]
+    if not found:
         return rows.join(table, key, how)
-    hot = F.broadcast(work.write(table.join(F.broadcast(often), key, "left_semi"), f"{name}_hot"))  # HOT rows at most, as often
-    near = rows.join(F.broadcast(often), key, "left_semi").join(hot, key, how)
-    return near.unionByName(rows.join(F.broadcast(often), key, "left_anti").join(table, key, how))
+    often = F.broadcast(work.spark.createDataFrame(found, rows.select(key).schema))
+    hot = F.broadcast(table.join(often, key, "left_semi"))
+    near = rows.join(often, key, "left_semi").join(hot, key, how)
+    return near.unionByName(rows.join(often, key, "left_anti").join(table, key, how))
 
 
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], schema: str, text: str | None = None) -> DataFrame:

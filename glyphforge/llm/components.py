@@ -84,7 +84,7 @@ def components(work: Workspace, links: DataFrame, name: str = "cc") -> DataFrame
         jump = 0
         while True:
             above = parents.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            nxt = work.write(lookup(work, parents, above, "up", f"{name}_jump").select("node", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")), f"{name}_up{k}_{jump + 1}")
+            nxt = work.write(lookup(work, parents, above, "up").select("node", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")), f"{name}_up{k}_{jump + 1}")
             work.drop(f"{name}_up{k}_{jump}")
             jump += 1
             parents = nxt.select("node", "up")
@@ -92,8 +92,8 @@ def components(work: Workspace, links: DataFrame, name: str = "cc") -> DataFrame
                 break
         grown.append(parents)
         on_a, on_b = parents.toDF("a", "ra"), parents.toDF("b", "rb")
-        half = work.write(lookup(work, left, on_a, "a", f"{name}_a"), f"{name}_half")
-        nxt = lookup(work, half, on_b, "b", f"{name}_b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        half = work.write(lookup(work, left, on_a, "a"), f"{name}_half")
+        nxt = lookup(work, half, on_b, "b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
         left = work.write(contract(nxt.repartition("a", "b")), f"{name}_links{k + 1}")
         work.drop(f"{name}_links{k}", f"{name}_half")
         k += 1
@@ -101,5 +101,5 @@ def components(work: Workspace, links: DataFrame, name: str = "cc") -> DataFrame
         return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
     found = grown[0].toDF("node", "root")
     for i, up in enumerate(grown[1:]):
-        found = work.write(lookup(work, found, up.toDF("root", "top"), "root", f"{name}_find", "left").select("node", F.coalesce("top", "root").alias("root")), f"{name}_found{i}")
+        found = work.write(lookup(work, found, up.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root")), f"{name}_found{i}")
     return found

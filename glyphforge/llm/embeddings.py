@@ -340,7 +340,7 @@ def link_vectors(table: DataFrame, least: float = 0.95, sample: int = SAMPLE) ->
     told = classes.join(counts, "rep", "left").join(roots, "rep", "left").select("vec", "rep", "root", (F.coalesce("n", F.lit(0)) + F.col("many") - 1).cast("long").alias("n_links"))
     told = work.write(told, "told")
     keyed = vectors.where("vec is not null")
-    linked = lookup(work, keyed, told, "vec", "rows").select("vec_id", "n_links", F.coalesce("root", "rep").alias("root"))
+    linked = lookup(work, keyed, told, "vec").select("vec_id", "n_links", F.coalesce("root", "rep").alias("root"))
     alone = vectors.where("vec is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("root"))
     return linked.unionByName(alone).select("vec_id", "n_links", F.col("root").alias("component_id"), F.coalesce(F.col("vec_id") == F.col("root"), F.lit(True)).alias("kept"))
 

@@ -302,7 +302,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, work: Wor
     by_fp = work.write(classes.select(F.col("fp").alias("key"), "rep").join(second.toDF("rep", "root"), "rep", "left").select("key", F.coalesce("root", "rep").alias("root")), "by_fp")
     work.drop("classes")
     keyed = meta.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & F.col("fp").isNotNull(), F.col("fp")).otherwise(F.concat(F.lit("row "), F.monotonically_increasing_id()).cast("binary")).alias("key"))
-    out = lookup(work, keyed, by_fp, "key", "rows", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    out = lookup(work, keyed, by_fp, "key", "left").withColumn("root", F.coalesce("root", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("root")).alias("component_id"), F.coalesce(F.col("doc_id") == F.col("root"), F.lit(True)).alias("kept"))
 
 

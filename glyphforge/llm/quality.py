@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphforge.llm.common import Words, Workspace, column, map_batches, ship
+from glyphforge.llm.common import Words, Workspace, column, give_back, map_batches, offsets, ship
 
 PASSAGE = 1024
 PAIRS = 256
@@ -82,10 +82,16 @@ class Model:
         dh *= 1 - f["h"] ** 2
         return {"w": x.T @ dh, "b": dh.sum(axis=0), "v": f["h"].T @ dt, "u": f["h"].T @ dg, "a": (f["t"] * f["g"]).T @ de, "c": f["z"].T @ dy, "d": dy.sum(keepdims=True)}
 
-    def fit(self, bags: list[np.ndarray], y: np.ndarray, steps: int = 1200, lot: int = 64, rate: float = 3e-3, decay: float = 1e-4) -> Model:
-        """Adam over shuffled lots of documents, about `steps` of them; the same bags in the same order give the same model."""
-        allx = np.concatenate(bags)
-        self.mean, self.spread = allx.mean(axis=0, dtype=np.float64), np.maximum(allx.std(axis=0, dtype=np.float64), 1e-2)
+    def fit(self, allx: np.ndarray, at: np.ndarray, y: np.ndarray, steps: int = 1200, lot: int = 64, rate: float = 3e-3, decay: float = 1e-4) -> Model:
+        """Adam over shuffled lots of documents, about `steps` of them: document i has the passages at[i]:at[i + 1] of allx. The same
+        documents in the same order give the same model."""
+        n, total, squares = max(1, len(allx)), np.zeros(FEATURES), np.zeros(FEATURES)
+        for i in range(0, len(allx), 4096):  # in steps, as a copy in doubles would be twice as large
+            part = allx[i : i + 4096].astype(np.float64)
+            total, squares = total + part.sum(axis=0), squares + (part * part).sum(axis=0)
+        self.mean = total / n
+        self.spread = np.maximum(np.sqrt(np.maximum(squares / n - self.mean**2, 0)), 1e-2)
+        bags = [allx[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
         rng, m1, m2, step = np.random.default_rng(11), {}, {}, 0
         for _ in range(-(-steps * lot // len(bags))):
             order = rng.permutation(len(bags))
@@ -135,13 +141,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = SA
 
     chosen = texts.where(F.col("doc_id").isin(taken)) if len(taken) < len(sized) else texts
     got = map_batches(chosen, run, "doc_id long, quality double, bag binary", text="text").toArrow()
-    rows = sorted(zip(*(got.column(c).to_pylist() for c in got.column_names), strict=True))
     work.drop()
     model = Model()
-    if not rows:
+    if not got.num_rows:
         model.p["c"] *= 0
         return model
-    return model.fit([np.frombuffer(r[2], np.float32).reshape(-1, FEATURES) for r in rows], np.array([float(r[1] >= 0.5) for r in rows]))
+    got = got.sort_by("doc_id").combine_chunks()
+    bags, quality = got["bag"].combine_chunks(), got["quality"].to_numpy()
+    allx = np.frombuffer(bags.buffers()[2], np.float32, offset=int(offsets(bags)[0])).reshape(-1, FEATURES)
+    at = offsets(bags)
+    model.fit(allx, (at - at[0]) // (4 * FEATURES), (quality >= 0.5).astype(float))
+    del allx, bags, got
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
