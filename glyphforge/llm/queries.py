@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphforge.llm import bpe, chat, embeddings, lines, minhash, mixing, quality, substrings, topk, urls
+from glyphforge.llm import bpe, chat, embeddings, infill, lines, minhash, mixing, quality, rules, substrings, topk, urls, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": urls.op8_url_filter,
         "op9_chat_format": chat.op9_chat_format,
         "op10_bpe": bpe.op10_bpe,
+        "op11_whitening": whitening.op11_whitening,
+        "op12_quality_rules": rules.op12_quality_rules,
+        "op13_fill_in_middle": infill.op13_fill_in_middle,
     }
 
 
@@ -32,4 +35,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_topk": topk.OP7_SQL,
         "op8_url_filter": urls.OP8_SQL,
         "op9_chat_format": chat.OP9_SQL,
+        "op12_quality_rules": rules.OP12_SQL,
+        "op13_fill_in_middle": infill.OP13_SQL,
     }
