@@ -10,11 +10,12 @@ import zipfile
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glyphforge.functions.text import cell, file_stem, slashes, strip
+from glyphforge.sources import csv_ranges
 
 ORDINAL = "_ord"
 IMAGE_EXTENSIONS = (".jpg", ".jpeg", ".png", ".bmp", ".webp", ".tif", ".tiff")
@@ -25,12 +26,27 @@ def _ordered(df: DataFrame) -> DataFrame:
     return df.withColumn(ORDINAL, F.monotonically_increasing_id())
 
 
-def read_csv(spark: SparkSession, path: str, ordinal: bool = False) -> DataFrame:
-    """Header, quotes doubled, line breaks inside quotes; a byte-order mark is passed over; blanks and missing cells are ''."""
-    df = spark.read.options(header=True, multiLine=True, escape='"', quote='"', encoding="UTF-8", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
-    df = df.withColumnsRenamed({c: c.lstrip("\ufeff") for c in df.columns})
-    df = df.select(*(cell(F.col(f"`{c}`")).alias(c) for c in df.columns))
-    return _ordered(df) if ordinal else df
+_CSV = dict(multiLine=True, escape='"', quote='"', encoding="UTF-8", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def read_csv(spark: SparkSession, path: str, ordinal: bool = False, range_bytes: int = csv_ranges.RANGE_BYTES) -> DataFrame:
+    """Header, quotes doubled, line breaks inside quotes; a byte-order mark is passed over; blanks and missing cells are ''.
+
+    Rows end with LF or CRLF; line breaks inside quotes stay as they are. A file is read by a task for every range_bytes
+    (`csv_ranges`); the file of the first name, in order, gives the columns' names.
+    """
+    df = spark.read.options(header=True, **_CSV).csv(path)
+    names = [c.lstrip("\ufeff") for c in df.columns]
+    rows = csv_ranges.rows_of(spark, path, range_bytes)
+    text = F.when(F.endswith("text", F.lit("\r")), F.expr("left(text, length(text) - 1)")).otherwise(F.col("text"))
+    cells = F.from_csv(text, ", ".join(f"c{k} string" for k in range(max(1, len(names)))), {k: str(v) for k, v in _CSV.items()})
+    named = lambda: (cell(F.col(f"cells.c{k}")).alias(n) for k, n in enumerate(names))
+    body = rows.where(~((F.col("start") == 0) & (F.col("row") == 0)) & (text != ""))
+    if not ordinal:
+        return body.select(cells.alias("cells")).select(*named())
+    files = rows.select("file").distinct().select("file", F.row_number().over(Window.orderBy("file")).alias("at"))  # a row a file
+    place = (F.col("at") * F.lit(1 << 44) + F.col("start") + F.col("row")).alias(ORDINAL)
+    return body.join(files, "file").select(cells.alias("cells"), place).select(*named(), ORDINAL)
 
 
 def read_lines(spark: SparkSession, path: str, ordinal: bool = False) -> DataFrame:
