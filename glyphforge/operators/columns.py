@@ -173,25 +173,32 @@ def text_table(annotations: DataFrame, origin: str = "aihub", prefix: str = "aih
     return annotations.select(text_id(scene, F.col("inner_ann_id")).alias("text_id"), scene.alias("scene_id"), cell(F.col("inner_ann_id")).alias("text_index"), F.lit(origin).alias("origin_dataset"), cell(F.col("text")).alias("label"), points.alias("points"), *extras)
 
 
-def ordinals(df: DataFrame, order: list[str], out: str, by: list[str] = (), total: str | None = None) -> DataFrame:
-    """0, 1, ... in the order of `order` (which must be unique), in each group of `by` if given, and the group's size as `total`.
+def running_sums(df: DataFrame, weight: Column, order: list[str], out: str, by: list[str] = (), total: str | None = None) -> DataFrame:
+    """The sum of `weight` (whole numbers) over the rows before each in the order of `order` (which must be unique), in each group of
+    `by` if given, and the group's sum as `total`.
 
     No task takes all rows, nor all of a group: rows are dealt to ranges of (by, order), which are written once, as each of two
-    range exchanges would find bounds of its own; ranges are numbered by themselves, and start where those before them end.
+    range exchanges would find bounds of its own; ranges are summed up by themselves, and start where those before them end.
     """
     named = lambda names: [F.col(f"`{c}`") for c in names]
-    ranged = written(df.repartitionByRange(*named([*by, *order])).withColumn("__part", F.spark_partition_id()), "ranges")
+    ranged = written(df.withColumn("__weight", weight.cast("long")).repartitionByRange(*named([*by, *order])).withColumn("__part", F.spark_partition_id()), "ranges")
     keys = {f"__by{i}": F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for i, c in enumerate(by)}
     keys |= {f"__none{i}": F.col(f"`{c}`").isNull() for i, c in enumerate(by)}
     ranged = ranged.withColumns(keys) if keys else ranged
     held = [*keys, "__part"]
-    inner = ranged.withColumn("__n", F.row_number().over(Window.partitionBy(*held).orderBy(*named(order))))
-    sizes = ranged.groupBy(*held).agg(F.count("*").alias("__size"))  # a row for each range, and for each group in it
+    upto = Window.partitionBy(*held).orderBy(*named(order)).rowsBetween(Window.unboundedPreceding, 0)
+    inner = ranged.withColumn("__n", F.sum("__weight").over(upto))
+    sizes = ranged.groupBy(*held).agg(F.sum("__weight").alias("__size"))  # a row for each range, and for each group in it
     within = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = F.coalesce(F.sum("__size").over(within.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sizes = sizes.select(*held, before.alias("__before"), F.sum("__size").over(within).alias("__total"))
-    found = inner.join(sizes, held).withColumn(out, F.col("__before") + F.col("__n") - 1)
-    return (found.withColumn(total, F.col("__total")) if total else found).drop(*held, "__n", "__before", "__total")
+    found = inner.join(sizes, held).withColumn(out, F.col("__before") + F.col("__n") - F.col("__weight"))
+    return (found.withColumn(total, F.col("__total")) if total else found).drop(*held, "__n", "__weight", "__before", "__total")
+
+
+def ordinals(df: DataFrame, order: list[str], out: str, by: list[str] = (), total: str | None = None) -> DataFrame:
+    """0, 1, ... in the order of `order` (which must be unique), in each group of `by` if given, and the group's size as `total`."""
+    return running_sums(df, F.lit(1), order, out, by, total)
 
 
 def rename_map(pairs: DataFrame, order: list[str], image: str = "image_file", label: str = "label_file", start: int = 1, padding: int = 0, prefix: str = "") -> DataFrame:

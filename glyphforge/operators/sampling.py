@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-import heapq
-import json
 from collections.abc import Mapping
 from typing import Any
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphforge.functions.text import cell, strip
-from glyphforge.operators.columns import ordinals
+from glyphforge.operators.columns import ordinals, running_sums
 from glyphforge.operators.predicates import TIER_B, conjunction, require_columns
 from glyphforge.sources.scratch import written
 
 SPLITS = ("train", "val", "test")
 MISSING = "__missing_group__"
-#: Pairs of group and tag that the greedy split holds on the driver at most; beyond, it works on classes of groups.
-MOST_GROUP_TAGS = 2_000_000
+#: Turns in which the tag-balanced split deals out tags.
+ROUNDS = 32
 
 
 def allocate(total: int, weights: list[float]) -> list[int]:
@@ -84,114 +81,60 @@ def split_by_ratio(df: DataFrame, key: list[str], groups: list[str] = (), ratio:
     return rows.withColumn(out, F.when(at < train, "train").when(at < train + val, "val").otherwise("test")).drop("__at", "__size")
 
 
-def greedy_split(counts: Mapping[str, Mapping[str, int]], ratio: tuple[float, ...]) -> dict[str, int]:
-    """The tag-balanced split of groups (id -> tag -> count): the split's number for each group.
-
-    The rarest tag that is left goes first (then the one whose split is furthest from the target, then by name); its smallest
-    group goes where that tag lacks most, or where the target is largest if it lacks nowhere.
-    """
-    goal = [r / sum(ratio) for r in ratio]
-    left: dict[str, int] = {}
-    members: dict[str, list[str]] = {}
-    for g in sorted(counts):
-        for t, n in counts[g].items():
-            left[t] = left.get(t, 0) + n
-            members.setdefault(t, []).append(g)
-    total, have, at = dict(left), {t: [0] * len(goal) for t in left}, dict.fromkeys(left, 0)
-    out: dict[str, int] = {}
-
-    def rank(t: str) -> tuple[int, float, str]:
-        done = sum(have[t])
-        away = sum(abs(h / done - q) for h, q in zip(have[t], goal, strict=True)) if done else 0.0
-        return left[t], -away, t
-
-    heap = [rank(t) for t in left]
-    heapq.heapify(heap)
-    while heap:
-        top = heapq.heappop(heap)
-        t = top[2]
-        if left[t] <= 0:
-            continue
-        if top != rank(t):
-            heapq.heappush(heap, rank(t))
-            continue
-        while members[t][at[t]] in out:
-            at[t] += 1
-        g = members[t][at[t]]
-        lack = [q * total[t] - h for q, h in zip(goal, have[t], strict=True)]
-        s = max(range(len(goal)), key=lambda i: (lack[i], goal[i], -i)) if max(lack) > 0 else max(range(len(goal)), key=lambda i: (goal[i], -i))
-        out[g] = s
-        for u, n in counts[g].items():
-            left[u] -= n
-            have[u][s] += n
-            if left[u] > 0:
-                heapq.heappush(heap, rank(u))
-        if left[t] > 0:
-            heapq.heappush(heap, rank(t))
-    for g in sorted(counts):
-        out.setdefault(g, max(range(len(goal)), key=lambda i: (goal[i], -i)))
-    return out
+def cut_points(ratio: tuple[float, ...], total: int, have: list[int], left: int) -> list[float]:
+    """Where to cut `left` rows of a tag, given the rows of it that each split has, so that each gets what it lacks of `total`."""
+    lack = [max(0.0, total * (r / sum(ratio)) - h) for r, h in zip(ratio, have, strict=True)]
+    return [left * (sum(lack[: i + 1]) / sum(lack)) for i in range(len(ratio) - 1)]
 
 
-def split_classes(classes: list[tuple[int, Mapping[str, int]]], ratio: tuple[float, ...]) -> list[list[int]]:
-    """The tag-balanced split of classes of groups that have the same tag counts (number of groups, tag -> count of each): how many
-    groups of each class go to each split.
-
-    A class is shared out by the ratio; what is left of it, less than a group a split, goes where its tags lack most.
-    """
-    goal = [r / sum(ratio) for r in ratio]
-    have: dict[str, list[float]] = {}
-    out = []
-    for groups, counts in classes:
-        shares = [int(groups * q) for q in goal]
-        lacks = {t: have.setdefault(t, [0.0] * len(goal)) for t in counts}
-        for _ in range(groups - sum(shares)):
-            short = [sum(n * (groups * q - k + lacks[t][i]) for t, n in counts.items()) for i, (q, k) in enumerate(zip(goal, shares, strict=True))]
-            shares[max(range(len(goal)), key=lambda i: (short[i], goal[i], -i))] += 1
-        for t, n in counts.items():
-            have[t] = [h + n * (groups * q - k) for h, q, k in zip(have[t], goal, shares, strict=True)]
-        out.append(shares)
-    return out
-
-
-def split_tag_balanced(df: DataFrame, group: str, balance: list[str], ratio: tuple[float, float, float] = (0.8, 0.1, 0.1), filters: list[Mapping[str, Any]] | None = None, out: str = "split", most: int = MOST_GROUP_TAGS) -> DataFrame:
+def split_tag_balanced(df: DataFrame, group: str, balance: list[str], ratio: tuple[float, float, float] = (0.8, 0.1, 0.1), filters: list[Mapping[str, Any]] | None = None, out: str = "split", rounds: int = ROUNDS) -> DataFrame:
     """Whole groups go to train, val or test so that every tag (column and value) comes near the ratio.
 
-    Rows that the filters do not take are dropped; blank groups make one. Up to `most` pairs of group and tag, these go to the
-    driver and are assigned greedily, group by group. Beyond, groups of equal tag counts are one class, classes are shared out
-    in parts of the ratio (see `split_classes`), and a class's groups are numbered in the order of a hash. There the driver
-    holds a row a class and tag; where even the classes are more than `most`, each class is shared out by rounding alone.
+    Rows that the filters do not take are dropped; blank groups make one. A group belongs to its rarest tag. Tags take their turns,
+    the rarest first (ties by name): a tag's groups are dealt out in the order of a hash, and the sequence is cut where each split
+    has what it lacks of the tag, counting what it got with groups of rarer tags. A group goes where its middle row falls. The
+    `rounds` - 1 most frequent tags have a round each, all rarer ones are dealt out at once before them. The result depends on
+    nothing but the rows and `rounds`. The driver holds counters of at most `rounds` tags.
     """
     require_columns(df, [group, *balance])
-    rows = df.where(conjunction(filters, TIER_B))
+    rows = df.where(conjunction(filters, TIER_B)).drop(out)
     gid = F.when(strip(cell(F.col(f"`{group}`"))) == "", MISSING).otherwise(strip(cell(F.col(f"`{group}`"))))
+    rows = rows.withColumn("__g", gid)
+    if not balance:
+        return rows.withColumn(out, F.lit(SPLITS[ratio.index(max(ratio))])).drop("__g")
     tags = F.array(*(F.concat(F.lit(f"{c}_"), F.when(cell(F.col(f"`{c}`")) == "", "None").otherwise(cell(F.col(f"`{c}`")))) for c in balance))
-    counts = rows.select(gid.alias("g"), F.explode(tags).alias("t")).groupBy("g", "t").agg(F.count("*").alias("n"))
-    held = counts.limit(most + 1).toArrow()
-    if held.num_rows <= most:
-        table: dict[str, dict[str, int]] = {}
-        for g, t, n in zip(*(c.to_pylist() for c in held.columns), strict=True):
-            table.setdefault(g, {})[t] = n
-        chosen = greedy_split(table, ratio)
-        assigned = df.sparkSession.createDataFrame(pa.table({"__g": pa.array(chosen.keys(), pa.string()), out: pa.array([SPLITS[s] for s in chosen.values()], pa.string())}))
-    else:
-        assigned = _by_class(counts, ratio, out, most)
-    return rows.drop(out).withColumn("__g", gid).join(assigned, "__g").drop("__g")
-
-
-def _by_class(counts: DataFrame, ratio: tuple[float, ...], out: str, most: int) -> DataFrame:
-    vector = F.to_json(F.sort_array(F.collect_list(F.struct("t", "n"))))
-    groups = counts.groupBy("g").agg(vector.alias("class")).withColumn("__order", F.md5("g"))
-    numbered = written(ordinals(groups, ["__order", "g"], "at", ["class"], "size"), "classes")
-    classes = numbered.where("at = 0").select("class", "size")
-    listed = classes.limit(most + 1).orderBy(F.desc("size"), "class").toArrow()
-    if listed.num_rows <= most:
-        parsed = [(n, {x["t"]: x["n"] for x in json.loads(c)}) for c, n in zip(*(x.to_pylist() for x in listed.columns), strict=True)]
-        shares = split_classes(parsed, ratio)
-        cuts = numbered.sparkSession.createDataFrame(pa.table({"class": listed["class"], "a": pa.array([s[0] for s in shares], pa.int64()), "b": pa.array([s[0] + s[1] for s in shares], pa.int64())}))
-    else:
-        a = F.round(F.col("size") * (ratio[0] / sum(ratio))).cast("long")
-        cuts = classes.select("class", a.alias("a"), F.round(F.col("size") * ((ratio[0] + ratio[1]) / sum(ratio))).cast("long").alias("b"))
-    at = F.col("at")
-    split = F.when(at < F.col("a"), SPLITS[0]).when(at < F.col("b"), SPLITS[1]).otherwise(SPLITS[2])
-    return numbered.join(cuts, "class").select(F.col("g").alias("__g"), split.alias(out))
+    pairs = written(rows.select("__g", F.explode(tags).alias("t")).groupBy("__g", "t").agg(F.count("*").alias("n")), "pairs")
+    totals = written(pairs.groupBy("t").agg(F.sum("n").alias("total")), "totals")
+    frequent = sorted(((r.total, r.t) for r in totals.orderBy(F.desc("total"), F.desc("t")).limit(rounds - 1).collect()))  # rounds - 1 rows
+    if not frequent:
+        return rows.withColumn(out, F.lit(None).cast("string")).drop("__g")
+    turn = {t: k for k, (_, t) in enumerate(frequent, 1)}
+    known = rows.sparkSession.createDataFrame([(t, n, turn[t]) for n, t in frequent], "t string, total long, turn int")
+    # What is frequent is looked up by broadcast; the rest has no tag with more than a `rounds`-th of the pairs.
+    others = pairs.join(F.broadcast(known.select("t")), "t", "left_anti").join(totals, "t").withColumn("turn", F.lit(0))
+    ranked = pairs.join(F.broadcast(known), "t").select("__g", "t", "n", "total", "turn").unionByName(others.select("__g", "t", "n", "total", "turn"))
+    own = F.min_by(F.struct("t", "n", "turn"), F.struct("turn", "total", "t"))
+    later = F.collect_list(F.when(F.col("turn") > 0, F.struct("turn", "n")))  # a tag a round at most
+    groups = ranked.groupBy("__g").agg(own.alias("own"), later.alias("later")).select("__g", "own.*", "later", F.md5("__g").alias("__order"))
+    placed = written(running_sums(groups, F.col("n"), ["__order", "__g"], "before", ["t"], "left").drop("__order"), "placed", by=("turn",))
+    middle = F.col("before") + F.col("n") / 2
+    have = {k: [0] * len(ratio) for k in turn.values()}
+    here = split = _dealt_to(middle, [F.col("left") * F.lit(c) for c in cut_points(ratio, 1, [0] * len(ratio), 1)])
+    for k in range(len(frequent) + 1):  # a small job each, over groups that no other round reads
+        part = placed.where(F.col("turn") == k)
+        if k:
+            total = frequent[k - 1][0]
+            here = _dealt_to(middle, [F.lit(c) for c in cut_points(ratio, total, have[k], total - sum(have[k]))]) if total > sum(have[k]) else F.lit(0)
+            split = F.when(F.col("turn") == k, here).otherwise(split)
+        counted = part.select(here.alias("s"), F.explode("later").alias("x")).groupBy("s", "x.turn").agg(F.sum("x.n").alias("n"))
+        for r in counted.collect():  # a row for each tag to come and split
+            have[r.turn][r.s] += r.n
+    assigned = placed.select("__g", F.element_at(F.array(*map(F.lit, SPLITS)), split + 1).alias(out))
+    return rows.join(assigned, "__g").drop("__g")
+
+
+def _dealt_to(middle: Column, cuts: list[Column]) -> Column:
+    out = F.lit(len(cuts))
+    for k in reversed(range(len(cuts))):
+        out = F.when(middle < cuts[k], k).otherwise(out)
+    return out

@@ -11,15 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphforge.functions import geometry, text
-from glyphforge.operators import dedup, joins, paths, predicates, setops, stats
+from glyphforge.operators import dedup, joins, paths, predicates, sampling, setops, stats
 from glyphforge.plans import curate, evaluate, export
 from glyphforge.plans.queries import _BOXES, _SCORED, _boxes, _documents_of_labels, _exported, _EXPORT, _scored, _six, query, table
 from glyphforge.sources import readers, sinks
-from glyphforge.sources.scratch import shared_dir
+from glyphforge.sources.scratch import delete_later, shared_dir
 
 
 def _place(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/glyphforge-files-{uuid.uuid4().hex}/{name}"
+    """A path in a folder of its own, which goes when the driver ends."""
+    folder = f"{shared_dir(spark)}/glyphforge-files-{uuid.uuid4().hex}"
+    delete_later(spark, folder)
+    return f"{folder}/{name}"
 
 
 # ---- readers and sinks -------------------------------------------------------------------------------------------------
@@ -35,6 +38,16 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_csv(spark, path)
 
 
+@query("""select cast(doc_id as varchar) as doc_id, coalesce(text, '') || chr(10) || '"' || coalesce(lang, '') || '", ' || doc_id as note, coalesce(source, '') as source from documents""")
+def csv_by_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as one CSV file, read in nine ranges, most of which begin inside a quoted cell."""
+    note = F.concat(F.coalesce("text", F.lit("")), F.lit('\n"'), F.coalesce("lang", F.lit("")), F.lit('", '), "doc_id")
+    path = _place(spark, "documents.csv")
+    sinks.write_csv(table(spark, sf_dir, "documents").select("doc_id", note.alias("note"), "source"), path, ["doc_id"], ["doc_id", "note", "source"])
+    size = spark.read.format("binaryFile").load(path).select("length").collect()[0]["length"]  # one file
+    return readers.read_csv(spark, path, range_bytes=size // 8)
+
+
 @query("select 'part_' || p_partkey as text_id, p_name as infer from part")
 def tsv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("a/b/part_"), "p_partkey", F.lit(".jpg")).alias("image_path"), F.col("p_name").alias("label"))
@@ -202,10 +215,8 @@ def path_hygiene(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select 'l_returnflag_' || l_returnflag as tag, count(*) as rows, true as balanced from lineitem group by 1")
 def tag_split_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tag-balanced split by what it promises: whole orders, and every tag within a fiftieth of the ratio."""
-    from glyphforge.operators.sampling import split_tag_balanced
-
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus")
-    out = split_tag_balanced(rows, "l_orderkey", ["l_returnflag", "l_linestatus"])
+    out = sampling.split_tag_balanced(rows, "l_orderkey", ["l_returnflag", "l_linestatus"])
     whole = out.groupBy("l_orderkey").agg(F.count_distinct("split").alias("n")).agg(F.coalesce(F.max("n") == 1, F.lit(True)).alias("whole"))
     near = [F.abs(F.count_if(F.col("split") == s) / F.count("*") - r) < 0.02 for s, r in (("train", 0.8), ("val", 0.1), ("test", 0.1))]
     shares = out.groupBy(F.concat(F.lit("l_returnflag_"), "l_returnflag").alias("tag")).agg(F.count("*").alias("rows"), (near[0] & near[1] & near[2]).alias("near"))

@@ -709,7 +709,26 @@ def sample_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_merge([a, b], [2, 1], 15, ["name"], seed=7)
 
 
-@query()
+def _split_sql() -> str:
+    """The rounds of the split written out: two columns of three and two values make five tags."""
+    ctes = ["""
+p as (select cast(l_orderkey as varchar) as g, t, count(*) as n from (
+  select l_orderkey, 'l_returnflag_' || l_returnflag as t from lineitem union all select l_orderkey, 'l_linestatus_' || l_linestatus from lineitem) group by all),
+k as (select t, sum(n) as total, row_number() over (order by sum(n), t) as turn from p group by t),
+w as (select p.*, k.total, k.turn, min(k.turn) over (partition by g) as own from p join k using (t)),
+b as (select g, own, n, total, coalesce(sum(n) over (partition by own order by md5(g), g rows between unbounded preceding and 1 preceding), 0) as before, sum(n) over (partition by own) as rest from w where turn = own),
+s0 as (select '' as g, 0 as s where false)"""]
+    for k in range(1, 6):
+        ctes.append(f"""
+h{k} as (select coalesce(sum(n) filter (s = 0), 0) as a, coalesce(sum(n) filter (s = 1), 0) as b, coalesce(sum(n) filter (s = 2), 0) as c from w join s{k - 1} using (g) where turn = {k}),
+l{k} as (select greatest(0.0::double, total * (0.8::double / 1.0::double) - a) as x, greatest(0.0::double, total * (0.1::double / 1.0::double) - h{k}.b) as y, greatest(0.0::double, total * (0.1::double / 1.0::double) - c) as z from h{k}, k where turn = {k}),
+s{k} as (
+  select * from s{k - 1} union all
+  select g, case when before + n / 2.0::double < rest * (x / (x + y + z)) then 0 when before + n / 2.0::double < rest * ((x + y) / (x + y + z)) then 1 else 2 end from b, l{k} where own = {k})""")
+    return "with" + ",".join(ctes) + " select l_orderkey, l_linenumber, l_returnflag, l_linestatus, case s when 0 then 'train' when 1 then 'val' else 'test' end as split from lineitem join s5 on cast(l_orderkey as varchar) = g"
+
+
+@query(_split_sql())
 def split_tag_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
     return sampling.split_tag_balanced(rows, "l_orderkey", ["l_returnflag", "l_linestatus"])

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN_DIRS: dict[str, str] = {}
 
@@ -24,11 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIRS[sc.applicationId]
 
 
-def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """df, written as Parquet and read back: every reader sees the same rows, and a lost executor loses none. Gone when the driver ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/glyphforge-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+def delete_later(spark: SparkSession, path: str) -> None:
+    """The folder goes when the driver ends."""
 
     def drop() -> None:
         try:
@@ -38,4 +36,15 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
             pass
 
     atexit.register(drop)
-    return spark.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame, name: str = "table", by: tuple[str, ...] = ()) -> DataFrame:
+    """df, written as Parquet and read back: every reader sees the same rows, and a lost executor loses none. Gone when the driver ends.
+
+    With `by`, rows of equal values there are in folders of their own, so that readers of some values pass the others over.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/glyphforge-{name}-{uuid.uuid4().hex}"
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    delete_later(spark, path)
+    return spark.read.schema(df.schema).parquet(path).select(*(F.col(f"`{c}`") for c in df.columns))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import random
 
@@ -311,12 +312,62 @@ def test_ordinals_within_groups(spark):
     assert columns.ordinals(spark.createDataFrame([], "g string, i int"), ["i"], "o", ["g"], "n").collect() == []
 
 
-@pytest.mark.parametrize("most", [10**6, 400, 3])
-def test_split_tag_balanced_beyond_the_greedy_bound(spark, most):
-    """Greedy, by classes, and by rounding alone: whole groups, tags near the ratio."""
-    rows = [(f"g{i // 3}", "ab"[i % 3 > 0], "xyz"[i // 3 % 3]) for i in range(900)]
-    out = sampling.split_tag_balanced(spark.createDataFrame(rows, "g string, a string, b string"), "g", ["a", "b"], most=most).collect()
-    assert len(out) == 900 and len({(r.g, r.split) for r in out}) == 300
-    for tag in ("x", "y", "z"):
-        own = [r.split for r in out if r.b == tag]
-        assert abs(own.count("train") / len(own) - 0.8) < 0.03 and abs(own.count("val") / len(own) - 0.1) < 0.03
+def brute_split(rows, ratio, rounds):
+    """Groups' splits by the rule: rows are (group, tags)."""
+    pairs: dict = {}
+    for g, tags in rows:
+        for t in tags:
+            pairs[g, t] = pairs.get((g, t), 0) + 1
+    total: dict = {}
+    for (_, t), n in pairs.items():
+        total[t] = total.get(t, 0) + n
+    ranked = sorted(total, key=lambda t: (total[t], t))
+    late = ranked[max(0, len(ranked) - rounds + 1) :]
+    own = {}
+    for t in ranked:
+        for g, u in pairs:
+            if u == t:
+                own.setdefault(g, t)
+    split: dict = {}
+    have = {t: [0, 0, 0] for t in ranked}
+
+    def deal(t, given):
+        groups = sorted((g for g in own if own[g] == t), key=lambda g: (hashlib.md5(g.encode()).hexdigest(), g))
+        left, at = sum(pairs[g, t] for g in groups), 0
+        if not left:
+            return
+        lack = [max(0.0, (total[t] if t in late else 1) * (r / sum(ratio)) - h) for r, h in zip(ratio, given, strict=True)]
+        cuts = [left * (sum(lack[: i + 1]) / sum(lack)) for i in range(2)]
+        for g in groups:
+            middle = at + pairs[g, t] / 2
+            split[g] = sum(middle >= c for c in cuts)
+            at += pairs[g, t]
+
+    def count(done):
+        for g in done:
+            for t in late:
+                have[t][split[g]] += pairs.get((g, t), 0)
+
+    for t in ranked:
+        if t not in late:
+            deal(t, [0, 0, 0])
+    count(list(split))
+    for t in late:
+        before = set(split)
+        deal(t, have[t])
+        count(set(split) - before)
+    return {g: sampling.SPLITS[s] for g, s in split.items()}
+
+
+@pytest.mark.parametrize(("values", "rounds"), [(3, 32), (60, 8), (60, 32), (4, 2)])
+def test_split_tag_balanced_in_rounds(spark, values, rounds):
+    """The rule restated; tags of few and many values, more than the rounds, groups of one row and of a third of all."""
+    rng = random.Random(values + rounds)
+    rows = [(f"g{rng.randrange(150)}" if rng.random() < 0.67 else "hot", f"a{min(rng.randrange(values), rng.randrange(values))}", rng.choice("xy")) for _ in range(1500)]
+    df = spark.createDataFrame(rows, "g string, a string, b string")
+    want = brute_split([(g, (f"a_{a}", f"b_{b}")) for g, a, b in rows], (0.8, 0.1, 0.1), rounds)
+    for part in (2, 7):
+        out = sampling.split_tag_balanced(df.repartition(part), "g", ["a", "b"], rounds=rounds).collect()
+        assert len(out) == len(rows) and {r.g: r.split for r in out} == want
+    assert sampling.split_tag_balanced(df.limit(0), "g", ["a"]).collect() == []
+    assert {r.split for r in sampling.split_tag_balanced(df, "g", []).collect()} == {"train"}
