@@ -67,6 +67,16 @@ def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_predictions(spark, path).drop(readers.ORDINAL)
 
 
+@query("""select p_brand || '/한글 ' || p_partkey || '.txt' as member, strlen(p_name) as size, p_name as content from part where p_size % 5 > 0""")
+def archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts as members of three archives, read by a task for every hundred; every fifth would leave its folder and is left out."""
+    part = table(spark, sf_dir, "part").repartition(3, "p_partkey")
+    folder = F.when(F.col("p_size") % 5 == 0, F.concat(F.lit("../"), "p_brand")).otherwise(F.col("p_brand"))
+    path = _place(spark, "archives")
+    sinks.write_archives(part, path, F.concat(folder, F.lit("/한글 "), "p_partkey", F.lit(".txt")), F.col("p_name"))
+    return readers.read_archives(spark, path, contents=True, members=100).select("member", "size", F.col("content").cast("string").alias("content"))
+
+
 @query("select distinct replace(url, '://', '/') as value from pages where url is not null and trim(url) <> ''")
 def line_list_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "pages").where("url is not null").select(F.replace("url", F.lit("://"), F.lit("\\")).alias("value")).distinct()

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from glyphforge.sources.scratch import written
+from glyphforge.sources.scratch import ship, written
 
 #: Bytes of a range.
 RANGE_BYTES = 64 << 20
@@ -171,6 +171,7 @@ def rows_of(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES, most
     Its place is (file, start + row), as a range has no more rows than bytes. Rows end with LF or CRLF; a quote opens a cell only as its first character, and a quoted
     cell goes on to its closing quote. Runs one pass over the lines with quotes at once.
     """
+    ship(spark)
     lines = lines_of(spark, path, range_bytes)
     files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), "length")  # lists, reads nothing
     if (files.agg(F.max("length")).collect()[0][0] or 0) > range_bytes:

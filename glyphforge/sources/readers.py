@@ -5,17 +5,14 @@ Every cell is a string and never null; schemas are given, not inferred.
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from glyphforge.functions.text import cell, file_stem, slashes, strip
-from glyphforge.sources import csv_ranges
+from glyphforge.sources import archives, csv_ranges
+from glyphforge.sources.scratch import ship
 
 ORDINAL = "_ord"
 IMAGE_EXTENSIONS = (".jpg", ".jpeg", ".png", ".bmp", ".webp", ".tif", ".tiff")
@@ -152,30 +149,12 @@ def image_ids(files: DataFrame, extensions: Iterable[str] = IMAGE_EXTENSIONS) ->
     return files.where(ext.isin(*extensions)).select(file_stem(F.col("value")).alias("text_id")).distinct()
 
 
-def repair_name(name: str, utf8: bool) -> str:
-    """A name that the archive stored as cp949 and Python read as cp437."""
-    if utf8:
-        return name
-    try:
-        return name.encode("cp437").decode("cp949")
-    except UnicodeError:
-        return name
-
-
-def read_archives(spark: SparkSession, path: str, contents: bool = False) -> DataFrame:
-    """Archive, member, size and, if asked for, content of each file in the ZIP archives; members that would leave the
-    target folder (absolute, or with ..) are left out. An archive is read whole by one task."""
-    schema = T.StructType([T.StructField("archive", T.StringType()), T.StructField("member", T.StringType()), T.StructField("size", T.LongType()), T.StructField("content", T.BinaryType())])
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for p, raw in zip(frame["path"], frame["content"], strict=True):
-                rows = []
-                with zipfile.ZipFile(io.BytesIO(raw)) as z:
-                    for info in z.infolist():
-                        name = repair_name(info.filename, bool(info.flag_bits & 0x800)).replace("\\", "/")
-                        if not info.is_dir() and not name.startswith("/") and ".." not in name.split("/"):
-                            rows.append((p, name, info.file_size, z.read(info) if contents else None))
-                yield pd.DataFrame(rows, columns=["archive", "member", "size", "content"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, schema)
+def read_archives(spark: SparkSession, path: str, contents: bool = False, members: int = archives.MEMBERS) -> DataFrame:
+    """Archive, member, size and, if asked for, content of each file in a ZIP archive, or in all below a folder.
+
+    A task reads at most `members` members, so that a large archive is shared out. Members that would leave the target folder
+    (absolute, or with ..) are left out; a damaged or encrypted one raises when its content is read.
+    """
+    ship(spark)
+    spark.dataSource.register(archives.ArchiveSource)
+    return spark.read.format("zip_members").options(contents=contents, members=members).load(path)

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIRS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,6 +29,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIRS[sc.applicationId]
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent.parent
+    out = os.path.join(tempfile.mkdtemp(prefix="glyphforge-code-"), f"{root.name}.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def delete_later(spark: SparkSession, path: str) -> None:
     """The folder goes when the driver ends."""
 

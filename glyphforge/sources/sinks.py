@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from glyphforge.functions.geometry import points_size
 from glyphforge.functions.text import cell, jsonl_filename, strip
+from glyphforge.sources import archives
+from glyphforge.sources.scratch import ship
 
 
 def _move_single(df: DataFrame, staged: str, path: str, head: bytes = b"") -> None:
@@ -58,6 +60,14 @@ def write_csv(df: DataFrame, path: str, order: list[str], columns: list[str] | N
     write_lines(df, path, csv_line(columns), order, ending, ("\ufeff" if bom else "") + head + ending)
 
 
+def write_archives(df: DataFrame, path: str, member: Column, content: Column, overwrite: bool = True) -> None:
+    """S16 the other way: a ZIP archive for each partition, in one folder; all of them appear when every task is done, or none."""
+    ship(df.sparkSession)
+    df.sparkSession.dataSource.register(archives.ArchiveSource)
+    out = df.select(member.cast("string").alias("member"), content.cast("binary").alias("content"))
+    out.write.format("zip_members").mode("overwrite" if overwrite else "append").save(path)
+
+
 def label_lines(df: DataFrame, image_path: str = "image_path", label: str = "label", skip_blank: bool = True) -> DataFrame:
     """`line`, path and label with a tab between; rows with a blank path are left out on request. Other columns stay."""
     out = df.where(strip(cell(F.col(image_path))) != "") if skip_blank else df

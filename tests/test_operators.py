@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from glyphforge.operators import columns, dedup, joins, paths, predicates, sampling, setops, stats
 from glyphforge.plans import curate, evaluate
 from glyphforge.plans.pipeline import Pipeline
-from glyphforge.sources import readers, sinks
+from glyphforge.sources import archives, readers, sinks
 from glyphforge.streaming import scoring
 
 
@@ -233,7 +233,7 @@ def test_listings_and_archives(spark, tmp_path):
         z.writestr("in/한.txt", "x")
         z.writestr("../out.txt", "x")
     assert [r.member for r in readers.read_archives(spark, f"{tmp_path}/t.zip").collect()] == ["in/한.txt"]
-    assert readers.repair_name("가.txt".encode("cp949").decode("cp437"), False) == "가.txt"
+    assert archives.repair_name("가.txt".encode("cp949"), False) == archives.repair_name("가.txt".encode(), True) == "가.txt"
 
 
 def test_report_example(spark):

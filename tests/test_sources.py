@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import csv
 import random
+import zipfile
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from glyphforge.sources import csv_ranges, readers
+from glyphforge.sources import archives, csv_ranges, readers, sinks
 
 
 def state_machine(lines, within):
@@ -103,3 +105,82 @@ def test_csv_ranges_edges(spark, tmp_path):
 
 def test_inside_of_no_lines():
     assert csv_ranges.inside(np.zeros(0, bool), np.zeros(0, bool), True).tolist() == [True]
+
+
+# ---- archives
+
+
+def test_archive_by_ranges(spark, tmp_path):
+    """1,000 members by four tasks and more: names of three encodings, all ways of packing, unsafe members, a file before the archive."""
+    want = {}
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        for k in range(1000):
+            data = f"content {k} ".encode() * (k % 50)
+            info = zipfile.ZipInfo(f"폴더/파일 {k}.txt" if k % 2 else f"plain/{k}.txt")
+            info.compress_type = [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA][k % 4]
+            z.writestr(info, data)
+            want[info.filename] = data
+        for bad in ("/abs.txt", "../up.txt", "a/../../b.txt", "dir/", "C:/x.txt"):
+            z.writestr(bad, b"")
+    raw = (tmp_path / "a.zip").read_bytes()
+    (tmp_path / "a.zip").write_bytes(b"#!/bin/sh\n" + raw)
+    got = readers.read_archives(spark, str(tmp_path / "a.zip"), contents=True, members=250)
+    assert got.rdd.getNumPartitions() == 5
+    assert {r.member: bytes(r.content) for r in got.collect()} == want
+    assert {r.member: r.size for r in readers.read_archives(spark, str(tmp_path), members=10**6).collect()} == {k: len(v) for k, v in want.items()}
+
+
+def test_archive_of_old_names(spark, tmp_path):
+    """Names of bytes in cp949 that nothing marks: Python writes them as cp437 if told so."""
+    name = "한글.txt".encode("cp949").decode("cp437")
+
+    class Old(zipfile.ZipInfo):
+        def _encodeFilenameFlags(self):
+            return self.filename.encode("cp437"), self.flag_bits & ~0x800
+
+    with zipfile.ZipFile(tmp_path / "old.zip", "w") as z:
+        z.writestr(Old(name), b"x")
+    assert [r.member for r in readers.read_archives(spark, str(tmp_path)).collect()] == ["한글.txt"]
+
+
+def test_large_directory(tmp_path):
+    """More members than the old end record can count."""
+    path = tmp_path / "many.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for k in range(66_000):
+            z.writestr(zipfile.ZipInfo(str(k)), b"")
+    with path.open("rb", buffering=0) as f:
+        d = archives.directory(f, path.stat().st_size)
+        assert d.entries == 66_000
+        assert [m.name for m in archives.members(f, d, 65_990, 65_993)] == ["65990", "65991", "65992"]
+
+
+def test_bad_archives(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("a.txt", b"some content")
+    data = bytearray((tmp_path / "a.zip").read_bytes())
+    data[data.index(b"some")] ^= 1
+    (tmp_path / "a.zip").write_bytes(bytes(data))
+    assert readers.read_archives(spark, str(tmp_path)).count() == 1
+    with pytest.raises(Exception, match="damaged"):
+        readers.read_archives(spark, str(tmp_path), contents=True).collect()
+    (tmp_path / "a.zip").write_bytes(b"none")
+    with pytest.raises(Exception, match="not a ZIP archive"):
+        readers.read_archives(spark, str(tmp_path)).collect()
+    with pytest.raises(Exception, match="nowhere"):
+        readers.read_archives(spark, str(tmp_path / "nowhere")).collect()
+
+
+def test_archives_written_or_not(spark, tmp_path):
+    """A run that fails leaves what was there, and no temporary files; one that succeeds replaces it."""
+    out = str(tmp_path / "out")
+    df = spark.range(40).repartition(4)
+    sinks.write_archives(df, out, F.concat(F.lit("m"), "id"), F.col("id").cast("string"))
+    old = sorted(p.name for p in (tmp_path / "out").iterdir())
+    assert sum(n.endswith(".zip") for n in old) == 4
+    broken = F.when(F.col("id") == 33, F.raise_error(F.lit("stop"))).otherwise(F.col("id").cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.write_archives(df, out, F.concat(F.lit("n"), "id"), broken)
+    assert [n for n in sorted(p.name for p in (tmp_path / "out").iterdir()) if not n.endswith(".tmp")] == old
+    sinks.write_archives(df.limit(3), out, F.concat(F.lit("k"), "id"), F.lit(""))
+    assert sorted(r.member[0] for r in readers.read_archives(spark, out).collect()) == ["k"] * 3
