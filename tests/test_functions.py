@@ -97,6 +97,26 @@ def test_wildcard_distance_by_definition(spark):
     assert pairs(spark, rows, hangul.wildcard_distance) == [spec_distance(a, b, "□") for a, b in rows]
 
 
+def test_wildcard_distance_over_words_of_bits(spark):
+    """Texts of none to several words of bits, wildcards first, last and in rows, letters beyond the basic plane."""
+    rng = random.Random(9)
+    sizes = [0, 1, 61, 62, 63, 123, 124, 125, 190]
+    rows = []
+    for _ in range(120):
+        p = "".join(rng.choice("ab🙂한") for _ in range(rng.choice(sizes)))
+        g = list(p) if rng.random() < 0.7 else [rng.choice("ab🙂한□") for _ in range(rng.choice(sizes))]
+        for _ in range(rng.randint(0, 12)):
+            at = rng.randint(0, len(g))
+            g[at : at + rng.randint(0, 3)] = rng.choice(["□", "", "a", "□□□", "bb"])
+        rows.append(("".join(g), p))
+    for size in (62, 5):
+        hangul.BLOCK, kept = size, hangul.BLOCK
+        try:
+            assert pairs(spark, rows, hangul.wildcard_distance) == [spec_distance(a, b, "□") for a, b in rows]
+        finally:
+            hangul.BLOCK = kept
+
+
 def test_letters(spark):
     assert column(spark, ["한", "가", "a□", "힣"], hangul.letters) == ["ㅎㅏㄴ", "ㄱㅏ", "a□□□", "ㅎㅣㅎ"]
 
