@@ -119,12 +119,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = SA
     held-out third.
 
     Held out are rows whose crc32 of doc_id as text leaves 1 when divided by 3. Labels that are null count for nothing; of
-    several labels of a document the mean decides, of several texts the one of the smallest hash. Without any label all
-    scores are near 0.5.
+    several labels of a document the mean decides, of several texts the one of the smallest hash; labels of other documents
+    are passed over, however many. Without any label all scores are near 0.5.
     """
     work = Workspace(docs.sparkSession, "quality")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality")).where("doc_id is not null and quality is not null and pmod(crc32(cast(doc_id as string)), 3) <> 1")
-    known = known.groupBy("doc_id").agg(F.avg("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    there = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
+    known = known.groupBy("doc_id").agg(F.avg("quality").alias("quality")).join(there, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")  # `sample` rows at most
     texts = work.write(texts.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min_by("text", F.xxhash64("text")).alias("text")), "texts")
     sized = texts.select("doc_id", F.greatest(F.lit(1), F.ceil(F.octet_length("text") / PASSAGE)).alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # `sample` rows at most

@@ -100,7 +100,7 @@ def candidates(work: Workspace, docs: DataFrame, size: int, base: int = BASE) ->
             row = pa.array(x.row[i][one])
             return pa.record_batch({"anchor": pa.array(best[i][one]), "id": column(batch, "id").take(row), "tag": column(batch, "tag").take(row)})
 
-        found = map_batches(docs.drop("doc_id"), anchors, "anchor long, id long, tag int", text="text")
+        found = map_batches(docs.drop("doc_id"), anchors, "anchor long, id long, tag long", text="text")
         counts = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.min("tag").alias("tag"))
         once = F.collect_list(F.when(F.col("n") == 1, F.col("anchor"))).alias(f"once{k}")
         lists = work.write(counts.groupBy("id", "tag").agg(once, F.count_if(F.col("n") > 1).alias("repeated")), f"once{k}")
@@ -112,7 +112,7 @@ def candidates(work: Workspace, docs: DataFrame, size: int, base: int = BASE) ->
 
 
 def first_windows(work: Workspace, docs: DataFrame, levels: list[int], size: int) -> DataFrame:
-    """id, tag and firsts: where in the document candidate windows begin whose words begin a window nowhere earlier."""
+    """id, tag (if texts share an id) and firsts: where in the document candidate windows begin whose words begin a window nowhere earlier."""
 
     def full(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = Windows(column(batch, "text"), size)
@@ -123,18 +123,19 @@ def first_windows(work: Workspace, docs: DataFrame, levels: list[int], size: int
         fresh = np.ones(len(i), bool)  # the first of its kind in the document
         fresh[1:] = (row[1:] != row[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
         order, row = order[fresh], row[fresh]
-        place = (column(batch, "tag").to_numpy().astype(np.int64)[row] << 32) | x.pos[i][order]
-        return pa.record_batch({"one": pa.array(a[fresh].view(np.int64)), "two": pa.array(b[fresh].view(np.int64)), "id": column(batch, "id").take(pa.array(row)), "place": pa.array(place)})
+        names = [column(batch, c).take(pa.array(row)) for c in (("id", "tag") if shared else ("id",))]
+        cols = [pa.array(a[fresh].view(np.int64)), pa.array(b[fresh].view(np.int64)), *names, pa.array(x.pos[i][order].astype(np.int32))]
+        return pa.record_batch(cols, names=["one", "two", *(("id", "tag") if shared else ("id",)), "pos"])
 
-    windows = map_batches(docs.drop("doc_id"), full, "one long, two long, id long, place long", text="text")
     # The smallest (id, tag, position): where no two texts share an id, the smallest id decides, in a cheaper aggregate.
-    shared = docs.select("id", "tag").groupBy("id").agg((F.min("tag") != F.max("tag")).alias("shared")).where("shared")
-    if shared.isEmpty():
-        first = windows.groupBy("one", "two").agg(F.min("id").alias("id"), F.min_by("place", "id").alias("place"))
+    texts = docs.groupBy("id").agg((F.min("tag") != F.max("tag")).alias("shared"))
+    shared = not texts.where("shared").isEmpty()
+    windows = map_batches(docs.drop("doc_id"), full, f"one long, two long, id long, {'tag long, ' if shared else ''}pos int", text="text")
+    if shared:
+        first = windows.groupBy("one", "two").agg(F.min(F.struct("id", "tag", "pos")).alias("f")).select("f.*").groupBy("id", "tag")
     else:
-        first = windows.groupBy("one", "two").agg(F.min(F.struct("id", "place")).alias("f")).select("f.id", "f.place")
-    first = first.select("id", F.shiftright("place", 32).cast("int").alias("tag"), F.col("place").bitwiseAND((1 << 31) - 1).cast("int").alias("pos"))
-    return work.write(first.groupBy("id", "tag").agg(F.collect_list("pos").alias("firsts")), "firsts")
+        first = windows.groupBy("one", "two").agg(F.min("id").alias("id"), F.min_by("pos", "id").alias("pos")).groupBy("id")
+    return work.write(first.agg(F.collect_list("pos").alias("firsts")), "firsts")
 
 
 def drop_repeats(docs: DataFrame, size: int = WINDOW, base: int = BASE) -> DataFrame:
@@ -149,7 +150,7 @@ def drop_repeats(docs: DataFrame, size: int = WINDOW, base: int = BASE) -> DataF
     work = Workspace(docs.sparkSession, "substrings")
     id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    tag = F.xxhash64(text).bitwiseAND((1 << 30) - 1).cast("int")
+    tag = F.xxhash64(text)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_.alias("id"), tag.alias("tag"), text.alias("text"))
     docs, levels = candidates(work, docs, size, base)
     firsts = first_windows(work, docs, levels, size)
@@ -184,7 +185,7 @@ def drop_repeats(docs: DataFrame, size: int = WINDOW, base: int = BASE) -> DataF
         gone = n - np.diff(np.concatenate([[0], np.cumsum(stays)])[w.first])
         return pa.record_batch({"doc_id": column(batch, "doc_id"), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept": pa.array(kept, pa.string())})
 
-    joined = docs.join(firsts, ["id", "tag"], "left").drop("id", "tag")
+    joined = docs.join(firsts, [c for c in ("id", "tag") if c in firsts.columns], "left").drop("id", "tag")
     return map_batches(joined, cut_out, "doc_id long, n_words long, n_removed long, kept string", text="text")
 
 

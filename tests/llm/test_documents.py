@@ -269,7 +269,8 @@ def test_lines_free_words(spark):
     for foot in ("Posted by user {}", "Posted here by {} again", "Posted on this site by {}", "Posted by {} on this site for {}", "This page was written by {} and then it was checked for errors by {} before it came here", "This page {} was kept"):
         assert set(removed(spark, foot_rows(lambda i, f=foot: f.format(name(), name()))).values()) == {1}, foot
     assert set(removed(spark, foot_rows(lambda i: f"{i} {i + 3} {name()} {i}")).values()) == {0}
-    assert set(removed(spark, [(i, f"This whole text is told again by {name()}") for i in range(12)]).values()) == {0}
+    assert set(removed(spark, [(i, f"This whole text is told again by {name()}") for i in range(12)]).values()) == {1}  # of one line, and no near copies
+    assert set(removed(spark, [(i, "This whole text is told again") for i in range(12)]).values()) == {0}  # copies
 
 
 def recurring_lines(rows: list[tuple], least: int = 4) -> set[tuple]:
@@ -284,7 +285,7 @@ def recurring_lines(rows: list[tuple], least: int = 4) -> set[tuple]:
     for t, own in docs.items():
         for x in own:
             for p in parts(x):
-                held.setdefault(p, set()).add(t if len(own) > 1 else None)
+                held.setdefault(p, set()).add(t)
     leaves: dict[tuple, list[tuple]] = {}
     for x in sorted({x for own in docs.values() for x in own}, key=lambda x: int(lines.Lines(pa.array([" ".join(w if w != "*" else "0" for w in x)])).whole[0])):
         leaf = next((p for p in parts(x) if len(held[p]) >= least), None)
@@ -303,7 +304,7 @@ def recurring_lines(rows: list[tuple], least: int = 4) -> set[tuple]:
             else:
                 known.append((list(x), [x]))
         for _, members in known:
-            if len({t if len(docs[t]) > 1 else None for t in docs if set(docs[t]) & set(members)}) >= least:
+            if len({t for t in docs if set(docs[t]) & set(members)}) >= least:
                 gone |= set(members)
     return gone
 
@@ -344,6 +345,51 @@ def test_lines_of_a_large_leaf(spark, monkeypatch):
     assert set(removed(spark, foot_rows(lambda i: "Posted here for you", n=30)).values()) == {1}
 
 
+@pytest.mark.parametrize(("docs", "bound"), [(60, 512), (400, 512), (60, 16)])
+def test_lines_are_found_at_any_size(spark, monkeypatch, docs, bound):
+    """Five lines a document of one template, the document's name in each: below and above the bound of a leaf."""
+    monkeypatch.setattr(lines, "LEAF", bound)
+    rng = random.Random(docs)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    rows = []
+    for i in range(docs):
+        name = word()
+        foot = [f"This text was sent to {name} by the old post office near {word()}" for _ in range(5)]
+        rows.append((i, "\n".join(x for k in range(5) for x in (" ".join(word() for _ in range(12)), foot[k]))))
+    assert set(removed(spark, rows).values()) == {5}
+
+
+def test_lines_of_documents_of_one_line(spark):
+    """Documents of one line count as others do."""
+    rng = random.Random(3)
+    name = lambda: "".join(rng.choice("klmnop") for _ in range(7))
+    rows = [(i, f"A short note by {name()} about the weather of {name()}") for i in range(300)]
+    assert set(removed(spark, rows).values()) == {1}
+
+
+@pytest.mark.parametrize("bound", [4, 10_000])
+def test_lines_in_leaves_above_the_bound(spark, monkeypatch, bound):
+    """The templates that a leaf is known to hold, with near copies among the documents, whatever the bound."""
+    monkeypatch.setattr(lines, "LEAF", bound)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    feet = ["Our page on {} was seen today by all of you", "Our page on {} was made with help from {}", "Our page on {} belongs to nobody at all here"]
+    rows, want = [], {}
+    for i in range(90):
+        own = [" ".join(word() for _ in range(9)) for _ in range(4)]
+        foot = feet[i % 3].format(word(), word()) if i % 10 else f"Our page on {' '.join(word() for _ in range(7))}"
+        rows.append((i, "\n".join([*own, foot])))
+        want[i] = int(i % 10 > 0)
+    base = rows[1][1].split("\n")
+    for i in range(40):  # near copies of one document: their own lines stay
+        own = base[:-1]
+        k = rng.randrange(4)
+        own[k] = " ".join([*own[k].split()[:-1], word()])
+        rows.append((500 + i, "\n".join([*own, base[-1]])))
+        want[500 + i] = 1
+    assert removed(spark, rows) == want
+
+
 def test_targets():
     assert mixing.targets([100, 100, 100], [1, 1, 1]) == [100, 100, 100]
     assert mixing.targets([10, 100, 100], [3, 1, 1]) == [30, 90, 90]
@@ -581,3 +627,26 @@ def test_digest_columns(spark, rows, docs):
     out = {r.doc_id: r for r in substrings.drop_repeats(docs).collect()}
     want = cut_repeats([r if r[1] is not None else (r[0], "", *r[2:]) for r in rows])
     assert {i: hashlib.sha256(r.kept.encode()).hexdigest() for i, r in out.items()} == {i: hashlib.sha256(k[2].encode()).hexdigest() for i, k in want.items()}
+
+
+def test_quality_passes_labels_of_other_documents_over(spark):
+    """Far more labels than documents, and than the sample: the labelled documents are found all the same."""
+    rng = random.Random(1)
+    good = lambda: " ".join(rng.choice(["house", "river", "table", "green"]) for _ in range(80))
+    bad = lambda: " ".join(rng.choice(["##$$", "!!!", "%%", "1 2"]) for _ in range(80))
+    docs = spark.createDataFrame([(i, good() if i % 2 else bad()) for i in range(200)], "doc_id long, text string")
+    labels = spark.range(100_000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    got = quality.score(docs, quality.fit(docs, labels, sample=300)).collect()
+    assert sum((r.score >= 0.5) == bool(r.doc_id % 2) for r in got) >= 195
+
+
+def test_repeats_of_many_texts_without_an_id(spark):
+    """Null ids: each text but the first of its hash loses what they share, whatever other hashes have in common."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for _ in range(300):
+        shared = " ".join(word() for _ in range(20))
+        rows += [(None, f"{word()} {shared}"), (None, f"{word()} {word()} {shared}")]
+    out = substrings.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert out.agg({"n_removed": "sum"}).collect()[0][0] == 300 * 20
