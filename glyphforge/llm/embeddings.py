@@ -36,6 +36,9 @@ SAMPLE = 8192
 #: Pairs at the bound that the budget is found with, the share of them that it must serve, what is added as the sample is fitted
 #: better than other vectors, and the mean number of lookups of a vector up to which the budget that loses nothing is taken.
 TRIED, SERVED, MARGIN, FEW_LOOKUPS = 8192, 0.999, 1.25, 64
+#: Where vectors lie close around one direction, codes tell little and lookups multiply: pieces are then shortened, down to
+#: SHORTEST bits, until a vector of the sample has MOST_LOOKUPS on average. Lookups listed at a time, but for a single vector's.
+SHORTEST, MOST_LOOKUPS, MOST_LISTED = 4, 4096, 1 << 20
 #: Indexed vectors of a bucket that one task holds; a larger bucket is dealt out in blocks.
 BUCKET = 4096
 #: Pairs that are compared at a time, vectors whose lookups are listed at a time, and rows of buckets held at a time.
@@ -51,8 +54,6 @@ class Itq:
 
     def __init__(self, sample: np.ndarray, dim: int, count: int = 0, least: float = 0.95, rounds: int = 30, seed: int = 3):
         bits = min(BITS, dim)
-        wide = min(MOST_PIECE, max(LEAST_PIECE, math.ceil(math.log2(max(2, count))) + 5))
-        self.pieces = np.array_split(np.arange(bits), max(1, -(-bits // MOST_PIECE), bits // wide))
         rng = np.random.default_rng(seed)
         self.mean = sample.mean(axis=0) if len(sample) else np.zeros(dim)
         if len(sample):
@@ -67,15 +68,38 @@ class Itq:
             self.axes = axes @ turn
         else:
             self.axes, _ = np.linalg.qr(rng.normal(size=(dim, bits)))
-        self._calibrate(sample, dim, least, rng)
-
-    def _calibrate(self, sample: np.ndarray, dim: int, least: float, rng: np.random.Generator) -> None:
+        wide = min(MOST_PIECE, max(LEAST_PIECE, math.ceil(math.log2(max(2, count))) + 5))
+        pairs = self._pairs(sample, dim, least, rng)
+        while True:
+            self.pieces = np.array_split(np.arange(bits), max(1, -(-bits // MOST_PIECE), bits // wide))
+            self._calibrate(*pairs, least)
+            if wide <= SHORTEST or self.expected(pairs[1][:256], self.budget) <= MOST_LOOKUPS:
+                break
+            wide -= 2
+
+    def expected(self, square: np.ndarray, budget: int) -> float:
+        """Lookups of a vector on average, counted on a grid of sums rather than listed; a little more than there are."""
+        total, grid = 0.0, 256
+        unit = np.minimum(square // max(1, -(-budget // grid)), grid + 1)
+        for p in self.pieces:
+            ways = np.zeros((len(unit), grid + 1))
+            ways[:, 0] = 1
+            for b in p:
+                at = np.arange(grid + 1) - unit[:, b, None]
+                ways = ways + np.where(at >= 0, np.take_along_axis(ways, np.maximum(at, 0), axis=1), 0)
+            total += ways.sum(axis=1).mean() - 1
+        return total
+
+    def _pairs(self, sample: np.ndarray, dim: int, least: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Codes and squares of vectors of the sample, and of vectors exactly at the bound from them."""
         a = sample[rng.integers(0, len(sample), TRIED)] if len(sample) else _unit(rng.normal(size=(TRIED // max(1, dim // 256), dim)))
         side = rng.normal(size=a.shape)
         side -= (side * a).sum(axis=1, keepdims=True) * a
         side[~side.any(axis=1)] = 1  # of one dimension: no other direction
         b = least * a + math.sqrt(max(0.0, 1 - least * least)) * _unit(side)
-        (bit, square), (other, square2) = self.project(a), self.project(b)
+        return *self.project(a), *self.project(b)
+
+    def _calibrate(self, bit: np.ndarray, square: np.ndarray, other: np.ndarray, square2: np.ndarray, least: float) -> None:
         differ = bit != other
         spread = differ.sum(axis=1)
         self.most_bits = math.ceil(spread.mean() + 5 * spread.std())
@@ -99,15 +123,30 @@ class Itq:
         low = np.stack([bit[:, p] @ (np.int64(1) << np.arange(len(p), dtype=np.int64)) for p in self.pieces], axis=1)
         return low + (np.arange(len(self.pieces), dtype=np.int64) << 48) + (np.int64(len(self.mean)) << 24)
 
-    def lookups(self, bit: np.ndarray, square: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
-        """(vector, bucket) of every lookup but the vectors' own buckets."""
-        code, who, where = self.codes(bit), [], []
+    def listed(self, bit: np.ndarray, square: np.ndarray, budget: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """The lookups of slices of the vectors, so many at once that their lists stay small: 2 ** MOST_PIECE in a piece at most."""
+        todo = [slice(0, len(bit))] if len(bit) else []
+        while todo:
+            part = todo.pop()
+            n = part.stop - part.start
+            found = self.lookups(bit[part], square[part], budget, MOST_LISTED if n > 1 else None)
+            if found is None:
+                todo += [slice(part.start + n // 2, part.stop), slice(part.start, part.start + n // 2)]
+            else:
+                yield part, *found
+
+    def lookups(self, bit: np.ndarray, square: np.ndarray, budget: int, most: int | None = None) -> tuple[np.ndarray, np.ndarray] | None:
+        """(vector, bucket) of every lookup but the vectors' own buckets; None if there are more than `most`."""
+        code, who, where, before = self.codes(bit), [], [], 0
         for t, p in enumerate(self.pieces):
             v, flip, used = np.arange(len(bit)), np.zeros(len(bit), np.int64), np.zeros(len(bit), np.int64)
             for k, b in enumerate(p):
                 more = used + square[v, b]
                 ok = more <= budget
                 v, flip, used = np.concatenate([v, v[ok]]), np.concatenate([flip, flip[ok] | (1 << k)]), np.concatenate([used, more[ok]])
+                if most is not None and before + len(v) > most + len(bit):
+                    return None
+            before += len(v) - len(bit)
             v, flip = v[flip > 0], flip[flip > 0]
             who.append(v)
             where.append(code[v, t] ^ flip)
@@ -247,11 +286,14 @@ def link_vectors(table: DataFrame, least: float = 0.95, sample: int = SAMPLE) ->
             for at in range(0, len(rows_here), LISTED):
                 i = rows_here[at : at + LISTED]
                 bit, square = q.project(_unit(_matrix(vecs.take(pa.array(i)), kind, d)))
-                who, where = q.lookups(bit, square, q.budget)
-                if q is itq:
-                    b = _bit(where)
-                    some = (filled.value[b >> 6] >> (b & 63)) & 1 == 1
-                    who, where = who[some], where[some]
+                kept = []
+                for part, who, where in q.listed(bit, square, q.budget):
+                    if q is itq:
+                        b = _bit(where)
+                        some = (filled.value[b >> 6] >> (b & 63)) & 1 == 1
+                        who, where = who[some], where[some]
+                    kept.append((who + part.start, where))
+                who, where = (np.concatenate(x) for x in zip(*kept, strict=True))
                 n, t = len(bit), len(q.pieces)
                 code = np.zeros((n, 8), np.uint8)
                 packed_bits = np.packbits(bit, axis=1)
@@ -301,7 +343,8 @@ def link_vectors(table: DataFrame, least: float = 0.95, sample: int = SAMPLE) ->
             for p, i in _meetings(bucket, place, seen):
                 other = ids[p] != ids[i]
                 p, i = p[other], i[other]
-                close = np.einsum("ij,ij->i", x[p], x[i]) >= least
+                step = max(1, (PAIRS << 6) // d)  # pairs of 64 MB of components a side
+                close = np.concatenate([np.einsum("ij,ij->i", x[p[a : a + step]], x[i[a : a + step]]) >= least for a in range(0, len(p), step)] or [np.zeros(0, bool)])
                 p, i = p[close], i[close]
                 if not len(p):
                     continue

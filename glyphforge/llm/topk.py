@@ -178,7 +178,8 @@ def top_k(table: DataFrame, query_rows: DataFrame, k: int = 5) -> DataFrame:
                     r, j = sufficient(Turned(qm[part], axes, groups), turned, cut[part])
                 other = qid[part][r] != cid[j]
                 r, j = r[other], j[other]
-                score = np.concatenate([exact_scores(qm[part][r[a : a + (1 << 17)]], cm[j[a : a + (1 << 17)]]) for a in range(0, len(r), 1 << 17)] or [np.zeros(0, np.int64)])
+                step = max(1, (1 << 23) // dim)  # pairs of 64 MB of components a side
+                score = np.concatenate([exact_scores(qm[part][r[a : a + step]], cm[j[a : a + step]]) for a in range(0, len(r), step)] or [np.zeros(0, np.int64)])
                 order = np.lexsort((cid[j], -score, r))
                 r, j, score = r[order], j[order], score[order]
                 best = np.arange(len(r)) - np.searchsorted(r, r) < k

@@ -60,7 +60,36 @@ def test_link_vectors(spark):
     assert embeddings.link_vectors(df.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("dim", [2, 4, 8, 16, 64, 256])
+@pytest.mark.parametrize("count", [2_000, 1_000_000])
+def test_lookups_of_a_cone_are_bounded(count):
+    """Vectors close around one direction, some of them nearly on it."""
+    rng = np.random.default_rng(count)
+    x = rng.normal(size=64) * 2.1 + rng.normal(size=(2000, 64))
+    x[:5] = x.mean(axis=0) + rng.normal(size=(5, 64)) * 1e-3
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    q = embeddings.Itq(unit, 64, count)
+    bit, square = q.project(unit[:300])
+    assert q.expected(square, q.budget) <= 1.5 * embeddings.MOST_LOOKUPS
+    listed = list(q.listed(bit, square, q.budget))
+    assert sorted(i for part, *_ in listed for i in range(part.start, part.stop)) == list(range(300))
+    assert all(len(who) <= embeddings.MOST_LISTED or part.stop - part.start == 1 for part, who, _ in listed)
+    who, where = q.lookups(bit[:40], square[:40], q.budget)
+    parts = list(q.listed(bit[:40], square[:40], q.budget))
+    assert sorted(zip(who.tolist(), where.tolist(), strict=True)) == sorted((w + part.start, b) for part, ws, bs in parts for w, b in zip(ws.tolist(), bs.tolist(), strict=True))
+
+
+def test_links_in_a_cone(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=64) * 2.1 + rng.normal(size=(700, 64))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    got = {r.vec_id: r.n_links for r in embeddings.link_vectors(df, least=0.9).collect()}
+    assert near.sum() > 100 and all(got[i] <= near[i].sum() for i in got) and sum(got.values()) >= 0.99 * near.sum()
+
+
+@pytest.mark.parametrize("dim", [2, 4, 8, 16, 64, 256, 768])
 def test_recall_at_the_bound(spark, dim):
     """Through the whole operator: random vectors, and a partner of each at a cosine just above the bound."""
     rng = np.random.default_rng(dim)
