@@ -15,6 +15,8 @@ from glyphforge.sources.scratch import written
 
 SPLITS = ("train", "val", "test")
 MISSING = "__missing_group__"
+#: Rows that a sample gathers in order at most, and bits of a digit where it counts instead.
+GATHER, DIGIT = 100_000, 12
 #: Turns in which the tag-balanced split deals out tags.
 ROUNDS = 32
 
@@ -36,10 +38,38 @@ def shuffled(key: list[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *(cell(F.col(f"`{c}`")) for c in key)))
 
 
-def take(df: DataFrame, n: int, key: list[str], seed: int, shuffle: bool = True) -> DataFrame:
-    """The first n rows in shuffled order, or in order of the key."""
-    order = [shuffled(key, seed), *key] if shuffle else key
-    return df.orderBy(*order).limit(n)
+def take(df: DataFrame, n: int, key: list[str], seed: int, shuffle: bool = True, gather: int = GATHER) -> DataFrame:
+    """The first n rows in shuffled order, or in order of the key (then unique). Of rows of one key any are taken.
+
+    Up to `gather` rows are gathered in order. More are not: counts of leading digits of their order's hash find the digits of the
+    n-th row, twelve bits a pass over the key; rows below are taken as they are, and only those of the same digits, `gather`
+    at most, are put in order. Rows of one key go on by a hash of all their columns.
+    """
+    if n <= gather:
+        order = [shuffled(key, seed), *key] if shuffle else key
+        return df.orderBy(*order).limit(n)
+    if not shuffle:
+        return ordinals(df, key, "__at").where(F.col("__at") < n).drop("__at")
+    first = F.conv(F.substring(shuffled(key, seed), 1, 15), 16, 10).cast("long")
+    second = F.shiftrightunsigned(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), 4)
+    rows = df.withColumns({"__a": first, "__b": second})
+    bound, left = F.lit(True), n
+    below = F.lit(False)
+    for digits in (F.col("__a"), F.col("__b")):
+        for shift in range(48, -1, -DIGIT):
+            digit = F.shiftright(digits, shift).bitwiseAND(F.lit((1 << DIGIT) - 1).cast("long"))
+            counts = rows.where(bound).groupBy(digit.alias("d")).agg(F.count("*").alias("n")).orderBy("d").collect()  # 2 ** DIGIT rows at most
+            at, size = 0, 0
+            for at, size in counts:
+                if size >= left:
+                    break
+                left -= size
+            below, bound = below | (bound & (digit < at)), bound & (digit == at)
+            if not counts or left >= size:
+                return rows.where(below | bound).drop("__a", "__b")
+            if size <= gather:
+                return rows.where(below).unionByName(rows.where(bound).orderBy("__a", *key, "__b").limit(left)).drop("__a", "__b")
+    return rows.where(below).unionByName(rows.where(bound).limit(left)).drop("__a", "__b")  # rows equal in all columns
 
 
 def take_repeated(df: DataFrame, n: int, key: list[str], seed: int) -> DataFrame:
@@ -61,7 +91,7 @@ def sample_merge(tables: list[DataFrame], weights: list[float], total: int, key:
         if replacement:
             part = take_repeated(rows, n, key, seed)
         else:
-            if rows.limit(n).count() < n:
+            if (rows.limit(n) if n <= GATHER else rows).count() < n:
                 raise ValueError(f"a table has fewer than the {n} rows wanted")
             part = take(rows, n, key, seed, shuffle)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)

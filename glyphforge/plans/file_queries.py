@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from glyphforge.functions import geometry, text
 from glyphforge.operators import dedup, joins, paths, predicates, sampling, setops, stats
 from glyphforge.plans import curate, evaluate, export
+from glyphforge.plans.pipeline import Pipeline
 from glyphforge.plans.queries import _BOXES, _SCORED, _boxes, _documents_of_labels, _exported, _EXPORT, _scored, _six, query, table
 from glyphforge.sources import readers, sinks
 from glyphforge.sources.scratch import delete_later, shared_dir
@@ -262,3 +263,35 @@ def tag_lists_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = spark.read.text(path)
     image, label = F.split_part("value", F.lit("\t"), F.lit(1)), F.split_part("value", F.lit("\t"), F.lit(2))
     return back.select("tag", F.regexp_extract(image, "([^/]*)$", 1).alias("image"), label.alias("label"))
+
+
+# ---- counters of steps -------------------------------------------------------------------------------------------------
+
+
+_STEPS = """
+with f as (select * from customer where c_acctbal > 0),
+l as (select f.*, n_name from f left join (select * from nation where n_regionkey < 3) n on n_nationkey = c_nationkey),
+p as (select c_custkey, case when c_mktsegment = 'BUILDING' then 'BUILD' else c_mktsegment end as segment, coalesce(n_name, '') as nation from l),
+d as (select distinct segment, nation from p)
+select 'input' as step, 'rows' as counter, count(*) as value from customer
+union all select 'filter', 'rows', count(*) from f union all select 'filter', 'dropped', (select count(*) from customer) - count(*) from f
+union all select 'lookup', 'rows', count(*) from l union all select 'lookup', 'matched', count(n_name) from l union all select 'lookup', 'dropped', 0
+union all select 'patch', 'rows', count(*) from l union all select 'patch', 'updated', count(*) filter (c_mktsegment = 'BUILDING') from l union all select 'patch', 'dropped', 0
+union all select 'fill', 'rows', count(*) from l union all select 'fill', 'filled', count(*) filter (n_name is null) from l union all select 'fill', 'dropped', 0
+union all select 'distinct', 'rows', count(*) from d union all select 'distinct', 'dropped', (select count(*) from p) - count(*) from d
+"""
+
+
+@query(_STEPS)
+def step_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five steps on the customers; one action reads the result, and all counters come with it."""
+    nation = table(spark, sf_dir, "nation").where("n_regionkey < 3")
+    steps = Pipeline("customers")
+    steps.add("filter", lambda d: d.where("c_acctbal > 0"))
+    steps.add("lookup", lambda d: d.join(nation, F.col("n_nationkey") == F.col("c_nationkey"), "left"), counters={"matched": "n_name is not null"})
+    patched = F.when(F.col("c_mktsegment") == "BUILDING", "BUILD").otherwise(F.col("c_mktsegment"))
+    steps.add("patch", lambda d: d.withColumn("segment", patched), counters={"updated": "segment <> c_mktsegment"}, drop=("c_mktsegment",))
+    steps.add("fill", lambda d: d.withColumn("nation", F.coalesce("n_name", F.lit(""))), counters={"filled": "n_name is null"}, drop=("n_name",))
+    steps.add("distinct", lambda d: d.select("segment", "nation").distinct())
+    steps.run(table(spark, sf_dir, "customer"), count=True).write.format("noop").mode("overwrite").save()
+    return steps.summary_frame(spark)

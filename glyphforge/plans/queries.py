@@ -709,6 +709,13 @@ def sample_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_merge([a, b], [2, 1], 15, ["name"], seed=7)
 
 
+@query("select o_orderkey, o_custkey from orders qualify row_number() over (order by md5('3|' || o_orderkey), o_orderkey) <= (select count(*) // 2 from orders)")
+def sample_half(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of all orders, found by counts of digits; a hundred rows at most are gathered."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return sampling.take(orders, orders.count() // 2, ["o_orderkey"], seed=3, gather=100)
+
+
 def _split_sql() -> str:
     """The rounds of the split written out: two columns of three and two values make five tags."""
     ctes = ["""

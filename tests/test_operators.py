@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -269,7 +270,10 @@ def test_column_errors(spark):
 
 def test_pipeline_steps(spark):
     p = Pipeline("t").add("one", lambda d: d.where("id > 1")).add("off", lambda d: d.limit(0), enabled=False)
-    assert p.run(spark.range(5), count=True).count() == 3 and p.counts == {"one": 3}
+    out = p.run(spark.range(5), count=True)
+    out.write.format("noop").mode("overwrite").save()
+    assert p.counts == {"one": 3} and p.summary() == {"input": {"rows": 5}, "one": {"rows": 3, "dropped": 2}}
+    assert p.run(spark.range(5)).count() == 3 and p.summary() == {}
     with pytest.raises(ValueError, match="two steps"):
         p.add("one", lambda d: d)
     with pytest.raises(RuntimeError, match="step bad"):
@@ -371,3 +375,25 @@ def test_split_tag_balanced_in_rounds(spark, values, rounds):
         assert len(out) == len(rows) and {r.g: r.split for r in out} == want
     assert sampling.split_tag_balanced(df.limit(0), "g", ["a"]).collect() == []
     assert {r.split for r in sampling.split_tag_balanced(df, "g", []).collect()} == {"train"}
+
+
+@pytest.mark.parametrize("gather", [5, 10_000])
+def test_take_without_gathering(spark, gather):
+    """The same rows as in order, at every place; rows of one key, and rows equal in all columns, in any choice of them."""
+    df = spark.range(3000).withColumn("v", F.col("id") % 7).repartition(3)
+    order = [r.id for r in df.orderBy(sampling.shuffled(["id"], 5), "id").collect()]
+    for n in (1, 6, 1500, 2999, 3000, 4000):
+        assert sorted(r.id for r in sampling.take(df, n, ["id"], 5, gather=gather).collect()) == sorted(order[:n])
+    assert sorted(r.id for r in sampling.take(df, 100, ["id"], 5, shuffle=False, gather=gather).collect()) == list(range(100))
+    same = spark.range(400).select((F.col("id") % 2).alias("k"), (F.col("id") % 40).alias("v"))
+    for n in (77, 201, 399):
+        got = [tuple(r) for r in sampling.take(same, n, ["k"], 5, gather=gather).collect()]
+        assert len(got) == n and max(got.count(x) for x in set(got)) <= 10
+        assert min(sum(k == x for k, _ in got) for x in (0, 1)) == max(0, n - 200)
+    assert sampling.take(df.limit(0), 10, ["id"], 5, gather=gather).collect() == []
+
+
+def test_take_plan(spark):
+    out = sampling.take(spark.range(5000), 2500, ["id"], 1, gather=50)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert all(int(k) <= 50 for k in re.findall(r"[lL]imit(?:=| )(\d+)", plan))
