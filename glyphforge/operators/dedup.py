@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glyphforge.functions.text import cell, strip
+from glyphforge.operators.columns import ordinals, running_sums
 from glyphforge.operators.predicates import require_columns
+from glyphforge.sources.scratch import written
 
 
 def pick(df: DataFrame, keys: list[Column | str], order: list[str], keep: str = "first") -> DataFrame:
@@ -67,45 +67,54 @@ def duplicate_report(df: DataFrame, columns: list[str], skip_empty: bool = False
     return out.withColumn("is_unique", F.col("duplicate_row_count") == 0)
 
 
+def _children(values: DataFrame) -> DataFrame:
+    """of, k, value, first: values that are another one (`of`) with _k behind it; first is where they first occur."""
+    k = F.regexp_extract("__v", r"^(?s:.*)_([1-9][0-9]{0,17})$", 1)
+    cut = values.withColumn("__k", k).where("__k <> ''")
+    named = cut.select(F.expr("left(__v, length(__v) - 1 - length(__k))").alias("of"), F.col("__k").cast("long").alias("k"), F.col("__v").alias("value"), "first")
+    return named.join(values.select(F.col("__v").alias("of")), "of")
+
+
 def unique_suffix(df: DataFrame, column: str, order: list[str]) -> DataFrame:
     """O3: from the second occurrence on a value gets _k, passing over strings that were given out before; blanks stay.
 
-    Most values get their number by a window. Values that could collide with a suffixed form of another (base and base_k both
-    occur) are few; each family of them goes through its rows in order in one group.
+    Rows are numbered within their value, by ranges, so that no value is one task's. A value v meets others only at its children,
+    values that are written v_k. When v's numbers reach k, the child has occurred before, and k is passed over; or it comes
+    later, finds its name given out, and has all its rows numbered. Which of the two holds depends on the numbers passed over
+    below k, and on whether v itself was given out: so children are settled in rounds, until none changes; a round looks at
+    one row for each child.
     """
     require_columns(df, [column, *order])
-    c = F.col(f"`{column}`")
-    marked = df.withColumn("__v", cell(c)).withColumn("__base", F.regexp_replace("__v", r"(_\d+)+$", ""))
-    # A family is all values of one base; it can collide only if the base and a suffixed value are both there, or two suffixed
-    # ones of different depth.
-    family = marked.where("__v <> ''").groupBy("__base").agg(F.count_distinct("__v").alias("__kinds")).where("__kinds > 1")
-    tagged = marked.join(family, "__base", "left")
-    w = Window.partitionBy("__v").orderBy(*(F.col(f"`{o}`") for o in order))
-    plain = tagged.where("__kinds is null").withColumn("__n", F.row_number().over(w))
-    plain = plain.withColumn(column, F.when((F.col("__v") == "") | (F.col("__n") == 1), F.col("__v")).otherwise(F.concat_ws("_", "__v", (F.col("__n") - 1).cast("string")))).select(*df.columns)
-    schema = df.withColumn(column, cell(c)).select(*df.columns).schema
-
-    names = list(df.columns)
-
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order)
-        used: set[str] = set()
-        following: dict[str, int] = {}
-        out = []
-        for v in rows["__v"]:
-            new = v
-            if v in used:
-                k = following.get(v, 1)
-                while f"{v}_{k}" in used:
-                    k += 1
-                following[v], new = k + 1, f"{v}_{k}"
-            used.add(new)
-            out.append(new)
-        rows[column] = out
-        return rows[names]
-
-    collided = tagged.where("__kinds is not null").groupBy("__base").applyInPandas(walk, schema)
-    return plain.unionByName(collided)
+    place = F.struct(*(F.col(f"`{o}`").alias(f"o{i}") for i, o in enumerate(order)))
+    numbered = ordinals(df.withColumn("__v", cell(F.col(f"`{column}`"))), order, "__at", ["__v"])
+    values = numbered.where("__v <> ''").groupBy("__v").agg(F.min(place).alias("first"))
+    children = written(_children(values), "children")
+    name = lambda k: F.when((F.col("__v") == "") | (k == 0), F.col("__v")).otherwise(F.concat_ws("_", "__v", k.cast("string")))
+    if children.isEmpty():
+        return numbered.withColumn(column, name(F.col("__at"))).select(*df.columns)
+    rows = numbered.select(F.col("__v").alias("of"), F.col("__at").alias("at"), place.alias("there"))
+    below = Window.partitionBy("of").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)  # distinct values, not rows
+    state = children.withColumns({"passed": F.lit(False), "given": F.lit(False)})
+    while True:
+        given = state.where("given").select(F.col("value").alias("of"), F.lit(1).alias("moved"))
+        reached = state.withColumn("before", F.coalesce(F.sum(F.col("passed").cast("long")).over(below), F.lit(0)))
+        reached = reached.join(given, "of", "left").withColumn("at", F.col("k") - F.col("before") - F.coalesce("moved", F.lit(0)))
+        met = reached.join(rows, ["of", "at"], "left").withColumns({"new_passed": F.coalesce(F.col("first") < F.col("there"), F.lit(False)), "new_given": F.coalesce(F.col("there") < F.col("first"), F.lit(False))})
+        met = written(met.select("of", "k", "value", "first", "before", "at", "passed", "given", "new_passed", "new_given"), "state")
+        changed = not met.where("passed <> new_passed or given <> new_given").isEmpty()
+        state = met.select("of", "k", "value", "first", F.col("new_passed").alias("passed"), F.col("new_given").alias("given"))
+        if not changed:
+            break
+    # A row's number grows by the children that its value's numbers passed over up to it: both in one sequence.
+    given = state.where("given").select(F.col("value").alias("__v"), F.lit(1).alias("__moved"))
+    involved = written(children.select(F.col("of").alias("__v")).union(children.select("value")).distinct(), "involved")
+    apart = numbered.join(involved, "__v").join(given, "__v", "left").withColumns({"__j": F.col("__at") + F.coalesce("__moved", F.lit(0)), "__mark": F.lit(0), "__of": F.col("__at")})
+    marks = met.where("passed").select(F.col("of").alias("__v"), (F.col("k") - F.col("before")).alias("__j"), F.lit(1).alias("__mark"), F.col("k").alias("__of"))
+    both = apart.unionByName(marks, allowMissingColumns=True).withColumn("__row", 1 - F.col("__mark"))
+    counted = running_sums(both, F.col("__mark"), ["__j", "__row", "__of"], "__passed", ["__v"]).where("__mark = 0")
+    late = counted.withColumn(column, name(F.when(F.col("__j") > 0, F.col("__j") + F.col("__passed")).otherwise(F.lit(0))))
+    plain = numbered.join(involved, "__v", "left_anti").withColumn(column, name(F.col("__at")))
+    return plain.select(*df.columns).unionByName(late.select(*df.columns))
 
 
 def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:

@@ -78,6 +78,17 @@ def test_unique_suffix(spark):
         assert [got[i] for i in range(len(values))] == suffixed(values)
 
 
+def test_unique_suffix_of_hot_families(spark):
+    """A value with nearly all rows among names that it will meet; families of many names; names that are no numbers."""
+    rng = random.Random(12)
+    hot = [rng.choice(["a"] * 40 + [f"a_{rng.randrange(1, 900)}", f"a_{rng.randrange(1, 40)}_{rng.randrange(1, 4)}", "a_007", "a_", "b"]) for _ in range(20_000)]
+    many = [rng.choice(["v", "v_1", "v_2", f"v_{rng.randrange(1, 30)}", f"v_1_{rng.randrange(1, 5)}", "v_1_1_1", "_1", ""]) for _ in range(400)]
+    for values in (hot, many):
+        df = frame(spark, list(enumerate(values)), "i int, v string")
+        got = {r.i: r.v for r in dedup.unique_suffix(df, "v", ["i"]).collect()}
+        assert [got[i] for i in range(len(values))] == suffixed(values)
+
+
 def test_first_and_last_wins(spark):
     labels = frame(spark, [(1, "x", "one"), (2, "x ", "two"), (3, "", "none"), (4, "z", None)], "o int, text_id string, label string")
     preds = frame(spark, [("x", "a", "old"), ("y", "b", "old"), ("", "c", "old"), ("z", "d", "old")], "text_id string, infer string, label string")
