@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from glyphforge.functions.text import cell, slashes, strip
 from glyphforge.operators.joins import longest_prefix
 from glyphforge.operators.predicates import require_columns
+from glyphforge.sources.scratch import written
 
 
 def mapping_status(mapping: DataFrame, existing: DataFrame, origin: str = "origin_path", new: str = "new_path") -> DataFrame:
@@ -40,6 +41,83 @@ def remap_dirs(paths: DataFrame, rules: DataFrame, existing: DataFrame | None =
     return plan.withColumn("depth", F.size(F.split("origin_path", "/")))
 
 
+def move_plan(mapping: DataFrame, existing: DataFrame, origin: str = "origin_path", new: str = "new_path", temporary: str = ".moving") -> DataFrame:
+    """M1, mapping_csv: stage, depth, src, dst and status of the moves that a mapping of paths asks for, all of them at once.
+
+    Status is invalid (a side is blank), unchanged, missing (no such source), ambiguous (a source with several targets, or a
+    target with several sources), conflict (the target is there and does not move away itself), or move. A move whose target moves
+    away comes in a later stage than that one; moves of one stage and depth (of the source) can run side by side, the deepest
+    first, so that a folder goes before the one that holds it. Around a circle of names the smallest
+    source goes to a temporary name first, and from there to its target at last: so it has two rows. Names that differ in case
+    alone make no circle here; a file system that takes them for one sees the target there. Repeated rows count once.
+
+    Stages are found by doubling: a round joins each move with the move that it has been followed to, so a chain of n moves
+    takes log2(n) rounds.
+    """
+    require_columns(mapping, [origin, new])
+    rows = mapping.select(slashes(F.col(origin)).alias("src"), slashes(F.col(new)).alias("dst")).distinct()
+    there = existing.select(slashes(F.col(existing.columns[0])).alias("src")).distinct().withColumn("__there", F.lit(True))
+    valid = (F.col("src") != "") & (F.col("dst") != "")
+    asked = rows.where(valid & (F.col("src") != F.col("dst")))
+    targets = asked.groupBy("src").agg(F.count("*").alias("__targets"))
+    present = asked.join(there, "src", "left_semi")
+    sources = present.groupBy("dst").agg(F.count("*").alias("__sources"))
+    told = rows.join(there, "src", "left").join(targets, "src", "left").join(sources, "dst", "left")
+    status = F.when(~valid, "invalid").when(F.col("src") == F.col("dst"), "unchanged").when(F.col("__there").isNull(), "missing")
+    status = status.when((F.col("__targets") > 1) | (F.col("__sources") > 1), "ambiguous").otherwise("move")
+    told = written(told.select("src", "dst", status.alias("status")), "moves")
+    moves = told.where("status = 'move'")
+    # What a move waits for: the move of what stands at its target. Sources and targets are distinct, so moves form chains and circles.
+    ahead = moves.join(moves.select(F.col("src").alias("dst"), F.lit(True).alias("moves")), "dst", "left").join(there.toDF("dst", "there"), "dst", "left")
+    blocked = ahead.where("there and moves is null").select("src", F.lit(True).alias("blocked"))
+    at = ahead.join(blocked, "src", "left").select("src", "dst", F.when(F.col("moves"), F.col("dst")).alias("to"), F.lit(1).alias("steps"), F.coalesce("blocked", F.lit(False)).alias("blocked"), F.col("src").alias("least"))
+    at = written(at, "chain-1")
+    n = at.count()
+    for k in range(max(1, n.bit_length())):
+        if at.where("to is not null").isEmpty():
+            break
+        far = at.select(F.col("src").alias("to"), F.col("to").alias("__to"), F.col("steps").alias("__steps"), F.col("blocked").alias("__blocked"), F.col("least").alias("__least"))
+        on = at.join(far, "to", "left").select("src", "dst", F.col("__to").alias("to"), (F.col("steps") + F.coalesce("__steps", F.lit(0))).alias("steps"), (F.col("blocked") | F.coalesce("__blocked", F.lit(False))).alias("blocked"), F.least("least", "__least").alias("least"))
+        at = written(on, f"chain{k}")
+    # What has not come to an end by now goes round a circle; `least` is its smallest source.
+    circle = F.col("to").isNotNull()
+    turning = written(at.where(circle).select("src", "dst", "least"), "circles")
+    out = at.where(~circle).select(F.when(F.col("blocked"), F.lit(None)).otherwise(F.col("steps")).cast("int").alias("stage"), "src", "dst", F.when(F.col("blocked"), "conflict").otherwise("move").alias("status"))
+    if not turning.isEmpty():
+        # Opened at the smallest source, a circle is a chain that ends there: its moves follow in the order of that chain.
+        opened = turning.where("src <> least")
+        order = _chained(opened, n)
+        aside = F.concat("src", F.lit(temporary))
+        first = turning.where("src = least")
+        length = turning.groupBy("least").agg((F.count("*") + 1).cast("int").alias("stage"))
+        out = out.unionByName(order.select(F.col("stage") + 1, "src", "dst", F.lit("move").alias("status")).toDF("stage", "src", "dst", "status"))
+        out = out.unionByName(first.select(F.lit(1).alias("stage"), "src", aside.alias("dst"), F.lit("move").alias("status")))
+        out = out.unionByName(first.join(length, "least").select("stage", aside.alias("src"), "dst", F.lit("move").alias("status")))
+    rest = told.where("status <> 'move'").select(F.lit(None).cast("int").alias("stage"), "src", "dst", "status")
+    return out.unionByName(rest).select("stage", F.size(F.split("src", "/")).alias("depth"), "src", "dst", "status")
+
+
+def _chained(moves: DataFrame, n: int) -> DataFrame:
+    """stage (from 1), src, dst of moves that form chains: a move's stage is one more than that of the move of its target."""
+    at = moves.join(moves.select(F.col("src").alias("dst"), F.col("src").alias("to")), "dst", "left").select("src", "dst", "to", F.lit(1).alias("stage"))
+    for k in range(max(1, n.bit_length())):
+        at = written(at, f"opened{k}")
+        if at.where("to is not null").isEmpty():
+            break
+        far = at.select(F.col("src").alias("to"), F.col("to").alias("__to"), F.col("stage").alias("__stage"))
+        at = at.join(far, "to", "left").select("src", "dst", F.col("__to").alias("to"), (F.col("stage") + F.coalesce("__stage", F.lit(0))).alias("stage"))
+    return at.select("stage", "src", "dst")
+
+
+def remap_path_list(paths: DataFrame, rules: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+    """M1, path_list: the list with every path under the longest rule that fits it, in its order, and the plan (as `move_plan`) of the
+    rules' folders that the list's paths lie in."""
+    mapped = longest_prefix(paths, rules, column)
+    named = F.split(slashes(F.col(column)), "/")
+    folders = paths.select(F.explode(F.transform(F.sequence(F.lit(1), F.size(named)), lambda k: F.array_join(F.slice(named, 1, k), "/"))).alias("value")).distinct()
+    return mapped, move_plan(rules.toDF("origin_path", "new_path"), folders)
+
+
 def copy_manifest(df: DataFrame, image_path: str, order: list[str], root: str, keep_folders: bool = False) -> DataFrame:
     """Src and dst of files to copy into root. Flat names that occur again get _1, _2, ... before the suffix."""
     require_columns(df, [image_path, *order])

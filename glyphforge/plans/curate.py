@@ -18,6 +18,7 @@ from glyphforge.sources.readers import annotations_of, images_of
 
 VALID_CROP = [{"column": "is_valid_crop", "op": "in", "values": ["True", "true", "TRUE", "1"]}]
 TEXT_COLUMNS = ["text_id", "scene_id", "origin_dataset", "image_path", "label", "points", "split"]
+# The columns of the standard tables whose tags a split balances, unless the caller names others.
 BALANCE = ["length", "linear_aspect_ratio_bin", "dir_path_4", "area", "device", "illuminance", "light", "metaclass", "outline", "weather", "wordcolor", "wordfont", "wordorientation", "wordsize"]
 
 

@@ -5,18 +5,19 @@ Files go to the folder that driver and executors share, each query's to one of i
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphforge.functions import geometry, text
-from glyphforge.operators import dedup, joins, paths, predicates, sampling, setops, stats
+from glyphforge.operators import columns, dedup, joins, paths, predicates, sampling, setops, stats
 from glyphforge.plans import curate, evaluate, export
 from glyphforge.plans.pipeline import Pipeline
 from glyphforge.plans.queries import _BOXES, _SCORED, _boxes, _documents_of_labels, _exported, _EXPORT, _scored, _six, query, table
 from glyphforge.sources import readers, sinks
-from glyphforge.sources.scratch import delete_later, shared_dir
+from glyphforge.sources.scratch import delete_later, shared_dir, written
 
 
 def _place(spark: SparkSession, name: str) -> str:
@@ -265,6 +266,79 @@ def tag_lists_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("tag", F.regexp_extract(image, "([^/]*)$", 1).alias("image"), label.alias("label"))
 
 
+_MOVES = """
+with c as (select c_custkey as k, c_custkey % 10 as r, 'd/' || c_custkey as src from customer)
+select 5 - r as stage, src, 'd/' || (k + 1) as dst, 'move' as status from c where r < 5
+union all select 1, src, src || '.moving', 'move' from c where r = 6 union all select 3, src || '.moving', 'd/' || (k + 1), 'move' from c where r = 6
+union all select 2, src, 'd/' || (k - 1), 'move' from c where r = 7 union all select null, src, 'd/' || (k + 1), 'conflict' from c where r = 8
+union all select null, src, 'e', 'missing' from c where r = 5
+"""
+
+
+@query("select coalesce(stage, 0)::int as stage, src, dst, status from (" + _MOVES + ")")
+def move_plan_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in tens: a chain of five moves, a source that is missing, a circle of two, and a target that stays."""
+    customer = table(spark, sf_dir, "customer").withColumn("r", F.col("c_custkey") % 10)
+    name = lambda k: F.concat(F.lit("d/"), k)
+    key = F.col("c_custkey")
+    target = F.when(F.col("r") == 5, "e").when(F.col("r") == 7, name(key - 1)).otherwise(name(key + 1))
+    mapping = customer.where("r < 9").select(name(key).alias("origin_path"), target.alias("new_path"))
+    return paths.move_plan(mapping, customer.where("r <> 5").select(name(key).alias("value"))).select(F.coalesce("stage", F.lit(0)).alias("stage"), "src", "dst", "status")
+
+
+_LISTED = """
+with p as (select 'in/' || p_brand || '/' || p_type || '/' || p_partkey as path, p_brand as b, p_type as t, p_partkey as k from part)
+select case when t = 'PROMO' then 'promo/' || b || '/' || k when b = 'Brand#1' then 'first/' || t || '/' || k else path end as value from p
+"""
+
+
+@query(_LISTED)
+def path_list_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of all parts under the longest rule that fits: of a brand and type, or of a brand."""
+    part = table(spark, sf_dir, "part")
+    brand, kind = F.concat(F.lit("in/"), "p_brand"), F.concat(F.lit("in/"), "p_brand", F.lit("/"), "p_type")
+    rules = part.where("p_type = 'PROMO'").select(kind.alias("origin_path"), F.concat(F.lit("promo/"), "p_brand").alias("new_path")).distinct()
+    rules = rules.union(part.where("p_brand = 'Brand#1'").select(brand, F.lit("first")).distinct())
+    listed = part.select(F.concat(kind, F.lit("/"), "p_partkey").alias("value"))
+    return paths.remap_path_list(listed, rules)[0].select("value")
+
+
+@query("select row_number() over (order by p_size desc, p_partkey) - 1 as place, p_partkey, p_size from part")
+def sorted_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sorted by two columns, falling and rising; each row carries its place, so that the order is compared."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    done = columns.apply_operations(part, [{"op": "sort_values", "by": ["p_size", "p_partkey"], "ascending": [False, True]}])
+    placed = written(done.withColumn("at", F.monotonically_increasing_id()), "sorted")
+    return columns.ordinals(placed, ["at"], "place").select("place", "p_partkey", "p_size")
+
+
+@query("select 'copy/' || p_partkey || '.txt' as value from part where p_size % 3 = 0 union all select 'move/' || p_partkey || '.txt' from part where p_size % 3 = 1")
+def files_copied_moved_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for every part: a third is copied and its source deleted, a third moved, the others deleted by a guarded plan; what is
+    left is listed."""
+    part = table(spark, sf_dir, "part").select(F.concat("p_partkey", F.lit(".txt")).alias("name"), (F.col("p_size") % 3).alias("r"))
+    root = _place(spark, "tree")
+    local = root.removeprefix("file://")
+    given = written(part, "names")
+
+    def made(frames):
+        for f in frames:
+            for n in f["name"]:
+                os.makedirs(f"{local}/in", exist_ok=True)
+                with open(f"{local}/in/{n}", "w") as out:
+                    out.write(n)
+            yield f[["name"]]
+
+    given.mapInPandas(made, "name string").write.format("noop").mode("overwrite").save()
+    path = lambda folder: F.concat(F.lit(folder + "/"), "name")
+    for operation, r in (("copy", 0), ("move", 1)):
+        plan = given.where(F.col("r") == r).select(path("in").alias("src"), path(operation).alias("dst"))
+        paths.apply_plan(plan, operation, local, local, dry_run=False).write.format("noop").mode("overwrite").save()
+    gone = paths.deletion_plan(given.where("r <> 1").select(path("in").alias("value")), must_be_under="in", protected=["copy"])
+    paths.apply_plan(gone.where("status = 'delete'").select(F.col("path").alias("src")), "delete", local, dry_run=False).write.format("noop").mode("overwrite").save()
+    return readers.list_files(spark, root)
+
+
 # ---- counters of steps -------------------------------------------------------------------------------------------------
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphforge.functions.geometry import points_size
@@ -31,11 +31,20 @@ def _move_single(df: DataFrame, staged: str, path: str, head: bytes = b"") -> No
             stream.close()
     finally:
         out.close()
-    fs.delete(target, False)
-    fs.rename(part, target)
+    _replace(spark, part, target)
     fs.delete(source, True)
 
 
+def _replace(spark: SparkSession, part, target) -> None:
+    """Rename over what is there, in one step: a crash leaves the old file or the new one."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    over = spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
+    over[0] = hadoop.Options.Rename.OVERWRITE
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    full = target.getFileSystem(conf).makeQualified(target)
+    hadoop.FileContext.getFileContext(full.toUri(), conf).rename(part.getFileSystem(conf).makeQualified(part), full, over)
+
+
 def csv_line(columns: list[str]) -> Column:
     """The cells of a row as one CSV line: quoted where they hold a quote, comma or line break."""
 

@@ -408,3 +408,29 @@ def test_take_plan(spark):
     out = sampling.take(spark.range(5000), 2500, ["id"], 1, gather=50)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert all(int(k) <= 50 for k in re.findall(r"[lL]imit(?:=| )(\d+)", plan))
+
+
+def test_move_plan(spark):
+    """Chains in order, circles by a temporary name, blocked chains, and what cannot be told; run against a table of names."""
+    rng = random.Random(5)
+    rules = [("a", "b"), ("b", "c"), ("c", "d"), ("x", "y"), ("y", "x"), ("p", "q"), ("q", "r"), ("s", "t"), ("u", "t"), ("v", "w"), ("v", "z"), ("", "k"), ("m", "m"), ("gone", "new"), ("a", "b")]
+    ring = [f"r{k}" for k in range(11)]
+    rules += [(ring[k], ring[(k + 1) % 11]) for k in range(11)] + [(f"l{k}", f"l{k + 1}") for k in range(40)]
+    rng.shuffle(rules)
+    names = {"a", "b", "c", "x", "y", "p", "q", "r", "s", "u", "v", "m", *ring, *(f"l{k}" for k in range(40))}
+    out = paths.move_plan(frame(spark, rules, "origin_path string, new_path string"), frame(spark, [(n,) for n in names], "value string")).collect()
+    told = {(r.src, r.dst): r.status for r in out}
+    assert told["p", "q"] == told["q", "r"] == "conflict" and told["s", "t"] == told["u", "t"] == told["v", "w"] == told["v", "z"] == "ambiguous"
+    assert (told["", "k"], told["m", "m"], told["gone", "new"]) == ("invalid", "unchanged", "missing")
+    disk = {n: n for n in names}
+    moves = [r for r in out if r.status == "move"]
+    for stage in sorted({r.stage for r in moves}):
+        here = [r for r in moves if r.stage == stage]
+        assert not {r.dst for r in here} & set(disk)  # side by side
+        for r in here:
+            disk[r.dst] = disk.pop(r.src)
+    want = {"a": "b", "b": "c", "c": "d", "x": "y", "y": "x"} | {f"l{k}": f"l{k + 1}" for k in range(40)} | {ring[k]: ring[(k + 1) % 11] for k in range(11)}
+    assert {v: k for k, v in disk.items()} == {n: want.get(n, n) for n in names}
+    listed, plan = paths.remap_path_list(frame(spark, [("a/b/f",), ("a/g",), ("o/f",)], "value string"), frame(spark, [("a", "z"), ("a/b", "y"), ("q", "w")], "origin_path string, new_path string"))
+    assert sorted(r.value for r in listed.collect()) == ["o/f", "y/f", "z/g"]
+    assert {(r.src, r.status) for r in plan.collect()} == {("a", "move"), ("a/b", "move"), ("q", "missing")}
