@@ -10,6 +10,7 @@ indices has at k, beginning anew after each round through the source; blocks and
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ BLOCK = 64
 SHARD = 1 << 14
 #: Sources whose plan, a few numbers for each, the driver holds and every task gets; more are planned in tables, in lots of this many.
 MOST_SOURCES = 100_000
+#: Shards of a lot that one task draws, one after the other.
+TOGETHER = 64
 MOST_ROUNDS = 3
 
 
@@ -154,19 +157,24 @@ class Mix:
 
         block = self.block
 
-        def shards(batch: pa.RecordBatch) -> pa.Table:
-            out = []
-            for size, goal, first in zip(*(column(batch, c).to_pylist() for c in ("sizes", "goals", "first")), strict=True):
-                blocks, slots = slots_of(size, goal, block)
-                count = max(1, -(-int(slots.sum()) // SHARD))
-                for shard in range(count):
-                    out.append(_drawn(blocks, slots, count, shard, seed + first, first))
-            return pa.Table.from_batches(out, _COPIES)
+        def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = zip(column(batch, "sizes").to_pylist(), column(batch, "goals").to_pylist(), strict=True)
+            return pa.record_batch({"first": column(batch, "first"), "shards": pa.array([max(1, -(-int(slots_of(size, goal, block)[1].sum()) // SHARD)) for size, goal in rows], pa.int64())})
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    r = batch.slice(k, 1).to_pylist()[0]
+                    blocks, slots = slots_of(r["sizes"], r["goals"], block)
+                    for shard in range(r["begin"], min(r["begin"] + TOGETHER, r["shards"])):  # one shard is held at a time
+                        yield _drawn(blocks, slots, r["shards"], shard, seed + r["first"], r["first"])
 
         lot = F.floor(F.col("src") / MOST_SOURCES).alias("lot")
         lots = self.plan.groupBy(lot).agg(F.sort_array(F.collect_list(F.struct("src", "source_size", "target"))).alias("s"))  # MOST_SOURCES at most
-        lots = lots.select(F.col("s.source_size").alias("sizes"), F.col("s.target").alias("goals"), (F.col("lot") * MOST_SOURCES).alias("first"))
-        drawn = map_batches(lots, shards, "src int, block long, copies long")
+        lots = self.work.write(lots.select(F.col("s.source_size").alias("sizes"), F.col("s.target").alias("goals"), (F.col("lot") * MOST_SOURCES).cast("long").alias("first")), "lots")
+        shards = map_batches(lots, counted, "first long, shards long")
+        begun = shards.select("first", "shards", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1, F.lit(TOGETHER).cast("long"))).alias("begin"))
+        drawn = begun.join(lots, "first").repartition("first", "begin").mapInArrow(run, "src int, block long, copies long")
         return drawn.groupBy("src", "block").agg(F.sum("copies").alias("copies"))
 
     def _place(self, sizes: DataFrame) -> DataFrame:
@@ -185,10 +193,12 @@ class Mix:
         blocks, slots = plan
         shards = max(1, -(-int(slots.sum()) // SHARD))
 
-        def run(batch: pa.RecordBatch) -> pa.Table:
-            return pa.Table.from_batches([_drawn(blocks, slots, shards, shard, seed, 0) for shard in batch.column(0).to_pylist()], _COPIES)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for shard in batch.column(0).to_pylist():
+                    yield _drawn(blocks, slots, shards, shard, seed, 0)
 
-        drawn = map_batches(spark.range(0, shards, 1, min(shards, 10_000)), run, "src int, block long, copies long")
+        drawn = spark.range(0, shards, 1, min(shards, 10_000)).mapInArrow(run, "src int, block long, copies long")
         return drawn.groupBy("src", "block").agg(F.sum("copies").alias("copies"))
 
     def pieces(self) -> DataFrame:
