@@ -12,6 +12,7 @@ from glyphforge.functions.text import cell, to_text
 from glyphforge.operators.joins import join_labels, tag_rows, uncovered
 
 MATCH, SIMILARITY = "is_match", "gned_sim"
+# The tag columns of the published tables.
 TAGS = ("KSTR_is_artistic", "KSTR_is_curve", "KSTR_is_salient", "KSTR_is_incomplete", "KSTR_is_multi_oriented", "KSTR_is_low_visibility")
 
 
