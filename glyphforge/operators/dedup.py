@@ -93,6 +93,7 @@ def unique_suffix(df: DataFrame, column: str, order: list[str]) -> DataFrame:
     if children.isEmpty():
         return numbered.withColumn(column, name(F.col("__at"))).select(*df.columns)
     rows = numbered.select(F.col("__v").alias("of"), F.col("__at").alias("at"), place.alias("there"))
+    rows = written(rows.join(children.select("of").distinct(), "of", "left_semi"), "rows")  # read by every round
     below = Window.partitionBy("of").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)  # distinct values, not rows
     state = children.withColumns({"passed": F.lit(False), "given": F.lit(False)})
     while True:
