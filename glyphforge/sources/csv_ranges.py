@@ -35,10 +35,11 @@ _STAYS = f'^{_MORE}(?:$|"{_AFTER}{_CLOSED}"{_MORE}$)'
 def lines_of(spark: SparkSession, path: str, range_bytes: int) -> DataFrame:
     """value, file, start: the lines of the files, and the range of exactly range_bytes that each begins in.
 
-    Where files are cut follows a session's settings, so they are read in a session of their own; a view brings them back.
+    Where files are cut follows a session's settings, so they are read in a session of their own; a view brings them back. One
+    partition at least, so that the number of cores has no say; small files share a task.
     """
     own = spark.newSession()
-    for name, value in (("maxPartitionBytes", range_bytes), ("openCostInBytes", range_bytes), ("minPartitionNum", 1)):
+    for name, value in (("maxPartitionBytes", range_bytes), ("openCostInBytes", min(range_bytes, 4 << 20)), ("minPartitionNum", 1)):
         own.conf.set(f"spark.sql.files.{name}", str(value))
     at = F.col("_metadata")
     lines = own.read.option("lineSep", "\n").text(path).select("value", at.file_path.alias("file"), at.file_block_start.alias("start"))
