@@ -3,16 +3,14 @@
 A line is parsed at fixed depth. The first level of the tree is its number of tokens, where a token that holds a digit is a
 variable field. The second is its leading tokens: the first quarter of them, or where that is a variable field too, as it is
 found in fewer than `least` documents, the first of the other quarters that is not; a line without such a quarter recurs in
-no way and is left out. So a leaf holds lines of one length that agree in some place. Within a leaf the templates are learned
-from the distinct lines, one after the other: a line joins the template that has most of its tokens, if these are SHARE of its
-tokens and KEEP at least (all, in shorter lines), and the places where the two differ become variable fields of the template;
-else it begins a template.
-
-One task compares LEAF distinct lines at most. In a larger leaf, tokens that fewer than `least` documents have there in their
-place are variable fields at once: so lines that differ in such fields alone are one, and the templates are learned from
-what is left. Where that is more than LEAF still, it is parsed by its leading half, three quarters, and at last as a whole.
-
-A template recurs if its lines are found in at least `least` different documents; lines of recurring templates are dropped.
+no way and is left out. So a leaf holds lines of one length that agree in some place. Within a leaf a line's tokens are put in
+the order of how many documents have them there, in their place; those that fewer than `least` have are variable fields. A
+template is SHARE of a line's tokens, KEEP at least (all, in shorter lines), that are neighbours in this order; all its other
+places are variable fields. So a line has some templates, from its most frequent tokens to its least frequent ones, and those
+that it shares with others are found by equality, in leaves of any size alike.
+
+A template recurs if its lines are found in at least `least` different documents; lines of recurring templates are dropped, and so
+are lines that recur themselves, however many of their tokens are variable.
 Documents of the same words count once, and so do near copies, or else a group of them would lose all its lines: each
 document has a MinHash sketch of its word 5-grams, and one that shares 11 of 16 slots with a group counts as that group
 (see `families`). Boilerplate of any number of lines leaves documents different unless it makes about two thirds of them.
@@ -33,7 +31,7 @@ from glyphforge.llm.common import Words, Workspace, column, give_back, lookup, m
 PARTS = 4
 #: Share, in percent, and least number of a line's tokens that its template must have in common with it.
 SHARE, KEEP = 60, 3
-#: Distinct lines of a leaf that one task compares with each other.
+#: Distinct lines of a leaf that one task weighs by itself; tokens of larger leaves are summed up by a shuffle, to the same templates.
 LEAF = 512
 _VARIABLE = np.uint64(1)  # the hash of a token that holds a digit
 LEAST_DOCS = 4
@@ -147,27 +145,30 @@ def families(docs: DataFrame, work: Workspace) -> DataFrame:
     return work.write(belong(most.join(shared.select("slot"), "slot", "left_semi"), F.col("need")), "families")
 
 
-def enough(n: int) -> int:
-    """How many tokens a line of n must have in common with its template."""
-    return max(-(-SHARE * int(n) // 100), min(int(n), KEEP))
+def templates(key: np.ndarray, need: np.ndarray, places: np.ndarray, tokens: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The line (its number) and hash of every template of lines whose frequent tokens are at[i]:at[i + 1], the most frequent first.
 
-
-def templates(tokens: np.ndarray) -> np.ndarray:
-    """The number of the template of each line of a leaf (a row of token hashes), learned line by line."""
-    m, n = tokens.shape
-    least = enough(n)
-    known, fixed, out, k = np.empty_like(tokens), np.empty(tokens.shape, bool), np.empty(m, np.int64), 0
-    for i, line in enumerate(tokens):
-        if k:
-            common = ((known[:k] == line) & fixed[:k]).sum(axis=1)
-            best = int(common.argmax())
-            if common[best] >= least:
-                fixed[best] &= known[best] == line
-                out[i] = best
-                continue
-        known[k], fixed[k], out[i] = line, line != _VARIABLE, k
-        k += 1
-    return out
+    A template is `need` tokens of a line in their places, neighbours in that order; key tells leaves apart.
+    """
+    term = mix(tokens + (places.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(term, dtype=np.uint64)])
+    count = np.maximum(0, np.diff(at) - need + 1)
+    line = np.repeat(np.arange(len(need)), count)
+    first = at[line] + np.arange(len(line)) - np.repeat(np.cumsum(count) - count, count)
+    return line, mix(mix(key[line]) + sums[first + need[line]] - sums[first])
+
+
+def frequent(tokens: np.ndarray, docs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Line, place and token of what at least `least` documents have in a leaf (a row of token hashes for each line, and how many documents
+    have the line), of each line the most frequent first."""
+    weight = np.empty(tokens.shape, np.int64)
+    for k in range(tokens.shape[1]):
+        _, which = np.unique(tokens[:, k], return_inverse=True)
+        weight[:, k] = np.bincount(which, weights=docs)[which]
+    line, place = np.nonzero((weight >= least) & (tokens != _VARIABLE))
+    order = np.lexsort((place, -weight[line, place], line))
+    line, place = line[order], place[order]
+    return line, place, tokens[line, place]
 
 
 def _among(keys: DataFrame, most: int) -> np.ndarray | None:
@@ -215,100 +216,88 @@ def candidates(docs: DataFrame, copies: DataFrame, work: Workspace, least: int,
     return work.write(lookup(work, out.drop("leaf", "parts"), leaves, "whole"), "placed")
 
 
-def _frequent(large: DataFrame, seen: DataFrame, work: Workspace, least: int) -> DataFrame:
-    """cell: the tokens, each with its leaf and place, that at least `least` documents have in lines of `large`.
-
-    seen: whole, family. A line of so many documents speaks for its tokens alone; of the others all documents are looked at.
-    """
-    lines = seen.groupBy("whole").agg(F.count("*").alias("docs"))
-    many = F.col("docs") >= least
-    rare = lookup(work, seen, lines.where(~many).select("whole", F.lit(True).alias("rare")), "whole")  # hot lines meet a broadcast
-    few = rare.groupBy("whole").agg(F.collect_list("family").alias("own"))  # less than `least`
-    said = large.join(lines.select("whole", many.alias("many")), "whole").join(few, "whole", "left")
-    cells = said.select("many", F.explode_outer("own").alias("family"), "leaf", "tokens").select("many", "family", F.explode(_cells()).alias("cell"))
-    # Counted in two steps, so that a token of very many documents is no task's alone.
-    return cells.distinct().groupBy("cell").agg(F.max("many").alias("many"), F.count("family").alias("docs")).where(many | F.col("many")).select("cell")
+def _of_large(large: DataFrame, work: Workspace, least: int) -> DataFrame:
+    """leaf, n, whole, places and tokens: what `frequent` finds in leaves that no task holds, for lines that have enough of it."""
+    cell = F.xxhash64("leaf", "n", "c.k", "c.token").alias("cell")
+    each = large.select("leaf", "n", "whole", "docs", F.explode(F.transform("tokens", lambda t, k: F.struct(k.alias("k"), t.alias("token")))).alias("c"))
+    cells = each.where(F.col("c.token") != int(_VARIABLE)).select("leaf", "n", "whole", "docs", "c.k", "c.token", cell)
+    # Sums come in two steps, so that a token of very many lines is no task's alone.
+    weights = work.write(cells.groupBy("cell").agg(F.sum("docs").alias("weight")).where(F.col("weight") >= least), "cells")
+    told = lookup(work, cells.drop("docs"), weights, "cell")
+    lists = told.groupBy("leaf", "n", "whole").agg(F.sort_array(F.collect_list(F.struct((-F.col("weight")).alias("w"), "k", "token"))).alias("c"))
+    need = F.greatest(F.ceil(F.col("n") * SHARE / 100), F.least(F.col("n"), F.lit(KEEP)))
+    return lists.where(F.size("c") >= need).select("leaf", "n", "whole", F.col("c.k").alias("places"), F.col("c.token").alias("tokens"))
 
 
-def _cells() -> Column:
-    return F.transform("tokens", lambda t, k: F.xxhash64("leaf", k, t))
-
-
-def _generalised(large: DataFrame, seen: DataFrame, work: Workspace, least: int) -> DataFrame:
-    """leaf, whole and tokens of lines, in which tokens that fewer than `least` documents have in their leaf and place are variable fields."""
-    frequent = work.write(_frequent(large, seen, work, least), "frequent")
-    cells = large.select("leaf", "whole", F.posexplode(F.arrays_zip("tokens", _cells().alias("cells"))).alias("k", "c")).select("leaf", "whole", "k", F.col("c.tokens").alias("token"), F.col("c.cells").alias("cell"))
-    told = lookup(work, cells, frequent.withColumn("known", F.lit(True)), "cell", "left")
-    token = F.when(F.col("known"), F.col("token")).otherwise(F.lit(int(_VARIABLE)).cast("long"))
-    each = told.groupBy("leaf", "whole").agg(F.sort_array(F.collect_list(F.struct("k", token.alias("token")))).alias("cells"))
-    return each.select("leaf", "whole", F.transform("cells", lambda c: c.token).alias("tokens"))
-
-
-def _parsed(work: Workspace, tree: DataFrame, seen: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """Leaves (leaf, whole, tokens) of at most LEAF rows each or else of one, and which row (whole) stands for each line of the large ones.
-
-    Large leaves are generalised, and equal rows become one; those that are still large are parsed by the leading half, three
-    quarters and all of their tokens, as far as needed. A line without tokens enough that are no variable fields is its own row, in
-    no leaf.
-    """
-    sizes = tree.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > LEAF).select("leaf", F.lit(True).alias("large"))
-    marked = work.write(lookup(work, tree, sizes, "leaf", "left"), "tree")
-    large = marked.where("large").drop("large")
-    small = marked.where("large is null").select("leaf", "whole", "tokens")
-    if large.isEmpty():
-        return small, marked.limit(0).select("whole", F.col("whole").alias("row"))
-    n = F.size("tokens")
-    fixed = F.size(F.filter("tokens", lambda t: t != int(_VARIABLE))) >= F.greatest(F.ceil(n * SHARE / 100), F.least(n, F.lit(KEEP)))
-    shown = _generalised(large, seen, work, least).withColumn("fixed", fixed).withColumn("row", F.when(fixed, F.xxhash64("leaf", "tokens")))
-    shown = work.write(shown, "generalised")
-    rows = shown.where("fixed").dropDuplicates(["row"]).select("leaf", F.col("row").alias("whole"), "tokens")
-    for k, share in enumerate((2, 3, 4)):
-        rows = work.write(rows, f"rows{k}")
-        sizes = rows.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > LEAF).select("leaf", F.lit(True).alias("large"))
-        deeper = F.xxhash64("leaf", F.slice("tokens", 1, F.ceil(n * share / 4).cast("int")))
-        rows = lookup(work, rows, sizes, "leaf", "left").select(F.when(F.col("large"), deeper).otherwise(F.col("leaf")).alias("leaf"), "whole", "tokens")
-    return small.unionByName(rows), shown.select("whole", "row")
+def _ragged(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of lists, and the offsets of its rows in them."""
+    lists = column(batch, name)
+    at = lists.offsets.to_numpy()
+    return lists.values.to_numpy()[at[0] : at[-1]], at - at[0]
 
 
 def learned(work: Workspace, lines: DataFrame, seen: DataFrame, least: int) -> DataFrame:
-    """whole, template: the template of each distinct line. seen: whole, family."""
-    tree = work.write(lines.groupBy("whole").agg(F.min("leaf").alias("leaf"), F.first("tokens").alias("tokens")).select("leaf", "whole", "tokens"), "tree0")  # lines of one hash are alike
-    tree, rows = _parsed(work, tree, seen, least)
+    """whole, template: the templates of each distinct line, some of which may be shared by others. seen: whole, family.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A token's weight is how many documents have it in its leaf and place (a document once for each such line). Leaves up to LEAF
+    lines are weighed in one task, larger ones by a shuffle of their tokens, with the same sums.
+    """
+    docs = seen.groupBy("whole").agg(F.count("*").alias("docs"))
+    tree = lines.groupBy("whole").agg(F.min("leaf").alias("leaf"), F.first("tokens").alias("tokens"))  # lines of one hash are alike
+    tree = work.write(tree.join(docs, "whole").select("leaf", F.size("tokens").alias("n"), "whole", "docs", "tokens"), "tree")
+    sizes = tree.groupBy("leaf").agg(F.count("*").alias("lines")).where(F.col("lines") > LEAF).select("leaf", F.lit(True).alias("large"))
+    marked = work.write(lookup(work, tree, sizes, "leaf", "left"), "marked")
+
+    def told(leaf: np.ndarray, n: np.ndarray, whole: np.ndarray, found: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        return pa.record_batch({"whole": pa.array(whole[found[0]]), "template": pa.array(found[1].view(np.int64))})
+
+    def learn(rows: pa.RecordBatch) -> pa.RecordBatch:
+        leaf, n, whole, docs = (column(rows, c).to_numpy() for c in ("leaf", "n", "whole", "docs"))
+        flat, at = _ragged(rows, "tokens")
+        edges = np.flatnonzero((leaf[1:] != leaf[:-1]) | (n[1:] != n[:-1])) + 1
+        own = []
+        for a, b in zip([0, *edges], [*edges, len(leaf)], strict=True):
+            line, place, token = frequent(flat[at[a] : at[b]].view(np.uint64).reshape(b - a, n[a]), docs[a:b], least)
+            own.append((line + a, place, token))
+        line, place, token = (np.concatenate(x) for x in zip(*own, strict=True))
+        return told(leaf, n, whole, templates(_keys(leaf, n), _needs(n), place, token, np.searchsorted(line, np.arange(len(leaf) + 1))))
+
+    def of_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-
-        def learn(rows: pa.Table) -> pa.RecordBatch:
-            leaf, whole = rows["leaf"].to_numpy(), rows["whole"].to_numpy()
-            lists = rows["tokens"].combine_chunks()
-            at, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
-            n = np.diff(at)
-            edges = np.flatnonzero((leaf[1:] != leaf[:-1]) | (n[1:] != n[:-1])) + 1
-            out = np.empty(len(leaf), np.int64)
-            for a, b in zip([0, *edges], [*edges, len(leaf)], strict=True):
-                out[a:b] = templates(flat[at[a] : at[b]].reshape(b - a, n[a])) if b - a > 1 else 0
-            return pa.record_batch({"whole": pa.array(whole), "template": pa.array(mix(mix(leaf.view(np.uint64) + n.astype(np.uint64)) + out.view(np.uint64)).view(np.int64))})
-
+        whole_of = lambda parts: pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
         for batch in batches:
-            leaf = batch.column("leaf").to_numpy()
+            if not batch.num_rows:
+                continue
+            leaf = column(batch, "leaf").to_numpy()
             cut = int(np.searchsorted(leaf, leaf[-1]))  # the last leaf may go on in the next batch
-            if held and (cut or leaf[0] != held[-1].column("leaf")[-1].as_py()):
-                yield learn(pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks())
+            if held and (cut or leaf[0] != column(held[-1], "leaf")[-1].as_py()):
+                yield learn(whole_of([*held, batch.slice(0, cut)] if cut else held))
                 held = []
             elif cut:
-                yield learn(pa.Table.from_batches([batch.slice(0, cut)]))
+                yield learn(whole_of([batch.slice(0, cut)]))
             held.append(batch.slice(cut))
         if held:
-            yield learn(pa.Table.from_batches(held).combine_chunks())
+            yield learn(whole_of(held))
         give_back()
 
-    tree = tree.select("leaf", F.size("tokens").alias("n"), "whole", "tokens")
-    found = tree.repartition("leaf").sortWithinPartitions("leaf", "n", "whole").mapInArrow(run, "whole long, template long")
-    found = work.write(found, "templates")
-    given = rows.where("row is not null")
-    large = lookup(work, given, found.withColumnRenamed("whole", "row"), "row").select("whole", "template")
-    alone = rows.where("row is null").select("whole", F.xxhash64("whole", F.lit(0)).alias("template"))
-    return found.join(given.select(F.col("row").alias("whole")).distinct(), "whole", "left_anti").unionByName(large).unionByName(alone)
+    def of_lists(batch: pa.RecordBatch) -> pa.RecordBatch:
+        leaf, n, whole = (column(batch, c).to_numpy() for c in ("leaf", "n", "whole"))
+        (place, at), (token, _) = _ragged(batch, "places"), _ragged(batch, "tokens")
+        return told(leaf, n, whole, templates(_keys(leaf, n), _needs(n), place, token.view(np.uint64), at))
+
+    small = marked.where("large is null").drop("large").repartition("leaf").sortWithinPartitions("leaf", "n", "whole").mapInArrow(of_leaves, "whole long, template long")
+    large = marked.where("large").drop("large")
+    if large.isEmpty():
+        return small
+    return small.unionByName(map_batches(_of_large(large, work, least), of_lists, "whole long, template long"))
+
+
+def _keys(leaf: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return mix(leaf.view(np.uint64) + n.astype(np.uint64))
+
+
+def _needs(n: np.ndarray) -> np.ndarray:
+    return np.maximum(-(-SHARE * n.astype(np.int64) // 100), np.minimum(n, KEEP))
 
 
 def recurring(docs: DataFrame, work: Workspace, least: int = LEAST_DOCS, most: int = BROADCAST) -> DataFrame:
@@ -321,10 +310,11 @@ def recurring(docs: DataFrame, work: Workspace, least: int = LEAST_DOCS, most: i
     seen = lines.select("whole", "print").join(copies, "print", "left").select("whole", F.coalesce("family", "print").alias("family")).distinct()
     seen = work.write(seen, "seen")
     known = work.write(learned(work, lines.select("leaf", "whole", "tokens"), seen, least), "known")
-    work.drop("tree0", "tree", "frequent", "generalised", "rows0", "rows1", "rows2", "templates", "lines", "placed")
+    work.drop("tree", "marked", "cells", "lines", "placed")
     docs_of = lookup(work, seen, known, "whole").select("template", "family").distinct().groupBy("template").agg(F.count("*").alias("docs"))
     found = work.write(docs_of.where(F.col("docs") >= least).select("template"), "recurring-templates")
-    return known.join(found, "template", "left_semi").select(F.col("whole").alias("key"))
+    own = seen.groupBy("whole").agg(F.count("*").alias("docs")).where(F.col("docs") >= least).select("whole")
+    return known.join(found, "template", "left_semi").select("whole").union(own).distinct().select(F.col("whole").alias("key"))
 
 
 def drop_lines(docs: DataFrame, least: int = LEAST_DOCS, most: int = BROADCAST) -> DataFrame:

@@ -390,6 +390,19 @@ def test_lines_in_leaves_above_the_bound(spark, monkeypatch, bound):
     assert removed(spark, rows) == want
 
 
+@pytest.mark.parametrize("bound", [16, 10_000])
+def test_lines_of_one_template_go_whatever_else_is_there(spark, monkeypatch, bound):
+    """A field of frequent values does not keep the lines of a template apart, below and above the bound of a leaf: 400 lines, more by
+    others that share their first words."""
+    monkeypatch.setattr(lines, "LEAF", bound)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    days, towns = [word() for _ in range(20)], [word() for _ in range(20)]
+    spread = [(a, b) for a in days for b in towns]
+    rows = foot_rows(lambda i: f"Seen by us on {spread[i][0]} in the town of {spread[i][1]} again", n=400)
+    assert set(removed(spark, rows).values()) == {1}
+
+
 def test_targets():
     assert mixing.targets([100, 100, 100], [1, 1, 1]) == [100, 100, 100]
     assert mixing.targets([10, 100, 100], [3, 1, 1]) == [30, 90, 90]
