@@ -59,6 +59,20 @@ def parse_bbox(c: Column) -> Column:
     return let(strip(cell(c)), lambda s: F.when(s.rlike(_FOUR), let(_listed(s), four)).when(s.rlike(_PAIRS), let(_listed(s), pairs)).when(s.startswith("["), other(s)))
 
 
+def flat_sizes(s: Column) -> Column:
+    """struct(w, h) of a trimmed `[x, y, w, h]` (what follows is passed over); null for anything else, points too."""
+
+    def four(n: Column) -> Column:
+        return F.struct(n[2].cast("double").alias("w"), n[3].cast("double").alias("h"))
+
+    def other(n: Column) -> Column:
+        return F.when(F.size(n) == 4, F.struct(n[2].alias("w"), n[3].alias("h")))
+
+    pairs = F.when(F.lit(False), F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("h")))
+    plain = s.rlike(_FOUR) & ~F.contains(s, F.lit("\x0b")) & ~F.contains(s, F.lit("\f"))  # which are no blanks of JSON
+    return F.when(plain, let(_listed(s), four)).when(s.rlike(_PAIRS), pairs).when(s.startswith("["), let(_numbers(F.slice(F.from_json(s, _FLAT), 1, 4)), other))
+
+
 def bbox_flags(c: Column) -> Column:
     """struct(format, value): whether a box can be read; false only for one that can and has a number that is not finite, a
     negative corner or no area."""

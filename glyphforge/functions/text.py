@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Unicode white space that Python strips and splits at (fixed values), as a regex class body.
 WS = r"\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+#: The characters of that class.
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if re.match(f"[{WS}]", c))
 TRUE, FALSE = ("true", "1", "yes", "t"), ("false", "0", "no", "f")
 _FLOAT = r"^[+-]?(?:(?:\d+(?:_\d+)*)(?:\.(?:\d+(?:_\d+)*)?)?|\.\d+(?:_\d+)*)(?:[eE][+-]?\d+(?:_\d+)*)?$|^[+-]?(?i:inf|infinity|nan)$"
 
@@ -38,7 +40,7 @@ def cell(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^[{WS}]+|[{WS}]+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def is_true(c: Column) -> Column:
