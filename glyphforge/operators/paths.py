@@ -41,6 +41,11 @@ def remap_dirs(paths: DataFrame, rules: DataFrame, existing: DataFrame | None =
     return plan.withColumn("depth", F.size(F.split("origin_path", "/")))
 
 
+def _apart(df: DataFrame) -> DataFrame:
+    """To be joined by a shuffle: tables of moves are as large as the mapping, and a broadcast would pass the driver in every round."""
+    return df.hint("merge")
+
+
 def move_plan(mapping: DataFrame, existing: DataFrame, origin: str = "origin_path", new: str = "new_path", temporary: str = ".moving") -> DataFrame:
     """M1, mapping_csv: stage, depth, src, dst and status of the moves that a mapping of paths asks for, all of them at once.
 
@@ -60,24 +65,24 @@ def move_plan(mapping: DataFrame, existing: DataFrame, origin: str = "origin_pat
     valid = (F.col("src") != "") & (F.col("dst") != "")
     asked = rows.where(valid & (F.col("src") != F.col("dst")))
     targets = asked.groupBy("src").agg(F.count("*").alias("__targets"))
-    present = asked.join(there, "src", "left_semi")
+    present = asked.join(_apart(there), "src", "left_semi")
     sources = present.groupBy("dst").agg(F.count("*").alias("__sources"))
-    told = rows.join(there, "src", "left").join(targets, "src", "left").join(sources, "dst", "left")
+    told = rows.join(_apart(there), "src", "left").join(_apart(targets), "src", "left").join(_apart(sources), "dst", "left")
     status = F.when(~valid, "invalid").when(F.col("src") == F.col("dst"), "unchanged").when(F.col("__there").isNull(), "missing")
     status = status.when((F.col("__targets") > 1) | (F.col("__sources") > 1), "ambiguous").otherwise("move")
     told = written(told.select("src", "dst", status.alias("status")), "moves")
     moves = told.where("status = 'move'")
     # What a move waits for: the move of what stands at its target. Sources and targets are distinct, so moves form chains and circles.
-    ahead = moves.join(moves.select(F.col("src").alias("dst"), F.lit(True).alias("moves")), "dst", "left").join(there.toDF("dst", "there"), "dst", "left")
+    ahead = moves.join(_apart(moves.select(F.col("src").alias("dst"), F.lit(True).alias("moves"))), "dst", "left").join(_apart(there.toDF("dst", "there")), "dst", "left")
     blocked = ahead.where("there and moves is null").select("src", F.lit(True).alias("blocked"))
-    at = ahead.join(blocked, "src", "left").select("src", "dst", F.when(F.col("moves"), F.col("dst")).alias("to"), F.lit(1).alias("steps"), F.coalesce("blocked", F.lit(False)).alias("blocked"), F.col("src").alias("least"))
+    at = ahead.join(_apart(blocked), "src", "left").select("src", "dst", F.when(F.col("moves"), F.col("dst")).alias("to"), F.lit(1).alias("steps"), F.coalesce("blocked", F.lit(False)).alias("blocked"), F.col("src").alias("least"))
     at = written(at, "chain-1")
     n = at.count()
     for k in range(max(1, n.bit_length())):
         if at.where("to is not null").isEmpty():
             break
         far = at.select(F.col("src").alias("to"), F.col("to").alias("__to"), F.col("steps").alias("__steps"), F.col("blocked").alias("__blocked"), F.col("least").alias("__least"))
-        on = at.join(far, "to", "left").select("src", "dst", F.col("__to").alias("to"), (F.col("steps") + F.coalesce("__steps", F.lit(0))).alias("steps"), (F.col("blocked") | F.coalesce("__blocked", F.lit(False))).alias("blocked"), F.least("least", "__least").alias("least"))
+        on = at.join(_apart(far), "to", "left").select("src", "dst", F.col("__to").alias("to"), (F.col("steps") + F.coalesce("__steps", F.lit(0))).alias("steps"), (F.col("blocked") | F.coalesce("__blocked", F.lit(False))).alias("blocked"), F.least("least", "__least").alias("least"))
         at = written(on, f"chain{k}")
     # What has not come to an end by now goes round a circle; `least` is its smallest source.
     circle = F.col("to").isNotNull()
@@ -92,20 +97,20 @@ def move_plan(mapping: DataFrame, existing: DataFrame, origin: str = "origin_pat
         length = turning.groupBy("least").agg((F.count("*") + 1).cast("int").alias("stage"))
         out = out.unionByName(order.select(F.col("stage") + 1, "src", "dst", F.lit("move").alias("status")).toDF("stage", "src", "dst", "status"))
         out = out.unionByName(first.select(F.lit(1).alias("stage"), "src", aside.alias("dst"), F.lit("move").alias("status")))
-        out = out.unionByName(first.join(length, "least").select("stage", aside.alias("src"), "dst", F.lit("move").alias("status")))
+        out = out.unionByName(first.join(_apart(length), "least").select("stage", aside.alias("src"), "dst", F.lit("move").alias("status")))
     rest = told.where("status <> 'move'").select(F.lit(None).cast("int").alias("stage"), "src", "dst", "status")
     return out.unionByName(rest).select("stage", F.size(F.split("src", "/")).alias("depth"), "src", "dst", "status")
 
 
 def _chained(moves: DataFrame, n: int) -> DataFrame:
     """stage (from 1), src, dst of moves that form chains: a move's stage is one more than that of the move of its target."""
-    at = moves.join(moves.select(F.col("src").alias("dst"), F.col("src").alias("to")), "dst", "left").select("src", "dst", "to", F.lit(1).alias("stage"))
+    at = moves.join(_apart(moves.select(F.col("src").alias("dst"), F.col("src").alias("to"))), "dst", "left").select("src", "dst", "to", F.lit(1).alias("stage"))
     for k in range(max(1, n.bit_length())):
         at = written(at, f"opened{k}")
         if at.where("to is not null").isEmpty():
             break
         far = at.select(F.col("src").alias("to"), F.col("to").alias("__to"), F.col("stage").alias("__stage"))
-        at = at.join(far, "to", "left").select("src", "dst", F.col("__to").alias("to"), (F.col("stage") + F.coalesce("__stage", F.lit(0))).alias("stage"))
+        at = at.join(_apart(far), "to", "left").select("src", "dst", F.col("__to").alias("to"), (F.col("stage") + F.coalesce("__stage", F.lit(0))).alias("stage"))
     return at.select("stage", "src", "dst")
 
 
