@@ -171,7 +171,7 @@ def apply_plan(plan: DataFrame, operation: str, source_root: str = "", target_ro
     if operation not in ("copy", "move", "delete"):
         raise ValueError(f"unknown operation {operation}")
 
-    def one(src: str, dst: str | None) -> str:
+    def one(src: str, dst: str | None, made: set[str]) -> str:
         a = os.path.join(source_root, src.lstrip("/")) if source_root else src
         b = os.path.join(target_root, dst.lstrip("/")) if dst and target_root else dst
         if operation != "delete" and not os.path.exists(a) and b and os.path.exists(b):
@@ -185,14 +185,22 @@ def apply_plan(plan: DataFrame, operation: str, source_root: str = "", target_ro
         if operation == "delete":
             shutil.rmtree(a) if os.path.isdir(a) else os.remove(a)
         else:
-            os.makedirs(os.path.dirname(b), exist_ok=True)
+            if os.path.dirname(b) not in made:
+                os.makedirs(os.path.dirname(b), exist_ok=True)
+                made.add(os.path.dirname(b))
             (shutil.copy2 if operation == "copy" else shutil.move)(a, b)
         return operation
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made: set[str] = set()  # folders that this task has made
         for f in frames:
-            f["done"] = [one(s, d) for s, d in zip(f["src"], f["dst"], strict=True)]
+            f["done"] = [one(s, d, made) for s, d in zip(f["src"], f["dst"], strict=True)]
             yield f
 
     rows = plan.select(cell(F.col("src")).alias("src"), (cell(F.col("dst")) if "dst" in plan.columns else F.lit(None).cast("string")).alias("dst"))
-    return rows.mapInPandas(run, "src string, dst string, done string")
+    return dealt(rows).mapInPandas(run, "src string, dst string, done string")
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """rows in a partition for every core: operations on files take their time, however few bytes name them."""
+    return rows.repartition(max(1, rows.sparkSession.sparkContext.defaultParallelism), *(F.col(f"`{c}`") for c in rows.columns))

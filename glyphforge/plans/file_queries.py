@@ -322,14 +322,14 @@ def files_copied_moved_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = written(part, "names")
 
     def made(frames):
+        os.makedirs(f"{local}/in", exist_ok=True)
         for f in frames:
             for n in f["name"]:
-                os.makedirs(f"{local}/in", exist_ok=True)
                 with open(f"{local}/in/{n}", "w") as out:
                     out.write(n)
             yield f[["name"]]
 
-    given.mapInPandas(made, "name string").write.format("noop").mode("overwrite").save()
+    paths.dealt(given).mapInPandas(made, "name string").write.format("noop").mode("overwrite").save()
     path = lambda folder: F.concat(F.lit(folder + "/"), "name")
     for operation, r in (("copy", 0), ("move", 1)):
         plan = given.where(F.col("r") == r).select(path("in").alias("src"), path(operation).alias("dst"))
