@@ -16,7 +16,7 @@ from glyphforge.operators import columns, dedup, joins, paths, predicates, sampl
 from glyphforge.plans import curate, evaluate, export
 from glyphforge.plans.pipeline import Pipeline
 from glyphforge.plans.queries import _BOXES, _SCORED, _boxes, _documents_of_labels, _exported, _EXPORT, _scored, _six, query, table
-from glyphforge.sources import readers, sinks
+from glyphforge.sources import csv_ranges, readers, sinks
 from glyphforge.sources.scratch import delete_later, shared_dir, written
 
 
@@ -42,12 +42,13 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""select cast(doc_id as varchar) as doc_id, coalesce(text, '') || chr(10) || '"' || coalesce(lang, '') || '", ' || doc_id as note, coalesce(source, '') as source from documents""")
 def csv_by_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as one CSV file, read in nine ranges, most of which begin inside a quoted cell."""
+    """All documents as one CSV file, read in nine ranges (in more of RANGE_BYTES, where those would be larger), most of
+    which begin inside a quoted cell."""
     note = F.concat(F.coalesce("text", F.lit("")), F.lit('\n"'), F.coalesce("lang", F.lit("")), F.lit('", '), "doc_id")
     path = _place(spark, "documents.csv")
     sinks.write_csv(table(spark, sf_dir, "documents").select("doc_id", note.alias("note"), "source"), path, ["doc_id"], ["doc_id", "note", "source"])
     size = spark.read.format("binaryFile").load(path).select("length").collect()[0]["length"]  # one file
-    return readers.read_csv(spark, path, range_bytes=size // 8)
+    return readers.read_csv(spark, path, range_bytes=min(size // 8, csv_ranges.RANGE_BYTES))
 
 
 @query("select 'part_' || p_partkey as text_id, p_name as infer from part")
