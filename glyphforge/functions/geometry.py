@@ -14,6 +14,8 @@ _NUMBER = r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?"
 #: The common spellings, four JSON numbers and four pairs of them, which are read without a JSON parser.
 _FOUR = rf"^\[\s*{_NUMBER}(?:\s*,\s*{_NUMBER}){{3}}\s*\]$"
 _PAIRS = rf"^\[(?:\s*\[\s*{_NUMBER}\s*,\s*{_NUMBER}\s*\]\s*,){{3}}\s*\[\s*{_NUMBER}\s*,\s*{_NUMBER}\s*\]\s*\]$"
+#: A list of lists; other lists are flat ones.
+_NESTED = r"^\[[ \t\r\n]*\["
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -27,8 +29,8 @@ def _numbers(c: Column) -> Column:
 
 
 def _listed(s: Column) -> Column:
-    """The numbers of a text that _FOUR or _PAIRS fits, as strings."""
-    return F.split(F.translate(s, "[] \t\n\x0b\f\r", ""), ",")
+    """The numbers of a text that _FOUR or _PAIRS fits."""
+    return F.transform(F.split(s, ","), lambda v: F.btrim(v, F.lit("[] \t\n\x0b\f\r")).cast("double"))
 
 
 def parse_bbox(c: Column) -> Column:
@@ -47,14 +49,14 @@ def parse_bbox(c: Column) -> Column:
         return let(_numbers(F.slice(F.from_json(s, _FLAT), 1, 4)), lambda n: F.when(F.size(n) == 4, F.struct(*(n[i].alias(k) for i, k in enumerate("xywh")))))
 
     def four(n: Column) -> Column:
-        return F.struct(*(n[i].cast("double").alias(k) for i, k in enumerate("xywh")))
+        return F.struct(*(n[i].alias(k) for i, k in enumerate("xywh")))
 
     def pairs(n: Column) -> Column:
-        ends = F.array(*(f(*(n[i].cast("double") for i in range(start, 8, 2))) for start in (0, 1) for f in (F.least, F.greatest)))
+        ends = F.array(*(f(*(n[i] for i in range(start, 8, 2))) for start in (0, 1) for f in (F.least, F.greatest)))
         return let(ends, lambda e: F.struct(e[0].alias("x"), e[2].alias("y"), (e[1] - e[0]).alias("w"), (e[3] - e[2]).alias("h")))
 
     def other(s: Column) -> Column:
-        return F.coalesce(let(F.slice(F.from_json(s, _POINTS), 1, 4), around), plain(s))
+        return F.when(s.rlike(_NESTED), let(F.slice(F.from_json(s, _POINTS), 1, 4), around)).otherwise(plain(s))
 
     return let(strip(cell(c)), lambda s: F.when(s.rlike(_FOUR), let(_listed(s), four)).when(s.rlike(_PAIRS), let(_listed(s), pairs)).when(s.startswith("["), other(s)))
 
@@ -63,7 +65,7 @@ def flat_sizes(s: Column) -> Column:
     """struct(w, h) of a trimmed `[x, y, w, h]` (what follows is passed over); null for anything else, points too."""
 
     def four(n: Column) -> Column:
-        return F.struct(n[2].cast("double").alias("w"), n[3].cast("double").alias("h"))
+        return F.struct(n[2].alias("w"), n[3].alias("h"))
 
     def other(n: Column) -> Column:
         return F.when(F.size(n) == 4, F.struct(n[2].alias("w"), n[3].alias("h")))
@@ -103,15 +105,15 @@ def bbox_to_points(c: Column) -> Column:
         return F.when(F.size(n) == 4, xywh_to_polygon(n[0], n[1], n[2], n[3]))
 
     def four(n: Column) -> Column:
-        return xywh_to_polygon(*(n[i].cast("double") for i in range(4)))
+        return xywh_to_polygon(*(n[i] for i in range(4)))
 
     def pairs(n: Column) -> Column:
-        return F.array(*(F.array(n[i].cast("double"), n[i + 1].cast("double")) for i in range(0, 8, 2)))
+        return F.array(*(F.array(n[i], n[i + 1]) for i in range(0, 8, 2)))
 
     def either(s: Column) -> Column:
         nested = let(F.transform(F.from_json(s, _POINTS), lambda p: F.transform(p, py_float)), given)
-        other = F.coalesce(nested, let(_numbers(F.from_json(s, _FLAT)), corners))
-        return F.when(s.rlike(_FOUR), let(_listed(s), four)).when(s.rlike(_PAIRS), let(_listed(s), pairs)).otherwise(other)
+        flat = let(_numbers(F.from_json(s, _FLAT)), corners)
+        return F.when(s.rlike(_FOUR), let(_listed(s), four)).when(s.rlike(_PAIRS), let(_listed(s), pairs)).when(s.rlike(_NESTED), nested).when(s.startswith("["), flat)
 
     return let(strip(cell(c)), either)
 

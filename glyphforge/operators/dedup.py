@@ -12,13 +12,15 @@ from glyphforge.sources.scratch import written
 
 
 def pick(df: DataFrame, keys: list[Column | str], order: list[str], keep: str = "first") -> DataFrame:
-    """The first or last row of each key by aggregation, so that a key with very many rows is reduced before the shuffle."""
+    """The first or last row of each key. Spark limits each key to one row before the shuffle too, so that one with very many rows is
+    no task's alone; rows are sorted by a hash of the key first, which a comparison of longs tells apart."""
     if keep not in ("first", "last"):
         raise ValueError("keep is first or last")
-    row = F.struct(*(F.col(f"`{c}`") for c in order), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("__row"))
-    best = (F.min_by if keep == "first" else F.max_by)(row["__row"], F.struct(*(F.col(f"`{c}`") for c in order)))
-    named = [k.alias(f"__k{i}") if isinstance(k, Column) else F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
-    return df.groupBy(*named).agg(best.alias("__best")).select("__best.*")
+    named = {f"__k{i}": k for i, k in enumerate(keys) if isinstance(k, Column)}
+    names = [f"__k{i}" if isinstance(k, Column) else k for i, k in enumerate(keys)]
+    within = Window.partitionBy(F.xxhash64(*names), *names)
+    at = within.orderBy(*(F.col(f"`{c}`").asc() if keep == "first" else F.col(f"`{c}`").desc() for c in order))
+    return df.withColumns(named).withColumn("__n", F.row_number().over(at)).where("__n = 1").select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def drop_duplicate_ids(df: DataFrame, column: str, order: list[str]) -> DataFrame:

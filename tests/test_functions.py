@@ -83,6 +83,23 @@ def spec_distance(g: str, p: str, w: str) -> int:
     return row[-1]
 
 
+def test_languages_need_no_split_into_characters(spark):
+    cells = ["가a1!", "!1a가", "²x", "😀９", "\u3000", "a b", " 漢a", "٣é", "x\n1", "", None]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, c string")
+    found = df.select("i", text.language_category(F.col("c")).alias("a"), text.language_category(F.col("c"), False).alias("b"))
+    assert [tuple(r)[1:] for r in found.orderBy("i").collect()] == [
+        ("KOR+ENG+DIGIT+SPECIAL",) * 2, ("SPECIAL+DIGIT+ENG+KOR",) * 2, ("DIGIT+ENG",) * 2, ("SPECIAL+DIGIT",) * 2, ("OTHERS", "SPACE"), ("ENG", "ENG+SPACE"),
+        ("SPECIAL+ENG", "SPACE+SPECIAL+ENG"), ("DIGIT+SPECIAL",) * 2, ("ENG+DIGIT", "ENG+SPACE+DIGIT"), ("OTHERS",) * 2, ("OTHERS",) * 2,
+    ]
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_numbers_of_ids(spark):
+    ids = ["12", "+5", "-5", "a_7", "a_7-b", "a-7_8x", "1_2_", "x", "", "_3-4\n", "a_99999999999999999999", "3\n_b"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(ids)], "i int, c string")
+    assert [r.n for r in df.select("i", text.numeric_id(F.col("c")).alias("n")).orderBy("i").collect()] == [12, 5, -5, 7, 7, 7, 2, 0, 0, 4, 0, 3]
+
+
 def test_scores_on_known_pairs(spark):
     rows = [("치킨", "치킨"), ("치킨", "친친"), ("퀸 노래방", "퀸노래방"), ("Cafe", "cafe"), ("안녕하□요", "안녕하세요"), ("안녕하□요", "안녕하요"), ("안녕하□요", "안녕하세서요"), ("", ""), ("", "가"), (None, "가"), ("a.c", "abc"), ("a□c", "a\nc"), ("(□", "(x")]
     got = pairs(spark, rows, lambda a, b: F.struct(*(c.alias(n) for c, n in zip(hangul.score_columns(a, b), "ms", strict=True))))

@@ -230,6 +230,20 @@ def test_label_documents(spark, tmp_path):
     assert {r.text_id: (r.is_valid_bbox_format, r.language_category) for r in texts.collect()} == {"aihub_s7_1": (True, "KOR"), "aihub_s7_2": (True, "OTHERS")}
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_picks_sort_by_hash_and_shrink_before_the_shuffle(spark):
+    df = frame(spark, [("a", 2, "x"), ("a", 1, "y"), (" a", 0, "z"), ("", 1, "u"), (" ", 2, "v"), (None, 3, "w"), ("b", None, "n"), ("b", 5, "m")], "id string, o int, v string")
+    out = dedup.drop_duplicate_ids(df, "id", ["o"])
+    assert sorted(r.v for r in out.collect()) == ["n", "u", "v", "w", "z"] and out.columns == df.columns
+    last = dedup.drop_duplicates(df, ["id"], ["o"], keep="last")
+    assert sorted(r.v for r in last.collect()) == ["m", "v", "w", "x", "z"]  # null and the empty string are one value
+    plan = _plan(out)
+    assert "WindowGroupLimit" in plan and "SortAggregate" not in plan and "xxhash64" in plan
+
+
 def test_listings_and_archives(spark, tmp_path):
     import zipfile
 
