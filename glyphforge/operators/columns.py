@@ -38,6 +38,12 @@ def _kept(df: DataFrame, out: str) -> Column:
     return F.col(f"`{out}`").cast("double") if out in df.columns else F.lit(None).cast("double")
 
 
+def _number(df: DataFrame, column: str) -> Column:
+    """The double that a cell is; columns of numbers are not spelt out for it."""
+    c = F.col(f"`{column}`")
+    return c.cast("double") if dict(df.dtypes).get(column) in ("double", "bigint", "int") else py_float(c)
+
+
 def _rounded(c: Column, precision: int | None) -> Column:
     if precision is None:
         return c
@@ -67,7 +73,7 @@ def arithmetic_column(df: DataFrame, x: str = "width", y: str = "height", out: s
     if op not in ("add", "sub", "mul", "div"):
         raise ValueError(f"unknown operation {operation}")
     require_columns(df, [x, y])
-    a, b = py_float(F.col(f"`{x}`")), py_float(F.col(f"`{y}`"))
+    a, b = _number(df, x), _number(df, y)
     value = {"add": a + b, "sub": a - b, "mul": a * b, "div": a / b}[op]
     return df.withColumn(out, F.when(conjunction(filters, TIER_A), _rounded(value, precision)).otherwise(_kept(df, out)))
 
@@ -122,14 +128,15 @@ def bbox_size_columns(df: DataFrame, bbox: str = "bbox", width: str = "width", h
         there = [strip(cell(F.col(c))) != "" for c in (width, height) if c in df.columns]
         for t in there:
             take = take & ~t
-    return df.withColumns({width: F.when(take, b.w).otherwise(_kept(df, width)), height: F.when(take, b.h).otherwise(_kept(df, height))})
+    read = df.withColumns({"__take": take, "__box": F.when(take, b)})  # parsed once for both
+    return read.withColumns({width: F.when(F.col("__take"), F.col("__box.w")).otherwise(_kept(df, width)), height: F.when(F.col("__take"), F.col("__box.h")).otherwise(_kept(df, height))}).drop("__take", "__box")
 
 
 def aspect_bin_column(df: DataFrame, ratio: str = "aspect_ratio", out: str = "linear_aspect_ratio_bin", filters: list[Mapping[str, Any]] | None = None) -> DataFrame:
     """P13."""
     require_columns(df, [ratio])
     old = F.col(f"`{out}`").cast("long") if out in df.columns else F.lit(None).cast("long")
-    return df.withColumn(out, F.when(conjunction(filters, TIER_B), aspect_bin(py_float(F.col(f"`{ratio}`")))).otherwise(old))
+    return df.withColumn(out, F.when(conjunction(filters, TIER_B), aspect_bin(_number(df, ratio))).otherwise(old))
 
 
 def path_prefix_column(df: DataFrame, path: str = "image_file", out: str = "image_path_prefix_4", tokens: int = 4) -> DataFrame:

@@ -141,11 +141,13 @@ def split_tag_balanced(df: DataFrame, group: str, balance: list[str], ratio: tup
     turn = {t: k for k, (_, t) in enumerate(frequent, 1)}
     known = rows.sparkSession.createDataFrame([(t, n, turn[t]) for n, t in frequent], "t string, total long, turn int")
     # What is frequent is looked up by broadcast; the rest has no tag with more than a `rounds`-th of the pairs.
-    others = pairs.join(F.broadcast(known.select("t")), "t", "left_anti").join(totals, "t").withColumn("turn", F.lit(0))
+    # Hashes come first in keys that are sorted by, as strings with a prefix in common take long to compare.
+    hashed = lambda df: df.withColumn("__h", F.xxhash64("t"))
+    others = hashed(pairs.join(F.broadcast(known.select("t")), "t", "left_anti")).join(hashed(totals), ["__h", "t"]).withColumn("turn", F.lit(0))
     ranked = pairs.join(F.broadcast(known), "t").select("__g", "t", "n", "total", "turn").unionByName(others.select("__g", "t", "n", "total", "turn"))
     own = F.min_by(F.struct("t", "n", "turn"), F.struct("turn", "total", "t"))
     later = F.collect_list(F.when(F.col("turn") > 0, F.struct("turn", "n")))  # a tag a round at most
-    groups = ranked.groupBy("__g").agg(own.alias("own"), later.alias("later")).select("__g", "own.*", "later", F.md5("__g").alias("__order"))
+    groups = ranked.groupBy(F.xxhash64("__g"), "__g").agg(own.alias("own"), later.alias("later")).select("__g", "own.*", "later", F.md5("__g").alias("__order"))
     placed = written(running_sums(groups, F.col("n"), ["__order", "__g"], "before", ["t"], "left").drop("__order"), "placed", by=("turn",))
     middle = F.col("before") + F.col("n") / 2
     have = {k: [0] * len(ratio) for k in turn.values()}

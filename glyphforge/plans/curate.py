@@ -15,6 +15,7 @@ from glyphforge.operators.predicates import drop_by_keyword_or_extension
 from glyphforge.operators.sampling import split_tag_balanced
 from glyphforge.operators.setops import subtract_lines
 from glyphforge.sources.readers import annotations_of, images_of
+from glyphforge.sources.scratch import written
 
 VALID_CROP = [{"column": "is_valid_crop", "op": "in", "values": ["True", "true", "TRUE", "1"]}]
 TEXT_COLUMNS = ["text_id", "scene_id", "origin_dataset", "image_path", "label", "points", "split"]
@@ -25,9 +26,8 @@ BALANCE = ["length", "linear_aspect_ratio_bin", "dir_path_4", "area", "device",
 def standardise(images: DataFrame, annotations: DataFrame, crop_errors: DataFrame | None = None, error_id: str = "annotation_id") -> tuple[DataFrame, DataFrame]:
     """Q4: (scenes, texts): ids, first row of each text id, box flags, paths, languages, crop flag. One plan, no files between."""
     scenes = c.scene_table(images)
-    texts = c.text_table(annotations)
+    texts = c.validate_bbox(c.text_table(annotations), "points")  # before rows are picked: later filters by the flags then read no box again
     texts = drop_duplicate_ids(texts, "text_id", ["scene_id", "text_index", "label", "points"])
-    texts = c.validate_bbox(texts, "points")
     texts = c.image_path_column(texts, "scene_id", "text_id", "image_path", "text_images")
     texts = c.language_category_column(texts, "label")
     if crop_errors is None:
@@ -56,7 +56,7 @@ def split(texts: DataFrame, scenes: DataFrame, order: list[str], balance: list[s
     rows = c.aspect_bin_column(c.arithmetic_column(rows, "width", "height", "aspect_ratio"))
     paths = c.path_prefix_column(scenes, "origin_image_path", "dir_path_4", 4)
     extra = [x for x in balance if x in paths.columns]
-    rows = merge_columns(rows, paths, extra, ["scene_id"], "scene_id", "scene_id")
+    rows = written(merge_columns(rows, paths, extra, ["scene_id"], "scene_id", "scene_id"), "rows")  # the split reads them twice
     return split_tag_balanced(rows, group, [b for b in balance if b in rows.columns], ratio, filters)
 
 

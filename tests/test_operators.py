@@ -244,6 +244,19 @@ def test_picks_sort_by_hash_and_shrink_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "SortAggregate" not in plan and "xxhash64" in plan
 
 
+def test_flags_of_boxes_are_read_before_rows_are_picked(spark):
+    images = frame(spark, [("s1", "a/s1.jpg", "640", "480", "2020", "day"), ("s2", "a/s2.jpg", "640", "480", "2020", "night")], "image_id string, image_file string, width string, height string, data_captured_date string, light string")
+    boxes = ["[1, 2, 30, 4]", "[[0, 0], [9, 0], [9, 9], [0, 9]]", "none", "[1, 2, -3, 4]", "[1, 2, \"a\", 4]"]
+    annotations = frame(spark, [(s, str(i), f"text {i}", b) for s in ("s1", "s2") for i, b in enumerate(boxes)] + [("s1", "0", "z", "none")], "image_id string, inner_ann_id string, text string, bbox string")
+    scenes, texts = curate.standardise(images, annotations)
+    plan = _plan(texts.where("is_valid_bbox_format and is_valid_bbox_value").select("text_id"))
+    assert plan[: plan.index("Window")].count("RLIKE") == 0  # the filter reads two columns, no boxes
+    out = curate.split(texts, scenes, ["text_id"])
+    rows = {r.text_id: (r.width, r.height, r.aspect_ratio, r.linear_aspect_ratio_bin, r.light) for r in out.collect()}
+    assert rows == {f"aihub_{s}_{i}": v + (light,) for s, light in (("s1", "day"), ("s2", "night")) for i, v in enumerate([(30.0, 4.0, 7.5, 7), (9.0, 9.0, 1.0, 1)])}
+    assert any("glyphforge-rows" in f for f in out.inputFiles())  # written once, for the tags and for the rows themselves
+
+
 def test_listings_and_archives(spark, tmp_path):
     import zipfile
 
