@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,22 +43,20 @@ BROADCAST = 2_000_000
 GRAM, SLOTS, NEAR, COPIES = 5, 16, 11, 500_000
 #: A document of fewer grams is a near copy only of one with the same: another gram each leaves a similarity below 0.8.
 FEW = 9
-_DIGIT = np.zeros(256, np.int64)
-_DIGIT[48:58] = 1
 
 
 class Lines:
     """The lines of a batch of texts: row, number within the row, byte range, number of tokens (and where those begin in `hashes`), a hash
     of the whole line and one of each of its PARTS quarters. The hash of nothing is 0."""
 
-    def __init__(self, texts: pa.Array):
-        w = Words(texts)
+    def __init__(self, texts: pa.Array | Words):
+        w = texts if isinstance(texts, Words) else Words(texts)
         self.raw, self.at = w.raw, w.at
         breaks = np.flatnonzero(w.raw == 10)
         row_of_break = np.searchsorted(w.at, breaks, "right") - 1
-        rows = np.concatenate([np.arange(len(w.at) - 1), row_of_break])
-        starts = np.concatenate([w.at[:-1], breaks + 1])
-        order = np.lexsort((starts, rows))
+        rows = np.concatenate([row_of_break, np.arange(len(w.at) - 1)])
+        starts = np.concatenate([breaks + 1, w.at[:-1]])
+        order = np.argsort(starts, kind="stable")  # a line behind a row's last break begins where the next row does, and comes first
         self.row, self.start = rows[order], starts[order]
         n = len(self.row)
         self.first = np.searchsorted(self.row, np.arange(len(w.at)))
@@ -66,18 +65,15 @@ class Lines:
         self.end[:-1] = self.start[1:] - 1
         self.end[last] = w.at[1:]
         self.number = np.arange(n) - self.first[self.row]
-        row_of_word = np.repeat(np.arange(len(w.at) - 1), np.diff(w.first))
-        line = self.first[row_of_word] + np.searchsorted(breaks, w.starts) - np.searchsorted(breaks, w.at[row_of_word])
-        self.tokens = np.bincount(line, minlength=n)
+        self.begin = np.append(np.searchsorted(w.starts, self.start), len(w.starts))
+        self.tokens = np.diff(self.begin)
         self.hashes = h = w.hashes()
-        digits = np.concatenate([[0], np.cumsum(_DIGIT[w.raw])])
-        h[digits[w.ends] > digits[w.starts]] = _VARIABLE
-        self.begin = np.concatenate([[0], np.cumsum(self.tokens)])
-        place = np.arange(len(h)) - self.begin[line]
-        part = place * PARTS // np.maximum(1, self.tokens[line])
+        h[np.searchsorted(w.starts, np.flatnonzero((w.raw >= 48) & (w.raw < 58)), "right") - 1] = _VARIABLE
+        place = np.arange(len(h)) - np.repeat(self.begin[:-1], self.tokens)
         term = mix(h + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-        sums = np.zeros((n, PARTS), np.uint64)
-        np.add.at(sums, (line, part), term)
+        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(term, dtype=np.uint64)])
+        edges = self.begin[:-1, None] + -(-np.arange(PARTS + 1) * self.tokens[:, None] // PARTS)
+        sums = np.diff(upto[edges], axis=1)
         count = (self.tokens.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))[:, None]
         parts = mix(sums + count + np.arange(1, PARTS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         self.parts = np.where(sums != 0, parts, np.uint64(0)).view(np.int64)
@@ -87,8 +83,8 @@ class Lines:
 class Sketches:
     """For each row of a batch of texts a fingerprint of its words, and SLOTS minima of hashes of its word 5-grams (of all words if fewer)."""
 
-    def __init__(self, texts: pa.Array, slots: bool = True):
-        w = Words(texts)
+    def __init__(self, texts: pa.Array | Words, slots: bool = True):
+        w = texts if isinstance(texts, Words) else Words(texts)
         h, first = w.hashes(), w.first
         n = np.diff(first)
         place = np.arange(len(h)) - np.repeat(first[:-1], n)
@@ -178,11 +174,18 @@ def _among(keys: DataFrame, most: int) -> np.ndarray | None:
     return np.sort(keys.toArrow().column(0).to_numpy())
 
 
+def _is_among(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each value is one of the keys, which are sorted: so a batch does not sort all of them again."""
+    if not len(keys):
+        return np.zeros(values.shape, bool)
+    return keys[np.minimum(np.searchsorted(keys, values), len(keys) - 1)] == values
+
+
 def candidates(docs: DataFrame, copies: DataFrame, work: Workspace, least: int, most: int) -> DataFrame:
     """leaf, whole, print and tokens of every line that has a part which recurs in `least` documents."""
 
     def parts(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = column(batch, "text")
+        texts = Words(column(batch, "text"))
         x = Lines(texts)
         i, q = np.nonzero(x.parts)
         return pa.record_batch({"part": pa.array(x.parts[i, q]), "print": pa.array(Sketches(texts, slots=False).print[x.row[i]])})
@@ -194,12 +197,14 @@ def candidates(docs: DataFrame, copies: DataFrame, work: Workspace, least: int,
     held = docs.sparkSession.sparkContext.broadcast(listed) if listed is not None else None
 
     def lines(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = column(batch, "text")
+        texts = Words(column(batch, "text"))
         x = Lines(texts)
         i = np.flatnonzero(x.tokens)
         if held is not None:
-            i = i[np.isin(x.parts[i], held.value).any(axis=1)]
-            leaf = x.parts[i, np.isin(x.parts[i], held.value).argmax(axis=1)]
+            known = _is_among(x.parts[i], held.value)
+            some = known.any(axis=1)
+            i = i[some]
+            leaf = x.parts[i, known[some].argmax(axis=1)]
         else:
             leaf = np.zeros(len(i), np.int64)
         n = x.tokens[i]
@@ -337,21 +342,21 @@ def drop_lines(docs: DataFrame, least: int = LEAST_DOCS, most: int = BROADCAST)
         x = Lines(texts)
         gone = gone_of(batch, x) & (x.tokens > 0)
         removed = np.bincount(x.row[gone], minlength=batch.num_rows)
-        new = texts.to_pylist()
+        new = []
         for r in np.flatnonzero(removed):
             keep = [i for i in range(x.first[r], x.first[r + 1]) if not gone[i]]
-            new[r] = b"\n".join(x.raw[x.start[i] : x.end[i]].tobytes() for i in keep).decode()
-        cols = dict(zip(batch.schema.names, batch.columns, strict=True))
-        cols["text"] = pa.array(new, texts.type)
+            new.append(b"\n".join(x.raw[x.start[i] : x.end[i]].tobytes() for i in keep).decode())
+        cols, changed = dict(zip(batch.schema.names, batch.columns, strict=True)), pa.array(removed > 0)
+        cols["text"] = pc.replace_with_mask(texts, changed, pa.array(new, texts.type))
         if "n_chars" in cols:
-            cols["n_chars"] = pa.array([len(t) if removed[r] else c for r, (t, c) in enumerate(zip(new, cols["n_chars"].to_pylist(), strict=True))], cols["n_chars"].type)
+            cols["n_chars"] = pc.replace_with_mask(cols["n_chars"], changed, pa.array([len(t) for t in new]).cast(cols["n_chars"].type))
         lines = np.where(texts.is_null().to_numpy(zero_copy_only=False), 0, np.diff(x.first))
         return pa.record_batch({c: cols[c] for c in names} | {"n_lines": pa.array(lines, pa.int64()), "n_removed": pa.array(removed, pa.int64())})
 
     listed = _among(found, most)
     if listed is not None:
         held = spark.sparkContext.broadcast(listed)
-        return map_batches(docs, lambda b: cut_out(b, lambda _, x: np.isin(x.whole, held.value)), schema, text="text")
+        return map_batches(docs, lambda b: cut_out(b, lambda _, x: _is_among(x.whole, held.value)), schema, text="text")
 
     def keys(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = Lines(column(batch, "text"))

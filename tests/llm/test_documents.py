@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 
 from glyphforge.llm import bpe, components, lines, minhash, mixing, quality, substrings
-from glyphforge.llm.common import Workspace
+from glyphforge.llm.common import Words, Workspace
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -273,6 +273,25 @@ def test_lines_free_words(spark):
     assert set(removed(spark, [(i, "This whole text is told again") for i in range(12)]).values()) == {0}  # copies
 
 
+def test_lines_of_words_read_once():
+    rng = random.Random(5)
+    texts = ["", None, "\n", "a\n", "\na", "a b1\n\n \nc", "٣ x9 \t\ny"] + ["".join(rng.choice(["a", "b1", " ", "\n", "cc", "9", "가", "\r\n"]) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    both = Words(pa.array(texts))
+    x, print_ = lines.Lines(both), lines.Sketches(both, slots=False).print  # one reading of the words for both
+    own = [(r, line) for r, t in enumerate(texts) for line in (t or "").split("\n")]
+    assert list(zip(x.row.tolist(), [x.raw[a:b].tobytes().decode() for a, b in zip(x.start, x.end, strict=True)], strict=True)) == own
+    assert x.tokens.tolist() == [len(words(line)) for _, line in own]
+    assert (print_ == lines.Sketches(pa.array(texts), slots=False).print).all()
+    for k, (_, line) in enumerate(own):
+        alone = lines.Lines(pa.array([line]))
+        assert x.whole[k] == alone.whole[0] and x.parts[k].tolist() == alone.parts[0].tolist()
+        assert ((x.hashes[x.begin[k] : x.begin[k + 1]] == lines._VARIABLE) == [bool(re.search("[0-9]", w)) for w in words(line)]).all()
+        n = len(words(line))
+        assert [bool(p) for p in x.parts[k]] == [any(i * 4 // n == q for i in range(n)) for q in range(4)]
+    keys = np.array([-5, 0, 3, 9])
+    assert lines._is_among(np.array([[3, 10], [-6, -5]]), keys).tolist() == [[True, False], [False, True]] and not lines._is_among(keys, keys[:0]).any()
+
+
 def recurring_lines(rows: list[tuple], least: int = 4) -> set[tuple]:
     """The tree restated on tuples of tokens, for documents that are no near copies of each other: the lines to be dropped.
 
