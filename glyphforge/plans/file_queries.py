@@ -317,25 +317,28 @@ def sorted_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 def files_copied_moved_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file for every part: a third is copied and its source deleted, a third moved, the others deleted by a guarded plan; what is
     left is listed."""
-    part = table(spark, sf_dir, "part").select(F.concat("p_partkey", F.lit(".txt")).alias("name"), (F.col("p_size") % 3).alias("r"))
+    name = F.concat("p_partkey", F.lit(".txt"))
+    # Sources lie in 64 folders, as tasks that make files in one folder wait for each other.
+    source = F.concat(F.lit("in/"), F.pmod(F.hash("p_partkey"), F.lit(64)), F.lit("/"), name)
+    part = table(spark, sf_dir, "part").select(name.alias("name"), source.alias("source"), (F.col("p_size") % 3).alias("r"))
     root = _place(spark, "tree")
     local = root.removeprefix("file://")
     given = written(part, "names")
 
     def made(frames):
-        os.makedirs(f"{local}/in", exist_ok=True)
+        for k in range(64):
+            os.makedirs(f"{local}/in/{k}", exist_ok=True)
         for f in frames:
-            for n in f["name"]:
-                with open(f"{local}/in/{n}", "w") as out:
+            for n, source in zip(f["name"], f["source"], strict=True):
+                with open(f"{local}/{source}", "w") as out:
                     out.write(n)
             yield f[["name"]]
 
     paths.dealt(given).mapInPandas(made, "name string").write.format("noop").mode("overwrite").save()
-    path = lambda folder: F.concat(F.lit(folder + "/"), "name")
     for operation, r in (("copy", 0), ("move", 1)):
-        plan = given.where(F.col("r") == r).select(path("in").alias("src"), path(operation).alias("dst"))
+        plan = given.where(F.col("r") == r).select(F.col("source").alias("src"), F.concat(F.lit(operation + "/"), "name").alias("dst"))
         paths.apply_plan(plan, operation, local, local, dry_run=False).write.format("noop").mode("overwrite").save()
-    gone = paths.deletion_plan(given.where("r <> 1").select(path("in").alias("value")), must_be_under="in", protected=["copy"])
+    gone = paths.deletion_plan(given.where("r <> 1").select(F.col("source").alias("value")), must_be_under="in", protected=["copy"])
     paths.apply_plan(gone.where("status = 'delete'").select(F.col("path").alias("src")), "delete", local, dry_run=False).write.format("noop").mode("overwrite").save()
     return readers.list_files(spark, root)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glyphforge.functions.text import cell, file_stem, slashes, strip
-from glyphforge.sources import archives, csv_ranges
+from glyphforge.sources import archives, csv_ranges, listing
 from glyphforge.sources.scratch import ship
 
 ORDINAL = "_ord"
@@ -121,13 +121,9 @@ def bad_label_files(labels: DataFrame) -> DataFrame:
 def list_files(spark: SparkSession, root: str, extensions: Iterable[str] | None = None) -> DataFrame:
     """`value`, paths of all files below root, relative to it; extensions are taken as they are, case included.
 
-    The binary source lists files; their contents are pruned and never read.
+    Tasks list folders, a level of the tree at a time, and write what they find, so the driver holds no names (`listing`).
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
-    base = root.split("://")[-1].removeprefix("file:").rstrip("/") + "/"
-    p = F.regexp_replace(F.regexp_replace("path", "^[a-z0-9]+:/+", "/"), "%20", " ")
-    rel = F.when(p.startswith(base), F.substring(p, F.lit(len(base) + 1), F.length(p))).otherwise(p)
-    out = found.select(rel.alias("value")).distinct()
+    out = listing.files_below(spark, root)
     if extensions:
         exts = [e if e.startswith(".") else f".{e}" for e in extensions]
         out = out.where(F.regexp_extract("value", r"[^/](\.[^./]+)$", 1).isin(*exts))

@@ -43,10 +43,35 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def mounted(spark: SparkSession, path: str) -> str | None:
+    """The path as the operating system knows it; None if it lies in another store."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(p).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
+def _delete_tree(folder: str) -> None:
+    """Entries go as they are read: the names of a folder are never held together, as Hadoop and shutil hold them."""
+    with os.scandir(folder) as found:
+        for e in found:
+            if e.is_dir(follow_symlinks=False):
+                _delete_tree(e.path)
+            else:
+                os.remove(e.path)
+    os.rmdir(folder)
+
+
 def delete_later(spark: SparkSession, path: str) -> None:
     """The folder goes when the driver ends."""
+    local = mounted(spark, path)
 
     def drop() -> None:
+        try:
+            if local is not None and os.path.isdir(local):
+                _delete_tree(local)
+                return
+        except OSError:  # what is left is for the JVM
+            pass
         try:
             p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
